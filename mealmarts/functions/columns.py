@@ -75,7 +75,7 @@ def date_or_epoch(column: str | Column) -> Column:
     return F.coalesce(F.try_to_timestamp(text.cast("string")).cast("date"), F.lit(dt.date(1970, 1, 1)))
 
 
-def number_text(value: Column, digits: int = 6) -> Column:
+def number_text(value: Column, digits: int = 9) -> Column:
     """Whole numbers without a point, others rounded."""
     whole = value == F.floor(value)
     return F.when(whole, value.cast("bigint").cast("string")).otherwise(F.round(value, digits).cast("string"))

@@ -127,8 +127,8 @@ _VIEWS = {
         SELECT r.id AS review_id, r.user_id, pairs.date, menu_id_a, menu_id_b, r.menu_id AS chosen_menu_id,
                CASE WHEN r.menu_id = menu_id_a THEN 0 ELSE 1 END AS label, gender,
                CAST(2025 - year(birth_date) AS INTEGER) AS age, ssafy_region AS region, class_num,
-               a.food_ids AS food_ids_a, round(a.avg_food_score, 6) AS avg_food_score_a, a.review_count AS review_count_a,
-               b.food_ids AS food_ids_b, round(b.avg_food_score, 6) AS avg_food_score_b, b.review_count AS review_count_b
+               a.food_ids AS food_ids_a, round(a.avg_food_score, 9) AS avg_food_score_a, a.review_count AS review_count_a,
+               b.food_ids AS food_ids_b, round(b.avg_food_score, 9) AS avg_food_score_b, b.review_count AS review_count_b
         FROM menu_review r JOIN pairs ON CAST(r.timestamp AS DATE) = pairs.date JOIN account USING (user_id)
              JOIN offer_features a ON a.menu_id = menu_id_a JOIN offer_features b ON b.menu_id = menu_id_b""",
     "sides": """
@@ -148,19 +148,19 @@ _VIEWS = {
     "category_scores": "SELECT user_id, category_name, sum(total) / sum(n) AS score FROM liked GROUP BY user_id, category_name",
     "tag_facts": """
         SELECT l.user_id, l.menu_id, l.train_date, s.label AS side, count(t.tag_name) AS shared,
-               count(t.tag_name) / count(*) AS ratio, round(avg(t.score), 6) AS score
+               count(t.tag_name) / count(*) AS ratio, round(avg(t.score), 9) AS score
         FROM labels_ab l JOIN side_tags s ON s.train_date = l.train_date
              LEFT JOIN tag_scores t ON t.user_id = l.user_id AND t.tag_name = s.tag_name GROUP BY ALL""",
     "category_facts": """
         SELECT l.user_id, l.menu_id, l.train_date, s.label AS side, count(c.category_name) AS shared,
-               count(c.category_name) / count(*) AS ratio, round(avg(c.score), 6) AS score
+               count(c.category_name) / count(*) AS ratio, round(avg(c.score), 9) AS score
         FROM labels_ab l JOIN side_categories s ON s.train_date = l.train_date
              LEFT JOIN category_scores c ON c.user_id = l.user_id AND c.category_name = s.category_name GROUP BY ALL""",
     "feature_rows": """
-        SELECT l.*, CAST(ta.shared AS INTEGER) AS A_tag_overlap, round(ta.ratio, 6) AS A_tag_ratio,
-               CAST(tb.shared AS INTEGER) AS B_tag_overlap, round(tb.ratio, 6) AS B_tag_ratio,
-               CAST(ca.shared AS INTEGER) AS A_category_overlap, round(ca.ratio, 6) AS A_category_ratio,
-               CAST(cb.shared AS INTEGER) AS B_category_overlap, round(cb.ratio, 6) AS B_category_ratio,
+        SELECT l.*, CAST(ta.shared AS INTEGER) AS A_tag_overlap, round(ta.ratio, 9) AS A_tag_ratio,
+               CAST(tb.shared AS INTEGER) AS B_tag_overlap, round(tb.ratio, 9) AS B_tag_ratio,
+               CAST(ca.shared AS INTEGER) AS A_category_overlap, round(ca.ratio, 9) AS A_category_ratio,
+               CAST(cb.shared AS INTEGER) AS B_category_overlap, round(cb.ratio, 9) AS B_category_ratio,
                ta.score AS A_avg_score_on_tags, tb.score AS B_avg_score_on_tags,
                ca.score AS A_avg_score_on_categories, cb.score AS B_avg_score_on_categories
         FROM labels_ab l
@@ -196,7 +196,7 @@ _VIEWS = {
         JOIN dictionary d ON (r.position, r.number, r.value) = (d.position, d.number, d.value)
         WHERE x IS NOT NULL AND x <> 0""",
     "scored": """
-        SELECT label, round(avg_food_score_b_full / (avg_food_score_a_full + avg_food_score_b_full), 6) AS score
+        SELECT label, round(avg_food_score_b_full / (avg_food_score_a_full + avg_food_score_b_full), 9) AS score
         FROM (SELECT CASE WHEN r.menu_id = menu_id_a THEN 0 ELSE 1 END AS label,
                      a.avg_food_score AS avg_food_score_a_full, b.avg_food_score AS avg_food_score_b_full
               FROM menu_review r JOIN pairs ON CAST(r.timestamp AS DATE) = pairs.date JOIN account USING (user_id)
@@ -379,7 +379,7 @@ _SQL = {
     "menu_pairs": "SELECT * FROM pairs",
     "food_features": "SELECT * FROM dish_features",
     "menu_features": """
-        SELECT menu_id, food_ids, round(avg_food_score, 6) AS avg_food_score, review_count, total_reviews
+        SELECT menu_id, food_ids, round(avg_food_score, 9) AS avg_food_score, review_count, total_reviews
         FROM offer_features""",
     "menu_comparison": "SELECT * FROM choices",
     "ab_user_preferences": """
@@ -410,7 +410,7 @@ _SQL = {
                CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END AS recall,
                CASE WHEN 2 * tp + fp + fn = 0 THEN 0 ELSE 2 * tp / (2 * tp + fp + fn) END AS f1_score
         FROM confusion""",
-    "rmse_metric": "SELECT round(sqrt(avg((score - label) * (score - label))), 6) AS rmse FROM scored",
+    "rmse_metric": "SELECT round(sqrt(avg((score - label) * (score - label))), 9) AS rmse FROM scored",
     "review_words": "SELECT * FROM words",
     "insight_context": "SELECT * FROM context",
     "insight_prompt": _prompt(),

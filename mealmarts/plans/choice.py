@@ -5,7 +5,7 @@ All jobs work on every date at once; a single date is a filter on the pairs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mealmarts.plans.user_marts import AS_OF_YEAR
@@ -119,35 +119,44 @@ def _liked(ratings: DataFrame, dim_menu_food: DataFrame) -> DataFrame:
     """What users scored at or above their own mean, per tag, category and score.
 
     A dish counts once for every menu it is on. That number is a weight here, so ratings are
-    not multiplied. Scores come in half steps, so after this aggregate a user has a bounded
-    number of rows, however many ratings there were, before anything is joined on the user.
+    not multiplied. Scores come in half steps, so after the aggregate a user has a bounded
+    number of rows, however many ratings there were, and the window on the user stays small.
+    Dishes without a menu count for the user's mean only.
     """
     dishes = dim_menu_food.groupBy("food_id").agg(
         F.min("tag_name").alias("tag"), F.min("category_name").alias("category"), F.count("*").alias("menus")
     )
-    own_mean = ratings.groupBy("user_id").agg(F.avg("food_score").alias("own_mean"))
-    return (
-        ratings.join(dishes, "food_id")
+    cells = (
+        ratings.filter(F.col("food_score").isNotNull())
+        .join(dishes, "food_id", "left")
         .groupBy("user_id", "tag", "category", "food_score")
-        .agg(F.sum("menus").alias("weight"))
-        .join(own_mean, "user_id")
-        .filter(F.col("food_score") >= F.col("own_mean"))
+        .agg(F.count("*").alias("n"), F.coalesce(F.sum("menus"), F.lit(0)).alias("weight"))
     )
+    user = Window.partitionBy("user_id")
+    own_mean = F.sum(F.col("food_score") * F.col("n")).over(user) / F.sum("n").over(user)
+    return cells.withColumn("own_mean", own_mean).filter("food_score >= own_mean AND weight > 0")
+
 
+def taste_profiles(ratings: DataFrame, dim_menu_food: DataFrame) -> DataFrame:
+    """One row per user: maps from liked tags and categories to their weighted mean score.
 
-def _scores_by(liked: DataFrame, attribute: str) -> DataFrame:
-    """Per user a map from attribute value to weighted mean score."""
-    means = liked.groupBy("user_id", attribute).agg(
-        (F.sum(F.col("food_score") * F.col("weight")) / F.sum("weight")).alias("score")
+    Every step after the window keeps its partitioning by user.
+    """
+    kinds = F.array(
+        *[F.struct(F.lit(kind).alias("kind"), F.col(kind).alias("value")) for kind in ("tag", "category")]
+    )
+    means = (
+        _liked(ratings, dim_menu_food)
+        .select("user_id", F.explode(kinds).alias("k"), "food_score", "weight")
+        .groupBy("user_id", "k.kind", "k.value")
+        .agg((F.sum(F.col("food_score") * F.col("weight")) / F.sum("weight")).alias("score"))
     )
-    named = F.when(F.col(attribute).isNotNull(), F.struct(F.col(attribute), F.col("score")))
-    return means.groupBy("user_id").agg(F.map_from_entries(F.collect_list(named)).alias(f"{attribute}_scores"))
 
+    def scores(kind: str) -> Column:
+        entry = F.when((F.col("kind") == kind) & F.col("value").isNotNull(), F.struct("value", "score"))
+        return F.map_from_entries(F.collect_list(entry)).alias(f"{kind}_scores")
 
-def taste_profiles(ratings: DataFrame, dim_menu_food: DataFrame) -> DataFrame:
-    """One row per user with mean scores of the tags and categories they like."""
-    liked = _liked(ratings, dim_menu_food)
-    return _scores_by(liked, "tag").join(_scores_by(liked, "category"), "user_id")
+    return means.groupBy("user_id").agg(scores("tag"), scores("category"))
 
 
 def user_preferences(profiles: DataFrame) -> DataFrame:
@@ -217,11 +226,6 @@ def _affinity(side: str, kind: str) -> Column:
     return F.try_divide(total, F.size(shared))
 
 
-def labelled_profiles(labels: DataFrame, profiles: DataFrame, sets: DataFrame) -> DataFrame:
-    """Labels with the user's profile and the day's sets side by side: one row each to join."""
-    return labels.join(profiles, "user_id").join(sets, "train_date")
-
-
 def overlap_columns() -> list[Column]:
     columns = []
     for kind in ("tag", "category"):
@@ -244,13 +248,18 @@ def affinity_columns() -> list[Column]:
 _ROW_KEY = ("user_id", "menu_id", "train_date")
 
 
-def _rows(ratings, menu_feedback, dim_menu_food, day):
+def _rows(ratings, menu_feedback, dim_menu_food, day, users=None):
+    """Labels with the user's profile and the day's sets side by side: one row each to join.
+
+    What hangs on the user joins first, under one partitioning.
+    """
     pairs = menu_pairs(dish_menus(dim_menu_food))
     if day is not None:
         pairs = pairs.filter(F.col("date") == F.lit(day).cast("date"))
-    return labelled_profiles(
-        choice_labels(menu_feedback, pairs), taste_profiles(ratings, dim_menu_food), menu_sets(dim_menu_food, pairs)
-    )
+    rows = choice_labels(menu_feedback, pairs).join(taste_profiles(ratings, dim_menu_food), "user_id")
+    if users is not None:
+        rows = rows.join(users, "user_id", "left")
+    return rows.join(menu_sets(dim_menu_food, pairs), "train_date")
 
 
 def ab_overlap_features(
@@ -277,7 +286,7 @@ def ab_training_rows(
     people = users.select(
         "user_id", F.col("gender").alias("user_gender"), (F.lit(as_of_year) - F.col("birth_year")).alias("user_age")
     )
-    features = _rows(ratings, menu_feedback, dim_menu_food, day).select(
-        *_ROW_KEY, *overlap_columns(), *affinity_columns(), "menu_regret", "pre_vote", "label"
+    rows = _rows(ratings, menu_feedback, dim_menu_food, day, people).select(
+        *_ROW_KEY, "user_gender", "user_age", *overlap_columns(), *affinity_columns(), "menu_regret", "pre_vote", "label"
     )
-    return contract("xgb_train_data").enforce(features.join(people, "user_id", "left"))
+    return contract("xgb_train_data").enforce(rows)

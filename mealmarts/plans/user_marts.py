@@ -106,7 +106,8 @@ def user_group_comparison(
     totals = _category_totals(ratings, attributes, users, as_of_year)
     own = totals.groupBy("user_id", "gender", "age_group").agg(
         mean_from(F.col("total"), F.col("n")).alias("user_avg_score"),
-        F.count_distinct("category_name").alias("user_diversity_score"),
+        # A user has one row per category here, so counting rows counts categories.
+        F.count("category_name").alias("user_diversity_score"),
     )
     everyone, gender, age = GROUP_TYPES
     memberships = F.array(

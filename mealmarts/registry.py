@@ -15,7 +15,7 @@ from mealmarts.operators import loads, metrics, quality
 from mealmarts.plans import choice, insights, models, monthly_marts, sparse_rows, user_marts, warehouse
 from mealmarts.plans.review_words import review_words
 from mealmarts.schemas import CONTRACTS, MAIN_SUB_CODES, GENDERS, SOURCE_TABLES
-from mealmarts.session import scratch_path
+from mealmarts.session import scratch_path, stage
 from mealmarts.sources import files
 from mealmarts.sources.views import Sources
 from mealmarts.streaming import messages
@@ -30,7 +30,20 @@ _QUERIES: dict[str, Query] = {}
 
 
 class Tables(Sources):
-    """Source tables plus the warehouse tables built from them."""
+    """Source tables plus the warehouse tables built from them.
+
+    ``stored`` writes a table several branches of a query read to the shared folder first,
+    as the daily load would have done.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        super().__init__(spark, root)
+        self._stored: dict[str, DataFrame] = {}
+
+    def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._stored:
+            self._stored[name] = stage(build(), name)
+        return self._stored[name]
 
     def ratings(self, day=None):
         return warehouse.food_feedback(self.food_review, day)
@@ -41,21 +54,35 @@ class Tables(Sources):
     def dishes(self):
         return warehouse.dim_menu_food(self.menu_food, self.food, self.menu)
 
+    def stored_dishes(self):
+        return self.stored("dishes", self.dishes)
+
     def attributes(self):
         return warehouse.food_attributes(self.dishes())
 
     def users(self):
         return warehouse.dim_user(self.account)
 
-    def comparison(self):
-        features = choice.menu_features(self.menu_food, choice.food_features(self.food, self.food_review))
+    def comparison(self, menu_food=None):
+        menu_food = self.menu_food if menu_food is None else menu_food
+        features = choice.menu_features(menu_food, choice.food_features(self.food, self.food_review))
         return choice.menu_comparison(self.menu_review, self.menu, self.account, features)
 
     def training_rows(self, day=None):
-        return choice.ab_training_rows(self.ratings(), self.menu_feedback(), self.dishes(), self.users(), day)
+        return choice.ab_training_rows(
+            self.ratings(), self.menu_feedback(), self.stored_dishes(), self.users(), day
+        )
+
+    def fm_inputs(self):
+        """Comparison rows without the dish lists, and the menus' tag counts."""
+        menu_food = self.stored("menu_food", lambda: self.menu_food)
+        comparison = self.stored(
+            "comparison", lambda: self.comparison(menu_food).drop("food_ids_a", "food_ids_b")
+        )
+        return comparison, sparse_rows.tag_vectors(menu_food, self.food)
 
     def sparse(self):
-        comparison, vectors = self.comparison(), sparse_rows.tag_vectors(self.menu_food, self.food)
+        comparison, vectors = self.fm_inputs()
         dictionary = sparse_rows.feature_dictionary(comparison, vectors)
         return sparse_rows.sparse_rows(comparison, vectors, dictionary), dictionary
 
@@ -80,7 +107,7 @@ def query(function: Callable[[Tables], DataFrame]):
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     """Means of means depend on the order of addition in their last digits."""
-    return df.withColumns({c: F.round(c, 6) for c in columns})
+    return df.withColumns({c: F.round(c, 9) for c in columns})
 
 
 def _as_text(column: str):
@@ -374,12 +401,12 @@ def ab_user_preferences(t):
 
 @query
 def ab_overlap_features(t):
-    return _rounded(choice.ab_overlap_features(t.ratings(), t.menu_feedback(), t.dishes()), *_RATIOS)
+    return _rounded(choice.ab_overlap_features(t.ratings(), t.menu_feedback(), t.stored_dishes()), *_RATIOS)
 
 
 @query
 def ab_affinity_scores(t):
-    return _rounded(choice.ab_affinity_scores(t.ratings(), t.menu_feedback(), t.dishes()), *_AFFINITIES)
+    return _rounded(choice.ab_affinity_scores(t.ratings(), t.menu_feedback(), t.stored_dishes()), *_AFFINITIES)
 
 
 @query
@@ -397,8 +424,7 @@ def ab_training_rows(t):
 
 @query
 def fm_feature_dictionary(t):
-    vectors = sparse_rows.tag_vectors(t.menu_food, t.food)
-    return sparse_rows.feature_dictionary(t.comparison(), vectors).select("idx", "block", "feature")
+    return sparse_rows.feature_dictionary(*t.fm_inputs()).select("idx", "block", "feature")
 
 
 @query
@@ -423,26 +449,26 @@ def json_feature_columns(t):
 @query
 def fm_train_predict(t):
     rows, dictionary = t.sparse()
-    size = dictionary.count()
+    rows, size = stage(rows, "sparse-rows"), dictionary.count()
     return models.predict_fm(models.train_fm(rows, size), rows, size)
 
 
 @query
 def gbt_train_predict(t):
-    rows = t.training_rows()
+    rows = stage(t.training_rows(), "training-rows")
     return models.predict_gbt(models.train_gbt(rows), rows)
 
 
 @query
 def gbt_train_metrics(t):
-    rows = t.training_rows()
+    rows = stage(t.training_rows(), "training-rows")
     return models.gbt_metrics(models.predict_gbt(models.train_gbt(rows), rows))
 
 
 def _scored(t):
     """A fixed rule as the scorer: menu B's share of both menus' mean scores."""
     a, b = F.col("avg_food_score_a"), F.col("avg_food_score_b")
-    return t.comparison().select("label", F.round(b / (a + b), 6).alias("score")).filter("score IS NOT NULL")
+    return t.comparison().select("label", F.round(b / (a + b), 9).alias("score")).filter("score IS NOT NULL")
 
 
 @query
