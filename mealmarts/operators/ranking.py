@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mealmarts.session import shared_dir
+from mealmarts.session import shared_dir, stage
 
 # monotonically_increasing_id keeps the row's place inside its task in the low 33 bits.
 _PLACE_BITS = (1 << 33) - 1
@@ -53,14 +53,14 @@ def number_rows(
     )
     keys = [*partition_by, "_task"]
     earlier = Window.partitionBy(*partition_by).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    # One row per task, plus one per further group that starts inside a task. Staged, so
+    # that Spark knows its size when it picks the join.
+    offsets = stage(
         placed.groupBy(*keys)
         .agg(F.count("*").alias("_rows"), F.min("_place").alias("_first"))
         .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first"))
-        .select(*keys, "_before")
-    )
-    # One row per task, plus one per further group that starts inside a task.
-    sized = F.broadcast(offsets) if not partition_by else offsets
-    return placed.join(sized, keys).withColumn(name, F.col("_before") + F.col("_place") + F.lit(start)).drop(
-        "_task", "_place", "_before"
+        .select(*keys, "_before"),
+        "offsets",
     )
+    number = F.col("_before") + F.col("_place") + F.lit(start)
+    return placed.join(offsets, keys).withColumn(name, number).drop("_task", "_place", "_before")

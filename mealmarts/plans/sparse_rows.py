@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from mealmarts.functions.columns import number_text
 from mealmarts.operators.ranking import number_rows
+from mealmarts.session import stage
 
 # Order of the feature blocks. Within a block, features are ordered by value.
 USER_BLOCK = "user_id"
@@ -15,9 +16,6 @@ TAG_BLOCKS = {"a": "tag_a", "b": "tag_b"}
 SCORE_BLOCKS = {"a": "avg_food_score_a", "b": "avg_food_score_b"}
 BLOCKS = (USER_BLOCK, *USER_BLOCKS, *TAG_BLOCKS.values(), *SCORE_BLOCKS.values())
 
-# The dictionary without its user block travels to every task only up to this many entries.
-BROADCAST_ENTRIES = 200_000
-
 
 def tag_vectors(menu_food: DataFrame, food: DataFrame) -> DataFrame:
     """Dishes per menu and tag."""
@@ -33,20 +31,21 @@ def _offers(comparison: DataFrame) -> DataFrame:
     return comparison.select("date", "menu_id_a", "menu_id_b", *SCORE_BLOCKS.values()).dropDuplicates(["date"])
 
 
-def _offer_tags(comparison: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Tag counts of both menus per date, under their block names."""
-    sides = _offers(comparison).select(
-        "date",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(block).alias("block"), F.col(f"menu_id_{side}").alias("menu_id"))
-                    for side, block in TAG_BLOCKS.items()
-                ]
-            )
-        ).alias("s"),
+def _exploded(df: DataFrame, keep: list[str], **structs) -> DataFrame:
+    """One row per block; ``structs`` give the block's columns."""
+    entries = [F.struct(F.lit(block).alias("block"), *columns) for block, columns in structs.items()]
+    return df.select(*keep, F.explode(F.array(*entries)).alias("e")).select(*keep, "e.*")
+
+
+def _offer_features(comparison: DataFrame, vectors: DataFrame) -> DataFrame:
+    """``date, block, value, x``: tag counts of both menus and their mean scores, per date."""
+    offers = _offers(comparison)
+    menus = {block: [F.col(f"menu_id_{side}").alias("menu_id")] for side, block in TAG_BLOCKS.items()}
+    scores = {block: [F.lit("").alias("value"), F.col(block).alias("x")] for block in SCORE_BLOCKS.values()}
+    tags = _exploded(offers, ["date"], **menus).join(vectors, "menu_id")
+    return tags.select("date", "block", F.col("tag").alias("value"), F.col("dishes").cast("double").alias("x")).unionByName(
+        _exploded(offers, ["date"], **scores)
     )
-    return sides.select("date", "s.*").join(vectors, "menu_id").select("date", "block", "tag", "dishes")
 
 
 def _block_position(block: Column) -> Column:
@@ -61,21 +60,14 @@ def feature_dictionary(comparison: DataFrame, vectors: DataFrame) -> DataFrame:
     """
     users = comparison.select("user_id", *USER_BLOCKS).distinct()
     ids = users.select(F.lit(USER_BLOCK).alias("block"), F.col("user_id").alias("number"), F.lit("").alias("value"))
-    codes = users.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(b).alias("block"), F.col(b).cast("string").alias("value")) for b in USER_BLOCKS])
-        ).alias("c")
-    ).select("c.block", F.lit(0).cast("bigint").alias("number"), "c.value")
-    tags = _offer_tags(comparison, vectors).select(
-        "block", F.lit(0).cast("bigint").alias("number"), F.col("tag").alias("value")
+    codes = _exploded(users, [], **{b: [F.col(b).cast("string").alias("value")] for b in USER_BLOCKS})
+    offers = _offer_features(comparison, vectors).select("block", "value")
+    entries = (
+        ids.unionByName(codes.unionByName(offers).withColumn("number", F.lit(0).cast("bigint")))
+        .filter(F.col("value").isNotNull())
+        .distinct()
+        .withColumn("position", _block_position(F.col("block")))
     )
-    scores = _offers(comparison).select(
-        F.explode(F.array(*[F.lit(b) for b in SCORE_BLOCKS.values()])).alias("block"),
-        F.lit(0).cast("bigint").alias("number"),
-        F.lit("").alias("value"),
-    )
-    entries = ids.unionByName(codes).unionByName(tags).unionByName(scores)
-    entries = entries.filter(F.col("value").isNotNull()).distinct().withColumn("position", _block_position(F.col("block")))
     numbered = number_rows(entries, [F.col("position"), F.col("number"), F.col("value")], "idx", start=0)
     feature = (
         F.when(F.col("block") == USER_BLOCK, F.concat_ws("=", "block", F.col("number").cast("string")))
@@ -86,71 +78,42 @@ def feature_dictionary(comparison: DataFrame, vectors: DataFrame) -> DataFrame:
     return numbered.select(F.col("idx").cast("int").alias("idx"), "block", "number", "value", feature.alias("feature"))
 
 
-def _entry(idx: str | Column, value: Column) -> Column:
-    idx = F.col(idx) if isinstance(idx, str) else idx
-    return F.when(
-        idx.isNotNull() & value.isNotNull() & (value != 0),
-        F.struct(idx.alias("idx"), value.cast("double").alias("value")),
-    )
-
-
-def _present(*entries: Column) -> Column:
-    return F.filter(F.array(*entries), lambda e: e.isNotNull())
-
-
 def sparse_rows(comparison: DataFrame, vectors: DataFrame, dictionary: DataFrame) -> DataFrame:
     """``review_id, user_id, date, label, features`` with features as sorted (idx, value) entries.
 
     Indexes are looked up once per user and once per date, never per review: a code such as
-    a gender is on so many reviews that a join on it would be one task's work. Indicators
-    are 1, tag counts and mean scores keep their value, nulls and zeros are left out.
+    a gender is on so many reviews that a join on it would be one task's work. The codes
+    are staged, so Spark knows their size and broadcasts them as long as they are small.
+    Indicators are 1, tag counts and mean scores keep their value, nulls and zeros are left out.
     """
-    codes = dictionary.filter(F.col("block") != USER_BLOCK)
-    small = codes.limit(BROADCAST_ENTRIES + 1).count() <= BROADCAST_ENTRIES
-
-    def lookup(block: str, idx: str) -> DataFrame:
-        part = codes.filter(F.col("block") == block).select(F.col("value").alias(block), F.col("idx").alias(idx))
-        return F.broadcast(part) if small else part
-
-    people = comparison.select("user_id", *USER_BLOCKS).distinct()
+    codes = stage(dictionary.filter(F.col("block") != USER_BLOCK).select("block", "value", "idx"), "feature-codes")
     ids = dictionary.filter(F.col("block") == USER_BLOCK).select(F.col("number").alias("user_id"), F.col("idx").alias("_user"))
-    people = people.join(ids, "user_id")
+    people = comparison.select("user_id", *USER_BLOCKS).distinct().join(ids, "user_id")
     for block in USER_BLOCKS:
-        people = people.join(lookup(block, f"_{block}"), block, "left")
-    one = F.lit(1.0)
-    people = people.select(
-        "user_id", _present(_entry("_user", one), *[_entry(f"_{b}", one) for b in USER_BLOCKS]).alias("user_entries")
-    )
-
-    tags = codes.filter(F.col("block").isin(*TAG_BLOCKS.values())).select("block", F.col("value").alias("tag"), "idx")
-    tags = F.broadcast(tags) if small else tags
-    offer_tags = (
-        _offer_tags(comparison, vectors)
-        .join(tags, ["block", "tag"])
-        .groupBy("date")
-        .agg(F.sort_array(F.collect_list(F.struct("idx", F.col("dishes").cast("double").alias("value")))).alias("tag_entries"))
-    )
-    # The two mean scores close the layout; their indexes are one row.
-    score_idx = codes.filter(F.col("block").isin(*SCORE_BLOCKS.values())).agg(
-        *[F.max(F.when(F.col("block") == b, F.col("idx"))).alias(f"_{b}") for b in SCORE_BLOCKS.values()]
-    )
+        code = codes.filter(F.col("block") == block).select(F.col("value").alias(block), F.col("idx").alias(f"_{block}"))
+        people = people.join(code, block, "left")
+    marks = [
+        F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("idx"), F.lit(1.0).alias("value")))
+        for c in ("_user", *[f"_{b}" for b in USER_BLOCKS])
+    ]
+    people = people.select("user_id", F.filter(F.array(*marks), lambda e: e.isNotNull()).alias("user_entries"))
+    # A date has an entry per tag on its two menus; blocks follow the user's, so appending keeps order.
     offers = (
-        _offers(comparison)
-        .join(offer_tags, "date", "left")
-        .crossJoin(F.broadcast(score_idx))
-        .select(
-            "date",
-            F.concat(
-                F.coalesce("tag_entries", F.array().cast("array<struct<idx:int,value:double>>")),
-                _present(*[_entry(f"_{b}", F.col(b)) for b in SCORE_BLOCKS.values()]),
-            ).alias("offer_entries"),
-        )
+        _offer_features(comparison, vectors)
+        .filter("x <> 0")
+        .join(codes, ["block", "value"])
+        .groupBy("date")
+        .agg(F.sort_array(F.collect_list(F.struct("idx", F.col("x").alias("value")))).alias("offer_entries"))
     )
+    none = F.array().cast("array<struct<idx:int,value:double>>")
     return (
         comparison.select("review_id", "user_id", "date", "label")
         .join(people, "user_id")
-        .join(offers, "date")
-        .select("review_id", "user_id", "date", "label", F.concat("user_entries", "offer_entries").alias("features"))
+        .join(offers, "date", "left")
+        .select(
+            "review_id", "user_id", "date", "label",
+            F.concat("user_entries", F.coalesce("offer_entries", none)).alias("features"),
+        )
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from mealmarts.functions.columns import age_band, mean_from
 from mealmarts.operators.ranking import one_per_key, top_n
-from mealmarts.schemas import GROUP_TYPES
+from mealmarts.schemas import GENDERS, GROUP_TYPES
 
 # Rows kept per user and list; year that ages count from.
 RANK_DEPTH = 5
@@ -55,7 +55,7 @@ def user_tag_stats(ratings: DataFrame, attributes: DataFrame) -> DataFrame:
 
 
 def _category_totals(ratings: DataFrame, attributes: DataFrame, users: DataFrame, as_of_year: int) -> DataFrame:
-    """Score sums per user and category with the user's groups.
+    """Score sums per user and category with the user's groups. Only the contract's gender codes are groups.
 
     Users join after this aggregate, so a user with very many ratings brings only as many
     rows to that join as there are categories.
@@ -65,7 +65,8 @@ def _category_totals(ratings: DataFrame, attributes: DataFrame, users: DataFrame
         .groupBy("user_id", "category_name")
         .agg(F.sum("food_score").alias("total"), F.count("food_score").alias("n"))
     )
-    groups = users.select("user_id", "gender", age_band("birth_year", as_of_year).alias("age_group"))
+    code = F.when(F.col("gender").isin(*GENDERS), F.col("gender"))
+    groups = users.select("user_id", code.alias("gender"), age_band("birth_year", as_of_year).alias("age_group"))
     return totals.join(groups, "user_id")
 
 
@@ -123,8 +124,8 @@ def user_group_comparison(
     members = own.withColumn("g", F.explode(memberships)).select(
         "user_id", "g.group_type", "g.group_value", "user_avg_score", "user_diversity_score"
     )
-    # Bounded: one row for everyone, one per gender code, one per ten years of birth.
-    # Every user matches the row for everyone, so this side has to travel, not the users.
+    # Bounded: one row for everyone, one per gender code and at most a thousand age bands, as
+    # years have four digits. Every user matches the row for everyone, so this side travels.
     groups = F.broadcast(_group_rows(totals))
     return members.join(groups, ["group_type", "group_value"]).select(
         "user_id", "group_type", "group_value",

@@ -63,6 +63,10 @@ class Tables(Sources):
     def users(self):
         return warehouse.dim_user(self.account)
 
+    def insight_context(self):
+        ratings, attributes = self.stored("ratings", self.ratings), self.stored("attributes", self.attributes)
+        return insights.context_from_facts(ratings, attributes, self.users())
+
     def comparison(self, menu_food=None):
         menu_food = self.menu_food if menu_food is None else menu_food
         features = choice.menu_features(menu_food, choice.food_features(self.food, self.food_review))
@@ -83,7 +87,7 @@ class Tables(Sources):
 
     def sparse(self):
         comparison, vectors = self.fm_inputs()
-        dictionary = sparse_rows.feature_dictionary(comparison, vectors)
+        dictionary = self.stored("dictionary", lambda: sparse_rows.feature_dictionary(comparison, vectors))
         return sparse_rows.sparse_rows(comparison, vectors, dictionary), dictionary
 
     def load_sides(self, batch_start):
@@ -491,12 +495,12 @@ def _review_words(t):
 
 @query
 def insight_context(t):
-    return insights.context_from_facts(t.ratings(), t.attributes(), t.users())
+    return t.insight_context()
 
 
 @query
 def insight_prompt(t):
-    return insights.insight_prompt(insights.context_from_facts(t.ratings(), t.attributes(), t.users()))
+    return insights.insight_prompt(t.insight_context())
 
 
 # --- topics ------------------------------------------------------------------------------

@@ -36,10 +36,15 @@ def test_dictionary_order(inputs):
     assert [entries[i] for i in range(len(FEATURES))] == FEATURES and len(entries) == len(FEATURES)
 
 
-@pytest.mark.parametrize("bound", [sparse_rows.BROADCAST_ENTRIES, 0])
-def test_lines(inputs, monkeypatch, bound):
+@pytest.fixture(params=["10485760", "-1"])
+def broadcast_bound(spark, request):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_lines(inputs, broadcast_bound):
     """Real values for numbers; nulls and zeros left out; the same without broadcast lookups."""
-    monkeypatch.setattr(sparse_rows, "BROADCAST_ENTRIES", bound)
     rows = sparse_rows.sparse_rows(*inputs, sparse_rows.feature_dictionary(*inputs))
     lines = {r.review_id: r.line for r in sparse_rows.libfm_lines(rows).collect()}
     assert lines == {
