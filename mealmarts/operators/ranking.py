@@ -28,6 +28,15 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column])
     return top_n(df, keys, order_by, 1, "_place").drop("_place")
 
 
+def greatest_row(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Per key the row that is greatest in ``columns``, compared left to right, null lowest.
+
+    An aggregate: copies of a key shrink to one row in each task, without a window.
+    """
+    row = F.max(F.struct(*columns)).alias("_row")
+    return df.groupBy(*keys).agg(row).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in columns])
+
+
 def number_rows(
     df: DataFrame,
     order_by: Sequence[Column],

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mealmarts.plans.user_marts import AS_OF_YEAR
+from mealmarts.plans.warehouse import food_attributes
 from mealmarts.schemas import contract
+from mealmarts.session import stage
 
 SIDES = ("A", "B")
 
@@ -123,8 +125,8 @@ def _liked(ratings: DataFrame, dim_menu_food: DataFrame) -> DataFrame:
     number of rows, however many ratings there were, and the window on the user stays small.
     Dishes without a menu count for the user's mean only.
     """
-    dishes = dim_menu_food.groupBy("food_id").agg(
-        F.min("tag_name").alias("tag"), F.min("category_name").alias("category"), F.count("*").alias("menus")
+    dishes = food_attributes(dim_menu_food).select(
+        "food_id", F.col("tag_name").alias("tag"), F.col("category_name").alias("category"), "menus"
     )
     cells = (
         ratings.filter(F.col("food_score").isNotNull())
@@ -249,17 +251,21 @@ _ROW_KEY = ("user_id", "menu_id", "train_date")
 
 
 def _rows(ratings, menu_feedback, dim_menu_food, day, users=None):
-    """Labels with the user's profile and the day's sets side by side: one row each to join.
+    """Labels with the user's profile and the day's sets side by side.
 
-    What hangs on the user joins first, under one partitioning.
+    Both come as staged tables with one row per key: a user or a date may have very many labels.
     """
     pairs = menu_pairs(dish_menus(dim_menu_food))
     if day is not None:
         pairs = pairs.filter(F.col("date") == F.lit(day).cast("date"))
-    rows = choice_labels(menu_feedback, pairs).join(taste_profiles(ratings, dim_menu_food), "user_id")
+    profiles = taste_profiles(ratings, dim_menu_food)
     if users is not None:
-        rows = rows.join(users, "user_id", "left")
-    return rows.join(menu_sets(dim_menu_food, pairs), "train_date")
+        profiles = profiles.join(users, "user_id", "left")
+    return (
+        choice_labels(menu_feedback, pairs)
+        .join(stage(profiles, "profiles"), "user_id")
+        .join(stage(menu_sets(dim_menu_food, pairs), "menu-sets"), "train_date")
+    )
 
 
 def ab_overlap_features(

@@ -83,7 +83,8 @@ def sparse_rows(comparison: DataFrame, vectors: DataFrame, dictionary: DataFrame
 
     Indexes are looked up once per user and once per date, never per review: a code such as
     a gender is on so many reviews that a join on it would be one task's work. The codes
-    are staged, so Spark knows their size and broadcasts them as long as they are small.
+    are staged, so Spark knows their size and broadcasts them as long as they are small, and
+    so are the entries per user and per date, as a user or a date may have very many reviews.
     Indicators are 1, tag counts and mean scores keep their value, nulls and zeros are left out.
     """
     codes = stage(dictionary.filter(F.col("block") != USER_BLOCK).select("block", "value", "idx"), "feature-codes")
@@ -108,8 +109,8 @@ def sparse_rows(comparison: DataFrame, vectors: DataFrame, dictionary: DataFrame
     none = F.array().cast("array<struct<idx:int,value:double>>")
     return (
         comparison.select("review_id", "user_id", "date", "label")
-        .join(people, "user_id")
-        .join(offers, "date", "left")
+        .join(stage(people, "user-entries"), "user_id")
+        .join(stage(offers, "offer-entries"), "date", "left")
         .select(
             "review_id", "user_id", "date", "label",
             F.concat("user_entries", F.coalesce("offer_entries", none)).alias("features"),

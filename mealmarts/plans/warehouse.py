@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mealmarts.functions.columns import in_day, leading_int
-from mealmarts.operators.ranking import one_per_key
+from mealmarts.operators.ranking import greatest_row, one_per_key
+from mealmarts.session import stage
 
 
 def dim_user(account: DataFrame) -> DataFrame:
@@ -51,10 +52,14 @@ def dim_menu_food(menu_food: DataFrame, food: DataFrame, menu: DataFrame) -> Dat
 
 
 def food_attributes(dim_menu_food: DataFrame) -> DataFrame:
-    """One row per dish. Attributes hang on the dish alone, so ``min`` picks the value."""
-    return dim_menu_food.groupBy("food_id").agg(
-        *[F.min(c).alias(c) for c in ("food_name", "category_name", "tag_name")]
+    """One row per dish, staged for joins with the ratings, where one dish may be hot.
+
+    Attributes hang on the dish alone, so ``min`` picks the value. ``menus`` counts its menus.
+    """
+    attributes = dim_menu_food.groupBy("food_id").agg(
+        *[F.min(c).alias(c) for c in ("food_name", "category_name", "tag_name")], F.count("*").alias("menus")
     )
+    return stage(attributes, "food-attributes")
 
 
 def food_feedback(food_review: DataFrame, day: str | None = None) -> DataFrame:
@@ -62,10 +67,8 @@ def food_feedback(food_review: DataFrame, day: str | None = None) -> DataFrame:
     rows = in_day(food_review, "timestamp", day).select(
         "id", "user_id", "food_id", "food_score", F.to_date("timestamp").alias("rating_date")
     )
-    order = [F.col("id").desc(), F.col("food_score").desc_nulls_last()]
-    return one_per_key(rows, ["user_id", "food_id", "rating_date"], order).select(
-        "user_id", "food_id", "food_score", "rating_date"
-    )
+    newest = greatest_row(rows, ["user_id", "food_id", "rating_date"], ["id", "food_score"])
+    return newest.select("user_id", "food_id", "food_score", "rating_date")
 
 
 def menu_feedback(menu_review: DataFrame, pre_vote: DataFrame, day: str | None = None) -> DataFrame:
@@ -74,11 +77,9 @@ def menu_feedback(menu_review: DataFrame, pre_vote: DataFrame, day: str | None =
         "id", "user_id", "menu_id", "menu_score", "menu_regret", "menu_comment",
         F.to_date("timestamp").alias("comment_date"),
     )
-    order = [
-        F.col("id").desc(),
-        *[F.col(c).desc_nulls_last() for c in ("menu_score", "menu_regret", "menu_comment")],
-    ]
-    reviews = one_per_key(rows, ["user_id", "menu_id", "comment_date"], order)
+    reviews = greatest_row(
+        rows, ["user_id", "menu_id", "comment_date"], ["id", "menu_score", "menu_regret", "menu_comment"]
+    )
     # Distinct votes: a repeated vote must not repeat the review.
     votes = pre_vote.select("user_id", "menu_id").distinct().withColumn("voted", F.lit(1))
     return reviews.join(votes, ["user_id", "menu_id"], "left").select(

@@ -64,8 +64,7 @@ class Tables(Sources):
         return warehouse.dim_user(self.account)
 
     def insight_context(self):
-        ratings, attributes = self.stored("ratings", self.ratings), self.stored("attributes", self.attributes)
-        return insights.context_from_facts(ratings, attributes, self.users())
+        return insights.context_from_facts(self.stored("ratings", self.ratings), self.attributes(), self.users())
 
     def comparison(self, menu_food=None):
         menu_food = self.menu_food if menu_food is None else menu_food
@@ -153,7 +152,7 @@ def fact_menu_feedback_day(t):
 
 @query
 def food_attributes(t):
-    return t.attributes()
+    return t.attributes().drop("menus")
 
 
 @query

@@ -46,9 +46,9 @@ def days_ago(n):
 
 @pytest.fixture(scope="session")
 def cafeteria(table):
-    """Three users, six menus on three days, as the reference's manual fixture has them."""
+    """Three users, six menus on three days."""
     users = [9, 10, 11]
-    # Scores and votes of the manual fixture.
+    # Scores and votes.
     menu_scores = {(9, 1): 3.5, (9, 4): 4.0, (9, 5): 1.0, (10, 1): 3.5, (10, 4): 4.0, (10, 5): 3.0,
                    (11, 1): 4.5, (11, 4): 2.0, (11, 5): 3.0}
     votes = [(1, 1, 9), (2, 4, 9), (3, 5, 9), (4, 2, 10), (5, 4, 10), (6, 5, 10), (7, 1, 11), (8, 3, 11), (9, 5, 11)]

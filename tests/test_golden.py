@@ -1,4 +1,4 @@
-"""Known results of the manual fixture."""
+"""Known results of the small cafeteria."""
 
 from decimal import Decimal
 

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from mealmarts.operators.ranking import number_rows, one_per_key, top_n
+from mealmarts.operators.ranking import greatest_row, number_rows, one_per_key, top_n
 from mealmarts.plans import user_marts
 
 
@@ -51,3 +51,10 @@ def test_user_with_few_foods_is_in_both_lists(spark, rows_of):
         ("best", 1, "a"), ("best", 2, "b"), ("best", 3, "d"), ("best", 4, None),
         ("worst", 1, None), ("worst", 2, "d"), ("worst", 3, "a"), ("worst", 4, "b"),
     ]
+
+
+def test_greatest_row_keeps_columns_together(spark):
+    rows = [(1, 5, None, "z"), (1, 5, 2.0, "a"), (1, 4, 9.0, "q"), (2, None, None, None)]
+    df = spark.createDataFrame(rows, "k int, id int, score double, text string")
+    got = sorted(map(tuple, greatest_row(df, ["k"], ["id", "score", "text"]).collect()))
+    assert got == [(1, 5, 2.0, "a"), (2, None, None, None)]
