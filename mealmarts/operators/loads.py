@@ -10,7 +10,7 @@ from pyspark.sql.utils import AnalysisException
 
 from mealmarts.operators.ranking import one_per_key
 from mealmarts.schemas import Contract, contract
-from mealmarts.session import shared_dir
+from mealmarts.session import stage
 
 
 class DuplicateKeyError(ValueError):
@@ -92,8 +92,7 @@ def store(batch: DataFrame, root: str, table: str, strategy: str = "append") ->
             raise DuplicateKeyError(f"append would repeat a key of {table}")
         _writer(rows, spec).mode("append").parquet(f"{root}/{table}")
         return
-    shared_dir(spark)
-    merged = STRATEGIES[strategy](_touched(target, rows, spec), rows, spec.key).checkpoint()
+    merged = stage(STRATEGIES[strategy](_touched(target, rows, spec), rows, spec.key), table)
     _writer(merged, spec).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{root}/{table}")
 
 

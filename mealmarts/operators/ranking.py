@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mealmarts.session import shared_dir, stage
+from mealmarts.session import stage
 
 # monotonically_increasing_id keeps the row's place inside its task in the low 33 bits.
 _PLACE_BITS = (1 << 33) - 1
@@ -48,17 +48,16 @@ def number_rows(
 
     Rows are range-partitioned and sorted on group and order, so one group spreads over
     many tasks. A row's number is its place in its task plus the rows of its group in
-    earlier tasks. The ordered rows are checkpointed because both steps must see the same
-    range bounds, also when a lost task runs again. ``order_by`` must end in a unique key.
+    earlier tasks. The placed rows are staged because both steps must see the same range
+    bounds, also when a lost task runs again. ``order_by`` must end in a unique key.
     """
-    shared_dir(df.sparkSession)
     order = [F.col(c) for c in partition_by] + list(order_by)
-    placed = (
+    placed = stage(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_task", F.spark_partition_id())
-        .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit(_PLACE_BITS)))
-        .checkpoint()
+        .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit(_PLACE_BITS))),
+        "placed",
     )
     keys = [*partition_by, "_task"]
     earlier = Window.partitionBy(*partition_by).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)

@@ -211,40 +211,42 @@ def choice_labels(menu_feedback: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
-def _common(side: str, kind: str) -> Column:
-    return F.array_intersect(f"{side}_{kind}_set", F.map_keys(f"{kind}_scores"))
+KINDS = {"tag": "tags", "category": "categories"}
 
 
-def _overlap(side: str, kind: str) -> Column:
-    return F.coalesce(F.size(_common(side, kind)), F.lit(0))
-
-
-def _affinity(side: str, kind: str) -> Column:
-    """Mean of the user's scores over the values both share; null when they share none."""
-    shared = F.array_sort(_common(side, kind))
-    total = F.aggregate(
-        shared, F.lit(0.0), lambda acc, value: acc + F.element_at(F.col(f"{kind}_scores"), value)
+def with_shared_values(rows: DataFrame) -> DataFrame:
+    """Values on a menu that the user likes, per side and kind, for all features to read."""
+    return rows.withColumns(
+        {
+            f"{side}_{kind}_shared": F.array_intersect(f"{side}_{kind}_set", F.map_keys(f"{kind}_scores"))
+            for kind in KINDS
+            for side in SIDES
+        }
     )
-    return F.try_divide(total, F.size(shared))
 
 
 def overlap_columns() -> list[Column]:
     columns = []
-    for kind in ("tag", "category"):
+    for kind in KINDS:
         for side in SIDES:
-            size = F.size(f"{side}_{kind}_set") + F.col(f"{side}_{kind}_null")
+            shared = F.size(f"{side}_{kind}_shared")
+            offered = F.size(f"{side}_{kind}_set") + F.col(f"{side}_{kind}_null")
             columns += [
-                _overlap(side, kind).alias(f"{side}_{kind}_overlap"),
-                F.try_divide(_overlap(side, kind), size).alias(f"{side}_{kind}_ratio"),
+                shared.alias(f"{side}_{kind}_overlap"),
+                F.try_divide(shared, offered).alias(f"{side}_{kind}_ratio"),
             ]
     return columns
 
 
 def affinity_columns() -> list[Column]:
-    names = {"tag": "tags", "category": "categories"}
-    return [
-        _affinity(side, kind).alias(f"{side}_avg_score_on_{names[kind]}") for kind in ("tag", "category") for side in SIDES
-    ]
+    """Mean of the user's scores over the shared values; null when there are none."""
+
+    def mean(side: str, kind: str) -> Column:
+        shared, scores = F.array_sort(f"{side}_{kind}_shared"), F.col(f"{kind}_scores")
+        total = F.aggregate(shared, F.lit(0.0), lambda acc, value: acc + F.element_at(scores, value))
+        return F.try_divide(total, F.size(f"{side}_{kind}_shared"))
+
+    return [mean(side, kind).alias(f"{side}_avg_score_on_{name}") for kind, name in KINDS.items() for side in SIDES]
 
 
 _ROW_KEY = ("user_id", "menu_id", "train_date")
@@ -261,11 +263,12 @@ def _rows(ratings, menu_feedback, dim_menu_food, day, users=None):
     profiles = taste_profiles(ratings, dim_menu_food)
     if users is not None:
         profiles = profiles.join(users, "user_id", "left")
-    return (
+    rows = (
         choice_labels(menu_feedback, pairs)
         .join(stage(profiles, "profiles"), "user_id")
         .join(stage(menu_sets(dim_menu_food, pairs), "menu-sets"), "train_date")
     )
+    return with_shared_values(rows)
 
 
 def ab_overlap_features(

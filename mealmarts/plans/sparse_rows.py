@@ -78,13 +78,13 @@ def feature_dictionary(comparison: DataFrame, vectors: DataFrame) -> DataFrame:
     return numbered.select(F.col("idx").cast("int").alias("idx"), "block", "number", "value", feature.alias("feature"))
 
 
-def sparse_rows(comparison: DataFrame, vectors: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """``review_id, user_id, date, label, features`` with features as sorted (idx, value) entries.
+def entries(comparison: DataFrame, vectors: DataFrame, dictionary: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sorted (idx, value) entries per user and per date.
 
     Indexes are looked up once per user and once per date, never per review: a code such as
     a gender is on so many reviews that a join on it would be one task's work. The codes
     are staged, so Spark knows their size and broadcasts them as long as they are small, and
-    so are the entries per user and per date, as a user or a date may have very many reviews.
+    so are the results, as a user or a date may have very many reviews to join.
     Indicators are 1, tag counts and mean scores keep their value, nulls and zeros are left out.
     """
     codes = stage(dictionary.filter(F.col("block") != USER_BLOCK).select("block", "value", "idx"), "feature-codes")
@@ -98,7 +98,7 @@ def sparse_rows(comparison: DataFrame, vectors: DataFrame, dictionary: DataFrame
         for c in ("_user", *[f"_{b}" for b in USER_BLOCKS])
     ]
     people = people.select("user_id", F.filter(F.array(*marks), lambda e: e.isNotNull()).alias("user_entries"))
-    # A date has an entry per tag on its two menus; blocks follow the user's, so appending keeps order.
+    # A date has an entry per tag on its two menus and per mean score.
     offers = (
         _offer_features(comparison, vectors)
         .filter("x <> 0")
@@ -106,15 +106,20 @@ def sparse_rows(comparison: DataFrame, vectors: DataFrame, dictionary: DataFrame
         .groupBy("date")
         .agg(F.sort_array(F.collect_list(F.struct("idx", F.col("x").alias("value")))).alias("offer_entries"))
     )
+    return stage(people, "user-entries"), stage(offers, "offer-entries")
+
+
+def _with_entries(comparison: DataFrame, people: DataFrame, offers: DataFrame) -> DataFrame:
+    rows = comparison.select("review_id", "user_id", "date", "label")
+    return rows.join(people, "user_id").join(offers, "date", "left")
+
+
+def sparse_rows(comparison: DataFrame, people: DataFrame, offers: DataFrame) -> DataFrame:
+    """``review_id, user_id, date, label, features``; the user's blocks come first, so order is kept."""
     none = F.array().cast("array<struct<idx:int,value:double>>")
-    return (
-        comparison.select("review_id", "user_id", "date", "label")
-        .join(stage(people, "user-entries"), "user_id")
-        .join(stage(offers, "offer-entries"), "date", "left")
-        .select(
-            "review_id", "user_id", "date", "label",
-            F.concat("user_entries", F.coalesce("offer_entries", none)).alias("features"),
-        )
+    features = F.concat("user_entries", F.coalesce("offer_entries", none))
+    return _with_entries(comparison, people, offers).select(
+        "review_id", "user_id", "date", "label", features.alias("features")
     )
 
 
@@ -123,12 +128,19 @@ def long_rows(rows: DataFrame) -> DataFrame:
     return rows.select("review_id", F.explode("features").alias("f")).select("review_id", "f.idx", "f.value")
 
 
-def libfm_lines(rows: DataFrame) -> DataFrame:
-    """``label idx:value ...`` per review."""
-    pairs = F.transform("features", lambda e: F.concat_ws(":", e["idx"].cast("string"), number_text(e["value"])))
-    return rows.select(
-        "review_id", F.concat_ws(" ", F.col("label").cast("string"), F.array_join(pairs, " ")).alias("line")
+def _entry_text(column: str) -> Column:
+    pairs = F.transform(column, lambda e: F.concat_ws(":", e["idx"].cast("string"), number_text(e["value"])))
+    return F.nullif(F.array_join(pairs, " "), F.lit(""))
+
+
+def libfm_lines(comparison: DataFrame, people: DataFrame, offers: DataFrame) -> DataFrame:
+    """``label idx:value ...`` per review; the text is made once per user and per date."""
+    rows = _with_entries(
+        comparison,
+        people.select("user_id", _entry_text("user_entries").alias("user_text")),
+        offers.select("date", _entry_text("offer_entries").alias("offer_text")),
     )
+    return rows.select("review_id", F.concat_ws(" ", F.col("label").cast("string"), "user_text", "offer_text").alias("line"))
 
 
 def json_features(df: DataFrame, id_column: str, json_column: str) -> DataFrame:

@@ -82,12 +82,14 @@ class Tables(Sources):
         comparison = self.stored(
             "comparison", lambda: self.comparison(menu_food).drop("food_ids_a", "food_ids_b")
         )
-        return comparison, sparse_rows.tag_vectors(menu_food, self.food)
+        vectors = self.stored("tag-vectors", lambda: sparse_rows.tag_vectors(menu_food, self.food))
+        return comparison, vectors
 
-    def sparse(self):
+    def encoded(self):
+        """Comparison rows with the entries of their users and dates, and the dictionary's size."""
         comparison, vectors = self.fm_inputs()
         dictionary = self.stored("dictionary", lambda: sparse_rows.feature_dictionary(comparison, vectors))
-        return sparse_rows.sparse_rows(comparison, vectors, dictionary), dictionary
+        return (comparison, *sparse_rows.entries(comparison, vectors, dictionary)), dictionary.count()
 
     def load_sides(self, batch_start):
         """Stored rows and an incoming batch of menu reviews with changed scores."""
@@ -432,14 +434,14 @@ def fm_feature_dictionary(t):
 
 @query
 def fm_sparse_rows(t):
-    return _rounded(sparse_rows.long_rows(t.sparse()[0]), "value")
+    return _rounded(sparse_rows.long_rows(sparse_rows.sparse_rows(*t.encoded()[0])), "value")
 
 
 @query
 def fm_libfm_lines(t):
     """Lines written to text files and read back, as the trainer would find them."""
     path = scratch_path(t.spark, "libfm")
-    files.write_lines(sparse_rows.libfm_lines(t.sparse()[0]), path)
+    files.write_lines(sparse_rows.libfm_lines(*t.encoded()[0]), path)
     return t.spark.read.text(path).withColumnRenamed("value", "line")
 
 
@@ -451,8 +453,8 @@ def json_feature_columns(t):
 
 @query
 def fm_train_predict(t):
-    rows, dictionary = t.sparse()
-    rows, size = stage(rows, "sparse-rows"), dictionary.count()
+    inputs, size = t.encoded()
+    rows = stage(sparse_rows.sparse_rows(*inputs), "sparse-rows")
     return models.predict_fm(models.train_fm(rows, size), rows, size)
 
 

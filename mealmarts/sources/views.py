@@ -62,15 +62,20 @@ class Sources:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
 
     def base(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{table}.parquet")
+        if table not in self._frames:
+            self._frames[table] = self.spark.read.parquet(f"{self.root}/{table}.parquet")
+        return self._frames[table]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in SOURCE_SQL:
             raise AttributeError(name)
-        text = SOURCE_SQL[name]
-        used = [t for t in BASE_TABLES if re.search(rf"\b(?:FROM|JOIN) {t}\b", text)]
-        for table in used:
-            text = re.sub(rf"\b(FROM|JOIN) {table}\b", rf"\1 {{{table}}}", text)
-        return self.spark.sql(text, **{t: self.base(t) for t in used})
+        if name not in self._frames:
+            text = SOURCE_SQL[name]
+            used = [t for t in BASE_TABLES if re.search(rf"\b(?:FROM|JOIN) {t}\b", text)]
+            for table in used:
+                text = re.sub(rf"\b(FROM|JOIN) {table}\b", rf"\1 {{{table}}}", text)
+            self._frames[name] = self.spark.sql(text, **{t: self.base(t) for t in used})
+        return self._frames[name]

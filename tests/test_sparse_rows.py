@@ -45,8 +45,8 @@ def broadcast_bound(spark, request):
 
 def test_lines(inputs, broadcast_bound):
     """Real values for numbers; nulls and zeros left out; the same without broadcast lookups."""
-    rows = sparse_rows.sparse_rows(*inputs, sparse_rows.feature_dictionary(*inputs))
-    lines = {r.review_id: r.line for r in sparse_rows.libfm_lines(rows).collect()}
+    encoded = sparse_rows.entries(*inputs, sparse_rows.feature_dictionary(*inputs))
+    lines = {r.review_id: r.line for r in sparse_rows.libfm_lines(inputs[0], *encoded).collect()}
     assert lines == {
         1: "0 1:1 2:1 4:1 5:1 7:2 9:1 10:3.25",
         2: "1 0:1 3:1 6:1 7:2 9:1 10:3.25",
@@ -59,15 +59,16 @@ def test_no_rows_give_no_lines(inputs, spark):
     from mealmarts.sources.files import write_lines
 
     none = inputs[0].limit(0)
-    rows = sparse_rows.sparse_rows(none, inputs[1], sparse_rows.feature_dictionary(none, inputs[1]))
+    encoded = sparse_rows.entries(none, inputs[1], sparse_rows.feature_dictionary(none, inputs[1]))
     path = scratch_path(spark, "lines")
-    write_lines(sparse_rows.libfm_lines(rows), path)
+    write_lines(sparse_rows.libfm_lines(none, *encoded), path)
     assert spark.read.text(path).count() == 0
 
 
 def test_fm_trains_and_scores_by_review(inputs):
     dictionary = sparse_rows.feature_dictionary(*inputs)
-    rows = sparse_rows.sparse_rows(*inputs, dictionary)
+    rows = sparse_rows.sparse_rows(inputs[0], *sparse_rows.entries(*inputs, dictionary))
+    assert rows.count() == len(ROWS)
     model = models.train_fm(rows, len(FEATURES), maxIter=3)
     assert model.factors.numCols == 8 and model.factors.numRows == len(FEATURES)
     scored = {r.review_id: r for r in models.predict_fm(model, rows, len(FEATURES)).collect()}
