@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import compare, connect
+from mealmarts import registry
 
 FOLDER = "/root/testdata/sf0.001"
 SQL = entry.oracle_sql()
@@ -24,7 +25,7 @@ def test_query_equals_sql(spark, duck, key):
 
 
 def test_catalogue():
-    without_sql = set(entry.queries()) - set(SQL)
+    without_sql = set(registry.all_queries()) - set(SQL)
     assert without_sql == {"fm_train_predict", "gbt_train_predict", "gbt_train_metrics"}
     assert set(SQL) <= set(entry.queries())
 
