@@ -14,9 +14,11 @@ from mealmarts.llm import (
     decontamination,
     language,
     near_duplicates,
+    phrases,
     quality,
     secrets,
     sharding,
+    suffixes,
     token_files,
 )
 from mealmarts.llm.common import ship
@@ -58,6 +60,10 @@ def op4_best_fit_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_suffix_sort(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.digests(suffixes.remove_repeats(documents(spark, folder)))
+
+
 def op6_secret_ledger(spark: SparkSession, folder: str) -> DataFrame:
     docs, ledger = documents(spark, folder), scratch_path(spark, "ledger")
     secrets.update_ledger(docs, ledger)
@@ -79,6 +85,10 @@ def op9_containment_search(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.leaks(documents(spark, folder), items)
 
 
+def op10_repeated_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.digests(phrases.remove_repeats(documents(spark, folder)))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -97,8 +107,9 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f)
     for f in (
-        op1_quality_outliers, op2_language_spans, op3_byte_bpe, op4_best_fit_shards, op6_secret_ledger,
-        op7_chosen_path_join, op8_addressable_ids, op9_containment_search, pipeline,
+        op1_quality_outliers, op2_language_spans, op3_byte_bpe, op4_best_fit_shards, op5_suffix_sort,
+        op6_secret_ledger, op7_chosen_path_join, op8_addressable_ids, op9_containment_search, op10_repeated_phrases,
+        pipeline,
     )
 }
 
