@@ -13,31 +13,38 @@ from mealmarts.schemas import Contract, contract
 from mealmarts.session import stage
 
 
+OrderBy = str | Sequence[str] | None
+
+
 class DuplicateKeyError(ValueError):
     """A plain append met a key that exists already, or twice in the batch."""
 
 
-def _row_order(df: DataFrame, order_by: str | None) -> list[str]:
-    return [order_by] if order_by else list(df.columns)
+class NullKeyError(ValueError):
+    """A row to be stored has no value in a key column."""
+
+
+def _row_order(df: DataFrame, order_by: OrderBy) -> list[str]:
+    if order_by is None:
+        return list(df.columns)
+    return [order_by] if isinstance(order_by, str) else list(order_by)
 
 
-def _first(df: DataFrame, keys: Sequence[str], order_by: str | None) -> DataFrame:
+def _first(df: DataFrame, keys: Sequence[str], order_by: OrderBy) -> DataFrame:
     return one_per_key(df, keys, [F.col(c).asc_nulls_first() for c in _row_order(df, order_by)])
 
 
-def _last(df: DataFrame, keys: Sequence[str], order_by: str | None) -> DataFrame:
+def _last(df: DataFrame, keys: Sequence[str], order_by: OrderBy) -> DataFrame:
     return one_per_key(df, keys, [F.col(c).desc_nulls_last() for c in _row_order(df, order_by)])
 
 
 def key_collisions(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys a plain append would store twice. Counts are combined before the shuffle."""
-    return (
-        target.select(*keys)
-        .unionByName(batch.select(*keys))
-        .groupBy(*keys)
-        .agg(F.count("*").alias("n"))
-        .filter("n > 1")
-    )
+    """Keys a plain append would store twice: repeats inside the batch, and batch keys the target has.
+
+    What the target repeats on its own is not the batch's fault. Only batch keys are grouped.
+    """
+    repeats = batch.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").select(*keys)
+    return repeats.unionByName(batch.select(*keys).join(target.select(*keys), list(keys), "left_semi")).distinct()
 
 
 def load_append(target: DataFrame, batch: DataFrame, keys: Sequence[str], check: bool = True) -> DataFrame:
@@ -47,13 +54,13 @@ def load_append(target: DataFrame, batch: DataFrame, keys: Sequence[str], check:
     return target.unionByName(batch)
 
 
-def load_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: str | None = None) -> DataFrame:
+def load_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: OrderBy = None) -> DataFrame:
     """Existing keys win; of repeated batch keys the first row wins."""
     fresh = _first(batch, keys, order_by).join(target.select(*keys), list(keys), "left_anti")
     return target.unionByName(fresh)
 
 
-def load_upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: str | None = None) -> DataFrame:
+def load_upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: OrderBy = None) -> DataFrame:
     """Batch rows replace existing keys, all columns and nulls included; the last duplicate wins."""
     newest = _last(batch, keys, order_by)
     kept = target.join(newest.select(*keys), list(keys), "left_anti")
@@ -74,28 +81,56 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
         raise
 
 
-def store(batch: DataFrame, root: str, table: str, strategy: str = "append") -> None:
+def store(batch: DataFrame, root: str, table: str, strategy: str = "append", order_by: OrderBy = None) -> None:
     """Load a batch into a stored table.
 
-    Only the date partitions the batch touches are read, merged and rewritten. Partition
-    columns are part of the key, so no row outside them can hold a batch key. The merged
-    rows are checkpointed because their source files are replaced by this very write.
+    Only the date partitions the batch touches are read, merged and rewritten: the batch's dates
+    reach the target's scan as literals. Partition columns are part of the key, so no row outside
+    them can hold a batch key; a null in a key is refused. ``order_by`` names the batch columns that
+    tell which of several rows with one key came first; they need not be stored. The batch is staged,
+    so it is read once; so are the merged rows, as their source files are replaced by this very write.
     """
     spec = contract(table)
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown load strategy: {strategy}")
     spark = batch.sparkSession
-    rows = spec.enforce(batch)
-    target = read_table(spark, root, table)
+    if strategy == "append" or order_by is None:
+        rows = spec.enforce(batch)
+    else:
+        pick = _first if strategy == "ignore" else _last
+        rows = spec.enforce(pick(batch, spec.key, order_by))
+    rows = stage(rows, f"{table}-batch")
+    _refuse_null_keys(rows, spec)
+    target = _touched(read_table(spark, root, table), rows, spec)
     if strategy == "append":
-        if not key_collisions(_touched(target, rows, spec), rows, spec.key).isEmpty():
+        if not key_collisions(target, rows, spec.key).isEmpty():
             raise DuplicateKeyError(f"append would repeat a key of {table}")
         _writer(rows, spec).mode("append").parquet(f"{root}/{table}")
         return
-    merged = stage(STRATEGIES[strategy](_touched(target, rows, spec), rows, spec.key), table)
+    merged = stage(STRATEGIES[strategy](target, rows, spec.key), table)
     _writer(merged, spec).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{root}/{table}")
 
 
+def replace_table(rows: DataFrame, root: str, table: str) -> None:
+    """Whole-table overwrite, as every mart job ends with: what is not in ``rows`` is gone.
+
+    The contract's columns are written next to the table first. Only then the old folder makes
+    way for the new one, so a failing job leaves the old rows in place.
+    """
+    spec = contract(table)
+    fresh, old = f"{root}/_{table}.new", f"{root}/_{table}.old"
+    _writer(spec.enforce(rows), spec).mode("overwrite").parquet(fresh)
+    spark = rows.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(path(old), True)
+    if files.exists(path(f"{root}/{table}")) and not files.rename(path(f"{root}/{table}"), path(old)):
+        raise OSError(f"cannot set aside {root}/{table}")
+    if not files.rename(path(fresh), path(f"{root}/{table}")):
+        raise OSError(f"cannot put {table} in place; its rows are in {fresh}")
+    files.delete(path(old), True)
+
+
 def replace_days(batch: DataFrame, root: str, table: str) -> None:
     """Daily fact load that can run again: the batch's date partitions are written anew."""
     spec = contract(table)
@@ -105,11 +140,20 @@ def replace_days(batch: DataFrame, root: str, table: str) -> None:
     _writer(rows, spec).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{root}/{table}")
 
 
+def _refuse_null_keys(rows: DataFrame, spec: Contract) -> None:
+    missing = F.lit(False)
+    for column in spec.key:
+        missing = missing | F.col(column).isNull()
+    if not rows.filter(missing).isEmpty():
+        raise NullKeyError(f"{spec.name}: null in a key column of {list(spec.key)}")
+
+
 def _touched(target: DataFrame, batch: DataFrame, spec: Contract) -> DataFrame:
+    """Rows of the batch's dates. A batch has a handful of dates; at most one per day of the calendar."""
     if not spec.partition_by:
         return target
-    days = batch.select(spec.partition_by).distinct()
-    return target.join(days, spec.partition_by, "left_semi")
+    days = [row[0] for row in batch.select(spec.partition_by).distinct().collect()]
+    return target.filter(F.col(spec.partition_by).isin(days)) if days else target.limit(0)
 
 
 def _writer(df: DataFrame, spec: Contract):

@@ -14,7 +14,8 @@ def to_class(score: str | Column, threshold: float = THRESHOLD) -> Column:
     return F.when(value >= threshold, 1).otherwise(0)
 
 
-def _share(part: Column, whole: Column) -> Column:
+def share(part: Column, whole: Column) -> Column:
+    """0 where the whole is 0."""
     return F.when(whole == 0, F.lit(0.0)).otherwise(part / F.when(whole != 0, whole))
 
 
@@ -30,10 +31,10 @@ def binary_metrics(df: DataFrame, label: str, predicted: str) -> DataFrame:
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     return n.select(
         *[F.col(c) for c in ("tp", "fp", "fn", "tn")],
-        _share(tp + tn, tp + fp + fn + tn).alias("accuracy"),
-        _share(tp, tp + fp).alias("precision"),
-        _share(tp, tp + fn).alias("recall"),
-        _share(2 * tp, 2 * tp + fp + fn).alias("f1_score"),
+        share(tp + tn, tp + fp + fn + tn).alias("accuracy"),
+        share(tp, tp + fp).alias("precision"),
+        share(tp, tp + fn).alias("recall"),
+        share(2 * tp, 2 * tp + fp + fn).alias("f1_score"),
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,18 @@ def domain_violations(df: DataFrame, table: str, column: str, domain: tuple[str,
     )
 
 
+def domain_report(df: DataFrame, spec: Contract) -> DataFrame:
+    """``domain_violations`` of every column the contract gives a code set."""
+    checks = [domain_violations(df, spec.name, c, codes) for c, codes in spec.domains.items()]
+    return reduce(DataFrame.unionByName, checks)
+
+
+def reference_report(df: DataFrame, spec: Contract, parents: dict[str, DataFrame]) -> DataFrame:
+    """``orphan_keys`` of every column the contract lets refer to one of ``parents``, by table name."""
+    checks = [orphan_keys(df, parents[t], spec.name, c) for c, t in spec.references.items() if t in parents]
+    return reduce(DataFrame.unionByName, checks)
+
+
 def orphan_keys(df: DataFrame, parent: DataFrame, table: str, column: str) -> DataFrame:
     """References without a parent row. Rows are counted per key before the join."""
     return (

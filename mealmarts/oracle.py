@@ -127,8 +127,8 @@ _VIEWS = {
         SELECT r.id AS review_id, r.user_id, pairs.date, menu_id_a, menu_id_b, r.menu_id AS chosen_menu_id,
                CASE WHEN r.menu_id = menu_id_a THEN 0 ELSE 1 END AS label, gender,
                CAST(2025 - year(birth_date) AS INTEGER) AS age, ssafy_region AS region, class_num,
-               a.food_ids AS food_ids_a, round(a.avg_food_score, 9) AS avg_food_score_a, a.review_count AS review_count_a,
-               b.food_ids AS food_ids_b, round(b.avg_food_score, 9) AS avg_food_score_b, b.review_count AS review_count_b
+               round(a.avg_food_score, 9) AS avg_food_score_a, a.review_count AS review_count_a,
+               round(b.avg_food_score, 9) AS avg_food_score_b, b.review_count AS review_count_b
         FROM menu_review r JOIN pairs ON CAST(r.timestamp AS DATE) = pairs.date JOIN account USING (user_id)
              JOIN offer_features a ON a.menu_id = menu_id_a JOIN offer_features b ON b.menu_id = menu_id_b""",
     "sides": """
@@ -187,7 +187,7 @@ _VIEWS = {
         UNION ALL SELECT review_id, label, 7, 'avg_food_score_a', 0, '', avg_food_score_a FROM choices
         UNION ALL SELECT review_id, label, 8, 'avg_food_score_b', 0, '', avg_food_score_b FROM choices""",
     "dictionary": """
-        SELECT CAST(row_number() OVER (ORDER BY position, number, value) - 1 AS INTEGER) AS idx, position, block, number, value,
+        SELECT row_number() OVER (ORDER BY position, number, value) - 1 AS idx, position, block, number, value,
                CASE WHEN position = 1 THEN block || '=' || CAST(number AS VARCHAR) WHEN position <= 4 THEN block || '=' || value
                     WHEN position <= 6 THEN block || '_' || value ELSE block END AS feature
         FROM (SELECT DISTINCT position, block, number, value FROM review_features WHERE value IS NOT NULL)""",
@@ -222,6 +222,10 @@ _VIEWS = {
     "load_batch": f"""
         SELECT id, user_id, menu_id, 5.5::DOUBLE - menu_score AS menu_score, menu_regret, menu_comment, timestamp
         FROM menu_review WHERE timestamp >= TIMESTAMP '{BATCH_START}'""",
+    "rating_target": f"SELECT * FROM ratings WHERE rating_date < DATE '{LOAD_SPLIT}'",
+    "rating_batch": f"""
+        SELECT id, user_id, food_id, 5.5::DOUBLE - food_score AS food_score, CAST(timestamp AS DATE) AS rating_date
+        FROM food_review WHERE timestamp >= TIMESTAMP '{BATCH_START}'""",
     "text_messages": "SELECT CAST(event_id AS VARCHAR) AS key, props AS value FROM events",
     "json_fields": "SELECT CAST(event_id AS VARCHAR) AS key, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
 }
@@ -303,6 +307,22 @@ _SQL = {
     "load_upsert": """
         SELECT * FROM load_target WHERE id NOT IN (SELECT id FROM load_batch)
         UNION ALL SELECT * FROM load_batch""",
+    "store_append": "SELECT * FROM ratings",
+    "store_ignore": """
+        SELECT * FROM rating_target
+        UNION ALL
+        SELECT user_id, food_id, food_score, rating_date FROM rating_batch ANTI JOIN rating_target USING (user_id, food_id, rating_date)
+        QUALIFY row_number() OVER (PARTITION BY user_id, food_id, rating_date
+                                   ORDER BY id NULLS FIRST, food_score NULLS FIRST) = 1""",
+    "store_upsert": """
+        SELECT * FROM rating_target ANTI JOIN rating_batch USING (user_id, food_id, rating_date)
+        UNION ALL
+        SELECT user_id, food_id, food_score, rating_date FROM rating_batch
+        QUALIFY row_number() OVER (PARTITION BY user_id, food_id, rating_date
+                                   ORDER BY id DESC NULLS LAST, food_score DESC NULLS LAST) = 1""",
+    "mart_overwrite_roundtrip": """
+        SELECT 'dm_user_category_stats' AS table_name, user_id, category AS value, count FROM category_counts
+        UNION ALL SELECT 'dm_user_tag_stats', user_id, tag, count FROM tag_counts""",
     "bulk_copy": _bulk_copy(),
     "training_csv_roundtrip": "SELECT * FROM training",
     "json_sink_roundtrip": "SELECT * FROM json_fields",
@@ -324,7 +344,10 @@ _SQL = {
         SELECT 'dim_user', 'gender', gender, count(*) FROM users WHERE gender NOT IN ('m', 'f') GROUP BY gender
         UNION ALL
         SELECT 'dim_menu_food_combined', 'main_sub', main_sub, count(*)
-        FROM dishes WHERE main_sub NOT IN ('main', 'sub', 'etc') GROUP BY main_sub""",
+        FROM dishes WHERE main_sub NOT IN ('main', 'sub', 'etc') GROUP BY main_sub
+        UNION ALL
+        SELECT 'xgb_train_data', 'user_gender', user_gender, count(*)
+        FROM training WHERE user_gender NOT IN ('m', 'f') GROUP BY user_gender""",
     "orphan_rows": f"""
         SELECT 'fact_user_food_feedback' AS table_name, user_id AS key_value, count(*) AS row_count
         FROM ratings WHERE user_id NOT IN (SELECT user_id FROM users WHERE ssafy_region <> '{LATE_REGION}')
@@ -332,6 +355,10 @@ _SQL = {
         UNION ALL
         SELECT 'fact_user_menu_feedback', user_id, count(*)
         FROM menu_ratings WHERE user_id NOT IN (SELECT user_id FROM users WHERE ssafy_region <> '{LATE_REGION}')
+        GROUP BY user_id
+        UNION ALL
+        SELECT 'raw_user_review_word', user_id, count(*)
+        FROM words WHERE user_id NOT IN (SELECT user_id FROM users WHERE ssafy_region <> '{LATE_REGION}')
         GROUP BY user_id""",
     "ab_gate": """
         SELECT menu_date AS date, count(DISTINCT menu_id) AS menu_count
@@ -382,6 +409,22 @@ _SQL = {
         SELECT menu_id, food_ids, round(avg_food_score, 9) AS avg_food_score, review_count, total_reviews
         FROM offer_features""",
     "menu_comparison": "SELECT * FROM choices",
+    "menu_comparison_day": f"SELECT * FROM choices WHERE date = DATE '{DAY}'",
+    "menu_pairs_day": f"SELECT * FROM pairs WHERE date = DATE '{DAY}'",
+    "menu_dishes": """
+        SELECT menu_id, food_id, category, tag, main_sub, avg_food_score, review_count
+        FROM menu_food JOIN dish_features USING (food_id)""",
+    "ab_training_rows_day": f"SELECT * FROM training WHERE train_date = DATE '{DAY}'",
+    "fm_train_predict": "SELECT review_id, label, TRUE AS score_is_share, TRUE AS class_follows_score FROM choices",
+    "fm_train_metrics": """
+        SELECT count(*) AS rows, count(*) FILTER (label = 1) AS positive, TRUE AS rmse_agrees, TRUE AS precision_agrees,
+               TRUE AS recall_agrees FROM choices""",
+    "gbt_train_predict": """
+        SELECT user_id, train_date, menu_id, label, TRUE AS score_is_share, TRUE AS class_follows_score FROM training""",
+    "gbt_train_metrics": """
+        SELECT count(*) AS rows, count(*) FILTER (label = 1) AS positive, TRUE AS accuracy_agrees, TRUE AS precision_agrees,
+               TRUE AS recall_agrees, TRUE AS f1_score_agrees FROM training""",
+    "json_object_columns": "SELECT event_id, CAST(json_extract(props, '$.k') AS DOUBLE) AS k FROM events",
     "ab_user_preferences": """
         SELECT user_id, string_agg(DISTINCT tag_name, ',' ORDER BY tag_name) AS user_tags,
                string_agg(DISTINCT category_name, ',' ORDER BY category_name) AS user_cats

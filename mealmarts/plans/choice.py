@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mealmarts.functions.columns import in_day
 from mealmarts.plans.user_marts import AS_OF_YEAR
 from mealmarts.plans.warehouse import food_attributes
 from mealmarts.schemas import contract
@@ -26,10 +27,11 @@ def ab_gate(menu: DataFrame) -> DataFrame:
     return menu_counts(menu).filter("menu_count >= 2")
 
 
-def menu_pairs(menu: DataFrame) -> DataFrame:
-    """Menu A (lowest id) and menu B (highest id) of every date with two menus or more."""
+def menu_pairs(menu: DataFrame, day: str | None = None) -> DataFrame:
+    """Menu A (lowest id) and menu B (highest id) of every date with two menus or more, or of one date."""
     return (
-        menu.groupBy("date")
+        in_day(menu, "date", day)
+        .groupBy("date")
         .agg(F.min("menu_id").alias("menu_id_a"), F.max("menu_id").alias("menu_id_b"))
         .filter("menu_id_a < menu_id_b")
     )
@@ -51,10 +53,16 @@ def food_features(food: DataFrame, food_review: DataFrame) -> DataFrame:
     return food.select("food_id", "category", "tag", "main_sub").join(stats, "food_id", "left")
 
 
+def menu_dishes(menu_food: DataFrame, features: DataFrame) -> DataFrame:
+    """Dishes of every menu with their figures, a row each: what the comparison's menus consist of."""
+    return menu_food.select("menu_id", "food_id").join(features, "food_id")
+
+
 def menu_features(menu_food: DataFrame, features: DataFrame) -> DataFrame:
     """Dishes of a menu, mean of their means, dishes with reviews, and reviews.
 
-    The list of dishes is part of the result; (menu, dish) is a key, so a menu holds each once.
+    The list of dishes is part of the result; (menu, dish) is a key, so a menu holds each once. A menu is
+    small by contract, as is the list; it stays here, once per menu.
     """
     return (
         menu_food.join(features.select("food_id", "avg_food_score", "review_count"), "food_id")
@@ -71,7 +79,7 @@ def menu_features(menu_food: DataFrame, features: DataFrame) -> DataFrame:
 def _side(features: DataFrame, side: str) -> DataFrame:
     return features.select(
         F.col("menu_id").alias(f"menu_id_{side}"),
-        *[F.col(c).alias(f"{c}_{side}") for c in ("food_ids", "avg_food_score", "review_count")],
+        *[F.col(c).alias(f"{c}_{side}") for c in ("avg_food_score", "review_count")],
     )
 
 
@@ -80,16 +88,18 @@ def menu_comparison(
     menu: DataFrame,
     account: DataFrame,
     features: DataFrame,
+    day: str | None = None,
     as_of_year: int = AS_OF_YEAR,
 ) -> DataFrame:
-    """Per review on a date with two menus: both menus' features, the user's, and the choice.
+    """Per review on a date with two menus: both menus' figures, the user's, and the choice.
 
-    Menu features join the pairs first, one row per date, and only then the reviews.
+    Menu features join the pairs first, one row per date, and only then the reviews. Both menus' ids are
+    here; their dishes are in ``menu_dishes``, as a list per review would grow with the square of the data.
     """
-    offers = menu_pairs(menu)
+    offers = menu_pairs(menu, day)
     for side in ("a", "b"):
         offers = offers.join(_side(features, side), f"menu_id_{side}")
-    choices = menu_review.select(
+    choices = in_day(menu_review, "timestamp", day).select(
         F.col("id").alias("review_id"),
         "user_id",
         F.col("menu_id").alias("chosen_menu_id"),
@@ -109,7 +119,7 @@ def menu_comparison(
             "review_id", "user_id", "date", "menu_id_a", "menu_id_b", "chosen_menu_id",
             F.when(F.col("chosen_menu_id") == F.col("menu_id_a"), 0).otherwise(1).alias("label"),
             "gender", "age", "region", "class_num",
-            *[f"{c}_{s}" for s in ("a", "b") for c in ("food_ids", "avg_food_score", "review_count")],
+            *[f"{c}_{s}" for s in ("a", "b") for c in ("avg_food_score", "review_count")],
         )
     )
 
@@ -257,15 +267,18 @@ def _rows(ratings, menu_feedback, dim_menu_food, day, users=None):
 
     Both come as staged tables with one row per key: a user or a date may have very many labels.
     """
-    pairs = menu_pairs(dish_menus(dim_menu_food))
+    pairs = menu_pairs(dish_menus(dim_menu_food), day)
+    labels = choice_labels(menu_feedback, pairs)
     if day is not None:
-        pairs = pairs.filter(F.col("date") == F.lit(day).cast("date"))
+        # One date needs the feedback on its menus and the ratings of the users who gave it.
+        menus = stage(pair_members(pairs).select("menu_id"), "day-menus")
+        labels = stage(choice_labels(menu_feedback.join(menus, "menu_id", "left_semi"), pairs), "day-labels")
+        ratings = ratings.join(stage(labels.select("user_id").distinct(), "day-users"), "user_id", "left_semi")
     profiles = taste_profiles(ratings, dim_menu_food)
     if users is not None:
         profiles = profiles.join(users, "user_id", "left")
     rows = (
-        choice_labels(menu_feedback, pairs)
-        .join(stage(profiles, "profiles"), "user_id")
+        labels.join(stage(profiles, "profiles"), "user_id")
         .join(stage(menu_sets(dim_menu_food, pairs), "menu-sets"), "train_date")
     )
     return with_shared_values(rows)

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mealmarts.functions.columns import mean_from
 from mealmarts.operators.ranking import one_per_key
 from mealmarts.plans import user_marts
 from mealmarts.plans.warehouse import rated_users
+from mealmarts.session import stage
 
 # List length, stand-ins for what is missing, and the shape of a food line.
 TOP_FOODS = 3
@@ -74,14 +76,30 @@ def insight_context(
 def context_from_facts(
     ratings: DataFrame, attributes: DataFrame, users: DataFrame, as_of_year: int = user_marts.AS_OF_YEAR
 ) -> DataFrame:
-    """Context straight from the facts, without stored marts."""
-    return insight_context(
-        ratings,
-        user_marts.user_food_rating_rank(ratings, attributes),
-        user_marts.user_tag_stats(ratings, attributes),
-        user_marts.user_category_stats(ratings, attributes),
-        user_marts.user_group_comparison(ratings, attributes, users, as_of_year),
+    """Context straight from the facts, without stored marts.
+
+    Ratings are read twice: for the best dishes, and for cells of user, tag and category. A user has a
+    bounded number of cells; both counts, the user's figures and everyone's follow from them.
+    """
+    cells = stage(
+        ratings.join(attributes.select("food_id", F.col("tag_name").alias("tag"), F.col("category_name").alias("category")), "food_id")
+        .groupBy("user_id", "tag", "category")
+        .agg(F.count("*").alias("count"), F.sum("food_score").alias("total"), F.count("food_score").alias("n")),
+        "taste-cells",
+    )
+    context = _food_lines(user_marts.best_foods(ratings, attributes, TOP_FOODS))  # every user who rated a dish has one
+    for value in ("tag", "category"):
+        counts = cells.groupBy("user_id", value).agg(F.sum("count").alias("count"))
+        context = context.join(_most_counted(counts, value), "user_id", "left")
+    known = cells.join(users.select("user_id"), "user_id")
+    own = known.groupBy("user_id").agg(
+        mean_from(F.col("total"), F.col("n")).alias("user_avg_score"), F.count_distinct("category").alias("user_diversity_score")
+    )
+    everyone = known.groupBy(F.lit("all").alias("group_type")).agg(
+        mean_from(F.col("total"), F.col("n")).alias("group_avg_score"), F.count_distinct("category").alias("group_diversity_score")
     )
+    own = own.withColumn("group_type", F.lit("all")).join(stage(everyone, "everyone"), "group_type")  # one row
+    return context.join(own, "user_id", "left").select(*PROMPT_FIELDS)
 
 
 def _filled(name: str) -> Column:

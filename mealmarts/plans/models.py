@@ -6,11 +6,16 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import FMClassificationModel, FMClassifier, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from mealmarts.operators.metrics import binary_metrics, to_class
+from mealmarts.operators.metrics import binary_metrics, share, to_class
+from mealmarts.session import scratch_path
+
+# Labelled rows the factorization machine is fitted on at most; all rows are scored.
+FIT_ROWS = 1_000_000
 
 # Training settings of the factorization machine.
 FM_PARAMS = {"factorSize": 8, "maxIter": 50, "stepSize": 0.01, "fitIntercept": True, "fitLinear": True, "solver": "gd"}
@@ -25,13 +30,33 @@ GBT_FEATURES = (
 
 
 def sparse_vectors(rows: DataFrame, size: int) -> DataFrame:
-    """``features`` entries as ML vectors. Building a sparse vector has no built-in function."""
+    """``features`` entries as ML vectors.
+
+    A sparse vector is stored as a struct of these four fields. Written like that and read back
+    under the vector type, it never leaves the JVM.
+    """
+    stored = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        F.lit(size).cast("int").alias("size"),
+        F.col("features.idx").cast("array<int>").alias("indices"),
+        F.col("features.value").alias("values"),
+    )
+    path = scratch_path(rows.sparkSession, "vectors")
+    rows.withColumn("features", stored).write.parquet(path)
+    fields = [T.StructField(f.name, VectorUDT() if f.name == "features" else f.dataType) for f in rows.schema]
+    return rows.sparkSession.read.schema(T.StructType(fields)).parquet(path)
+
 
-    @F.udf(VectorUDT(), useArrow=True)
-    def vector(indices, values) -> SparseVector:
-        return Vectors.sparse(size, indices, values)
+def fit_sample(rows: DataFrame, limit: int = FIT_ROWS, key: str = "review_id") -> DataFrame:
+    """Repeatable choice of about ``limit`` labelled rows to fit on; all of them if there are no more.
 
-    return rows.withColumn("features", vector(F.col("features.idx"), F.col("features.value")))
+    A factorization machine keeps a row of factors per feature in the driver. A dictionary made of
+    these rows bounds that; every row is scored, with the features the model knows.
+    """
+    total = rows.count()
+    if total <= limit:
+        return rows
+    return rows.filter(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < int(1_000_000 * limit / total))
 
 
 def _scored(model, rows: DataFrame, *keys: str) -> DataFrame:
@@ -80,3 +105,16 @@ def predict_gbt(model: PipelineModel, training_rows: DataFrame) -> DataFrame:
 
 def gbt_metrics(predictions: DataFrame) -> DataFrame:
     return binary_metrics(predictions, "label", "predicted").select("accuracy", "precision", "recall", "f1_score")
+
+
+def fm_metrics(predictions: DataFrame) -> DataFrame:
+    """Error of the scores, and precision and recall of the classes at 0.5."""
+    y, p = F.col("label"), F.col("predicted")
+    sums = predictions.agg(
+        F.sqrt(F.avg(F.pow(F.col("score") - y, 2))).alias("rmse"),
+        F.count_if((y == 1) & (p == 1)).alias("hits"),
+        F.count_if(p == 1).alias("called"),
+        F.count_if(y == 1).alias("positive"),
+    )
+    hits = F.col("hits")
+    return sums.select("rmse", share(hits, F.col("called")).alias("precision"), share(hits, F.col("positive")).alias("recall"))

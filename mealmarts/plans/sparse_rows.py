@@ -75,7 +75,7 @@ def feature_dictionary(comparison: DataFrame, vectors: DataFrame) -> DataFrame:
         .when(F.col("block").isin(*TAG_BLOCKS.values()), F.concat_ws("_", "block", "value"))
         .otherwise(F.concat_ws("=", "block", "value"))
     )
-    return numbered.select(F.col("idx").cast("int").alias("idx"), "block", "number", "value", feature.alias("feature"))
+    return numbered.select("idx", "block", "number", "value", feature.alias("feature"))
 
 
 def entries(comparison: DataFrame, vectors: DataFrame, dictionary: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -85,11 +85,11 @@ def entries(comparison: DataFrame, vectors: DataFrame, dictionary: DataFrame) ->
     a gender is on so many reviews that a join on it would be one task's work. The codes
     are staged, so Spark knows their size and broadcasts them as long as they are small, and
     so are the results, as a user or a date may have very many reviews to join.
-    Indicators are 1, tag counts and mean scores keep their value, nulls and zeros are left out.
+    Indicators are 1, tag counts and mean scores keep their value. Nulls, zeros and what the dictionary lacks are left out.
     """
     codes = stage(dictionary.filter(F.col("block") != USER_BLOCK).select("block", "value", "idx"), "feature-codes")
     ids = dictionary.filter(F.col("block") == USER_BLOCK).select(F.col("number").alias("user_id"), F.col("idx").alias("_user"))
-    people = comparison.select("user_id", *USER_BLOCKS).distinct().join(ids, "user_id")
+    people = comparison.select("user_id", *USER_BLOCKS).distinct().join(ids, "user_id", "left")
     for block in USER_BLOCKS:
         code = codes.filter(F.col("block") == block).select(F.col("value").alias(block), F.col("idx").alias(f"_{block}"))
         people = people.join(code, block, "left")
@@ -116,7 +116,7 @@ def _with_entries(comparison: DataFrame, people: DataFrame, offers: DataFrame) -
 
 def sparse_rows(comparison: DataFrame, people: DataFrame, offers: DataFrame) -> DataFrame:
     """``review_id, user_id, date, label, features``; the user's blocks come first, so order is kept."""
-    none = F.array().cast("array<struct<idx:int,value:double>>")
+    none = F.array().cast("array<struct<idx:bigint,value:double>>")
     features = F.concat("user_entries", F.coalesce("offer_entries", none))
     return _with_entries(comparison, people, offers).select(
         "review_id", "user_id", "date", "label", features.alias("features")
@@ -143,13 +143,36 @@ def libfm_lines(comparison: DataFrame, people: DataFrame, offers: DataFrame) ->
     return rows.select("review_id", F.concat_ws(" ", F.col("label").cast("string"), "user_text", "offer_text").alias("line"))
 
 
-def json_features(df: DataFrame, id_column: str, json_column: str) -> DataFrame:
+def _json_entries(json_column: str, depth: int) -> Column:
+    """Numbers of a JSON object as (name, value) entries; names inside objects follow a dot.
+
+    Every value is read as text, so one that is no number costs no other. Objects are opened ``depth`` deep.
+    """
+    kind = "map<string,string>"
+    none = F.array().cast("array<struct<key:string,value:string>>")
+    found = F.coalesce(F.map_entries(F.from_json(json_column, kind)), none)
+
+    def opened(entry: Column) -> Column:
+        inner = F.coalesce(F.map_entries(F.from_json(entry["value"], kind)), none)
+        named = F.transform(inner, lambda e: F.struct(F.concat_ws(".", entry["key"], e["key"]).alias("key"), e["value"].alias("value")))
+        return F.when(entry["value"].startswith("{"), named).otherwise(F.array(entry))
+
+    for _ in range(depth):
+        found = F.flatten(F.transform(found, opened))
+    numbers = F.transform(found, lambda e: F.struct(e["key"].alias("name"), e["value"].try_cast("double").alias("value")))
+    return F.filter(numbers, lambda e: e["value"].isNotNull())
+
+
+def json_features(df: DataFrame, id_column: str, json_column: str, depth: int = 3) -> DataFrame:
     """Numbers of a JSON object column as (id, name, value) rows; no object gives no rows."""
-    parsed = F.from_json(json_column, "map<string,double>")
-    return df.select(id_column, F.explode(parsed).alias("name", "value"))
+    return df.select(id_column, F.explode(_json_entries(json_column, depth)).alias("e")).select(id_column, "e.name", "e.value")
+
+
+def json_feature_columns(df: DataFrame, json_column: str, names: list[str], depth: int = 3) -> DataFrame:
+    """Named numbers of a JSON object column as columns (``a.b`` inside objects); what is missing is null."""
+    parsed = _json_entries(json_column, depth)
 
+    def first(name: str) -> Column:
+        return F.get(F.filter(parsed, lambda e: e["name"] == name), F.lit(0))["value"]
 
-def json_feature_columns(df: DataFrame, json_column: str, names: list[str]) -> DataFrame:
-    """Named numbers of a JSON object column as columns; what is missing is null."""
-    parsed = F.from_json(json_column, "map<string,double>")
-    return df.withColumns({name: F.try_element_at(parsed, F.lit(name)) for name in names})
+    return df.withColumns({name: first(name) for name in names})

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from mealmarts.functions.columns import age_band, mean_from
 from mealmarts.operators.ranking import one_per_key, top_n
-from mealmarts.schemas import GENDERS, GROUP_TYPES
+from mealmarts.schemas import GROUP_TYPES
+from mealmarts.session import stage
 
 # Rows kept per user and list; year that ages count from.
 RANK_DEPTH = 5
@@ -38,6 +39,14 @@ def user_food_rating_rank(ratings: DataFrame, attributes: DataFrame, depth: int
     )
 
 
+def best_foods(ratings: DataFrame, attributes: DataFrame, depth: int) -> DataFrame:
+    """The best dishes of ``user_food_rating_rank`` alone."""
+    means = ratings.groupBy("user_id", "food_id").agg(F.avg("food_score").alias("food_score"))
+    best = top_n(means, ["user_id"], [F.col("food_score").desc_nulls_last(), F.col("food_id")], depth, "rank_order")
+    named = best.join(attributes.select("food_id", "food_name"), "food_id", "left")
+    return named.select("user_id", "food_name", "food_score", "rank_order", F.lit("best").alias("score_type"))
+
+
 def _rating_counts(ratings: DataFrame, attributes: DataFrame, attribute: str, name: str) -> DataFrame:
     return (
         ratings.join(attributes.select("food_id", F.col(attribute).alias(name)), "food_id")
@@ -55,7 +64,7 @@ def user_tag_stats(ratings: DataFrame, attributes: DataFrame) -> DataFrame:
 
 
 def _category_totals(ratings: DataFrame, attributes: DataFrame, users: DataFrame, as_of_year: int) -> DataFrame:
-    """Score sums per user and category with the user's groups. Only the contract's gender codes are groups.
+    """Score sums per user and category with the user's groups. Every gender code that occurs is a group.
 
     Users join after this aggregate, so a user with very many ratings brings only as many
     rows to that join as there are categories.
@@ -65,8 +74,7 @@ def _category_totals(ratings: DataFrame, attributes: DataFrame, users: DataFrame
         .groupBy("user_id", "category_name")
         .agg(F.sum("food_score").alias("total"), F.count("food_score").alias("n"))
     )
-    code = F.when(F.col("gender").isin(*GENDERS), F.col("gender"))
-    groups = users.select("user_id", code.alias("gender"), age_band("birth_year", as_of_year).alias("age_group"))
+    groups = users.select("user_id", "gender", age_band("birth_year", as_of_year).alias("age_group"))
     return totals.join(groups, "user_id")
 
 
@@ -124,9 +132,9 @@ def user_group_comparison(
     members = own.withColumn("g", F.explode(memberships)).select(
         "user_id", "g.group_type", "g.group_value", "user_avg_score", "user_diversity_score"
     )
-    # Bounded: one row for everyone, one per gender code and at most a thousand age bands, as
-    # years have four digits. Every user matches the row for everyone, so this side travels.
-    groups = F.broadcast(_group_rows(totals))
+    # Staged: every user matches the row for everyone. The planner sees how small this side is and
+    # sends it to the users; were it large, the one hot key would be split.
+    groups = stage(_group_rows(totals), "groups")
     return members.join(groups, ["group_type", "group_value"]).select(
         "user_id", "group_type", "group_value",
         "user_avg_score", "group_avg_score", "user_diversity_score", "group_diversity_score",

@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mealmarts.functions.columns import in_month
 from mealmarts.operators import loads, metrics, quality
 from mealmarts.plans import choice, insights, models, monthly_marts, sparse_rows, user_marts, warehouse
 from mealmarts.plans.review_words import review_words
 from mealmarts.schemas import CONTRACTS, MAIN_SUB_CODES, GENDERS, SOURCE_TABLES
-from mealmarts.session import scratch_path, stage
+from mealmarts.session import scratch_path, stage, tune
 from mealmarts.sources import files
 from mealmarts.sources.views import Sources
 from mealmarts.streaming import messages
@@ -23,6 +24,7 @@ from mealmarts.streaming import messages
 MONTH, DAY = "1997-05", "1997-05-12"
 LOAD_SPLIT, BATCH_START = "1998-01-01", "1997-07-01"
 LATE_REGION = "NATION_7"
+_RATINGS, _ARRIVAL = "fact_user_food_feedback", ("id", "food_score")
 PROPS_SCHEMA = T.StructType().add("k", T.IntegerType())
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,10 +68,10 @@ class Tables(Sources):
     def insight_context(self):
         return insights.context_from_facts(self.stored("ratings", self.ratings), self.attributes(), self.users())
 
-    def comparison(self, menu_food=None):
+    def comparison(self, menu_food=None, day=None):
         menu_food = self.menu_food if menu_food is None else menu_food
         features = choice.menu_features(menu_food, choice.food_features(self.food, self.food_review))
-        return choice.menu_comparison(self.menu_review, self.menu, self.account, features)
+        return choice.menu_comparison(self.menu_review, self.menu, self.account, features, day)
 
     def training_rows(self, day=None):
         return choice.ab_training_rows(
@@ -79,17 +81,39 @@ class Tables(Sources):
     def fm_inputs(self):
         """Comparison rows without the dish lists, and the menus' tag counts."""
         menu_food = self.stored("menu_food", lambda: self.menu_food)
-        comparison = self.stored(
-            "comparison", lambda: self.comparison(menu_food).drop("food_ids_a", "food_ids_b")
-        )
+        comparison = self.stored("comparison", lambda: self.comparison(menu_food))
         vectors = self.stored("tag-vectors", lambda: sparse_rows.tag_vectors(menu_food, self.food))
         return comparison, vectors
 
     def encoded(self):
-        """Comparison rows with the entries of their users and dates, and the dictionary's size."""
+        """Comparison rows with the entries of their users and dates."""
         comparison, vectors = self.fm_inputs()
         dictionary = self.stored("dictionary", lambda: sparse_rows.feature_dictionary(comparison, vectors))
-        return (comparison, *sparse_rows.entries(comparison, vectors, dictionary)), dictionary.count()
+        return (comparison, *sparse_rows.entries(comparison, vectors, dictionary))
+
+    def fm_predictions(self):
+        """Scores of all comparison rows, by a model of the features of a bounded choice of them."""
+        comparison, vectors = self.fm_inputs()
+        sample = self.stored("fit-sample", lambda: models.fit_sample(comparison))
+        dictionary = self.stored("fit-dictionary", lambda: sparse_rows.feature_dictionary(sample, vectors))
+        size = dictionary.count()
+        rows = stage(sparse_rows.sparse_rows(comparison, *sparse_rows.entries(comparison, vectors, dictionary)), "sparse-rows")
+        model = models.train_fm(rows.join(sample.select("review_id"), "review_id", "left_semi"), size)
+        return models.predict_fm(model, rows, size)
+
+    def rating_batch(self):
+        """Ratings as they arrive later, with changed scores and repeated keys."""
+        start = F.lit(BATCH_START).cast("timestamp_ntz")
+        return self.food_review.filter(F.col("timestamp") >= start).select(
+            "id", "user_id", "food_id", (F.lit(5.5) - F.col("food_score")).alias("food_score"),
+            F.to_date("timestamp").alias("rating_date"),
+        )
+
+    def stored_ratings(self):
+        """A warehouse with the ratings before ``LOAD_SPLIT``, in date partitions."""
+        root = scratch_path(self.spark, "warehouse")
+        loads.store(self.ratings().filter(F.col("rating_date") < F.lit(LOAD_SPLIT).cast("date")), root, _RATINGS)
+        return root
 
     def load_sides(self, batch_start):
         """Stored rows and an incoming batch of menu reviews with changed scores."""
@@ -104,6 +128,7 @@ def query(function: Callable[[Tables], DataFrame]):
     name = function.__name__.lstrip("_")
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tune(spark)
         return function(Tables(spark, sf_dir))
 
     _QUERIES[name] = run
@@ -183,6 +208,44 @@ def load_upsert(t):
     return loads.load_upsert(target, batch, ["id"])
 
 
+@query
+def store_append(t):
+    root = t.stored_ratings()
+    loads.store(t.ratings().filter(F.col("rating_date") >= F.lit(LOAD_SPLIT).cast("date")), root, _RATINGS)
+    return loads.read_table(t.spark, root, _RATINGS)
+
+
+@query
+def store_ignore(t):
+    root = t.stored_ratings()
+    loads.store(t.rating_batch(), root, _RATINGS, "ignore", _ARRIVAL)
+    return loads.read_table(t.spark, root, _RATINGS)
+
+
+@query
+def store_upsert(t):
+    root = t.stored_ratings()
+    loads.store(t.rating_batch(), root, _RATINGS, "overwrite", _ARRIVAL)
+    return loads.read_table(t.spark, root, _RATINGS)
+
+
+@query
+def mart_overwrite_roundtrip(t):
+    """Marts written for the ratings of a month, then anew for all: only the second version is there."""
+    root = scratch_path(t.spark, "marts")
+    attributes = t.attributes()
+    for ratings in (warehouse.food_feedback(in_month(t.food_review, "timestamp", MONTH)), t.ratings()):
+        loads.replace_table(user_marts.user_category_stats(ratings, attributes), root, "dm_user_category_stats")
+        loads.replace_table(user_marts.user_tag_stats(ratings, attributes), root, "dm_user_tag_stats")
+    out = None
+    for table, value in (("dm_user_category_stats", "category"), ("dm_user_tag_stats", "tag")):
+        rows = loads.read_table(t.spark, root, table).select(
+            F.lit(table).alias("table_name"), "user_id", F.col(value).alias("value"), "count"
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query
 def bulk_copy(t):
     target = scratch_path(t.spark, "copy")
@@ -243,25 +306,29 @@ def key_violations(t):
 @query
 def domain_violations(t):
     """Codes outside their set: as delivered, and none once they are in the dimensions."""
-    checks = [
-        quality.domain_violations(t.account, "account", "gender", GENDERS),
-        quality.domain_violations(t.food, "food", "main_sub", MAIN_SUB_CODES),
-        quality.domain_violations(t.users(), "dim_user", "gender", GENDERS),
-        quality.domain_violations(t.dishes(), "dim_menu_food_combined", "main_sub", MAIN_SUB_CODES),
-    ]
-    out = checks[0]
-    for check in checks[1:]:
-        out = out.unionByName(check)
-    return out
+    raw = quality.domain_violations(t.account, "account", "gender", GENDERS).unionByName(
+        quality.domain_violations(t.food, "food", "main_sub", MAIN_SUB_CODES)
+    )
+    loaded = {"dim_user": t.users(), "dim_menu_food_combined": t.dishes(), "xgb_train_data": t.training_rows()}
+    for name, rows in loaded.items():
+        raw = raw.unionByName(quality.domain_report(rows, CONTRACTS[name]))
+    return raw
 
 
 @query
 def orphan_rows(t):
     """Facts of users a dimension load has missed: those of the region that came late."""
     loaded = t.users().filter(F.col("ssafy_region") != LATE_REGION)
-    return quality.orphan_keys(t.ratings(), loaded, "fact_user_food_feedback", "user_id").unionByName(
-        quality.orphan_keys(t.menu_feedback(), loaded, "fact_user_menu_feedback", "user_id")
-    )
+    facts = {
+        "fact_user_food_feedback": t.ratings(),
+        "fact_user_menu_feedback": t.menu_feedback(),
+        "raw_user_review_word": review_words(t.review_comment),
+    }
+    out = None
+    for name, rows in facts.items():
+        report = quality.reference_report(rows, CONTRACTS[name], {"dim_user": loaded})
+        out = report if out is None else out.unionByName(report)
+    return out
 
 
 @query
@@ -394,8 +461,22 @@ def menu_features(t):
 
 @query
 def menu_comparison(t):
-    rows = _rounded(t.comparison(), "avg_food_score_a", "avg_food_score_b")
-    return rows.withColumns({c: _as_text(c) for c in ("food_ids_a", "food_ids_b")})
+    return _rounded(t.comparison(), "avg_food_score_a", "avg_food_score_b")
+
+
+@query
+def menu_comparison_day(t):
+    return _rounded(t.comparison(day=DAY), "avg_food_score_a", "avg_food_score_b")
+
+
+@query
+def menu_pairs_day(t):
+    return choice.menu_pairs(t.menu, DAY)
+
+
+@query
+def menu_dishes(t):
+    return choice.menu_dishes(t.menu_food, choice.food_features(t.food, t.food_review))
 
 
 @query
@@ -424,6 +505,11 @@ def ab_training_rows(t):
     return _rounded(t.training_rows(), *_AFFINITIES, *_RATIOS)
 
 
+@query
+def ab_training_rows_day(t):
+    return _rounded(t.training_rows(DAY), *_AFFINITIES, *_RATIOS)
+
+
 # --- feature export and models -----------------------------------------------------------
 
 
@@ -434,14 +520,14 @@ def fm_feature_dictionary(t):
 
 @query
 def fm_sparse_rows(t):
-    return _rounded(sparse_rows.long_rows(sparse_rows.sparse_rows(*t.encoded()[0])), "value")
+    return _rounded(sparse_rows.long_rows(sparse_rows.sparse_rows(*t.encoded())), "value")
 
 
 @query
 def fm_libfm_lines(t):
     """Lines written to text files and read back, as the trainer would find them."""
     path = scratch_path(t.spark, "libfm")
-    files.write_lines(sparse_rows.libfm_lines(*t.encoded()[0]), path)
+    files.write_lines(sparse_rows.libfm_lines(*t.encoded()), path)
     return t.spark.read.text(path).withColumnRenamed("value", "line")
 
 
@@ -451,23 +537,67 @@ def json_feature_columns(t):
     return sparse_rows.json_features(events, "event_id", "props")
 
 
+@query
+def json_object_columns(t):
+    return sparse_rows.json_feature_columns(t.base("events").select("event_id", "props"), "props", ["k"]).drop("props")
+
+
+def _checked(predictions, *keys):
+    """Keys, label, and what holds for any model: scores are shares, and classes follow from them."""
+    score = F.col("score")
+    return predictions.select(
+        *keys, "label", score.between(0, 1).alias("score_is_share"),
+        (F.col("predicted") == F.when(score >= 0.5, 1).otherwise(0)).alias("class_follows_score"),
+    )
+
+
+def _recounted(predictions, measured, names):
+    """Rows per label, and whether metrics equal a recount by groups of the same predictions."""
+    predictions = stage(predictions, "predictions")
+    groups = predictions.groupBy("label", "predicted").agg(
+        F.count("*").alias("n"), F.sum(F.pow(F.col("score") - F.col("label"), 2)).alias("squares")
+    )
+
+    def n(condition):
+        return F.coalesce(F.sum(F.when(F.expr(condition), F.col("n"))), F.lit(0))
+
+    right, called, positive, total = n("label = predicted"), n("predicted = 1"), n("label = 1"), n("true")
+    hits = n("label = 1 and predicted = 1")
+    counted = groups.agg(
+        total.alias("rows"), positive.alias("positive"),
+        F.coalesce(F.try_divide(right, total), F.lit(0.0)).alias("accuracy"),
+        F.coalesce(F.try_divide(hits, called), F.lit(0.0)).alias("precision"),
+        F.coalesce(F.try_divide(hits, positive), F.lit(0.0)).alias("recall"),
+        F.coalesce(F.try_divide(2 * hits, called + positive), F.lit(0.0)).alias("f1_score"),
+        F.sqrt(F.try_divide(F.sum("squares"), total)).alias("rmse"),
+    )
+    own = measured(predictions).select(F.lit(1).alias("one"), *[F.col(c).alias(f"_{c}") for c in names])
+    same = [F.coalesce(F.abs(F.col(c) - F.col(f"_{c}")) < 1e-9, F.col(c).isNull() & F.col(f"_{c}").isNull()) for c in names]
+    both = counted.withColumn("one", F.lit(1)).join(own, "one")  # a row each
+    return both.select("rows", "positive", *[s.alias(f"{c}_agrees") for c, s in zip(names, same)])
+
+
 @query
 def fm_train_predict(t):
-    inputs, size = t.encoded()
-    rows = stage(sparse_rows.sparse_rows(*inputs), "sparse-rows")
-    return models.predict_fm(models.train_fm(rows, size), rows, size)
+    return _checked(t.fm_predictions(), "review_id")
+
+
+@query
+def fm_train_metrics(t):
+    return _recounted(t.fm_predictions(), models.fm_metrics, ("rmse", "precision", "recall"))
 
 
 @query
 def gbt_train_predict(t):
     rows = stage(t.training_rows(), "training-rows")
-    return models.predict_gbt(models.train_gbt(rows), rows)
+    return _checked(models.predict_gbt(models.train_gbt(rows), rows), "user_id", "train_date", "menu_id")
 
 
 @query
 def gbt_train_metrics(t):
     rows = stage(t.training_rows(), "training-rows")
-    return models.gbt_metrics(models.predict_gbt(models.train_gbt(rows), rows))
+    predictions = models.predict_gbt(models.train_gbt(rows), rows)
+    return _recounted(predictions, models.gbt_metrics, ("accuracy", "precision", "recall", "f1_score"))
 
 
 def _scored(t):

@@ -64,3 +64,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def tune(spark: SparkSession) -> None:
+    """What the plans count on, for a session made elsewhere: hot keys of joins are split at run time."""
+    for key in (
+        "spark.sql.adaptive.enabled",
+        "spark.sql.adaptive.skewJoin.enabled",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin",
+    ):
+        spark.conf.set(key, DEFAULTS[key])
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete what this application staged. To be called at its end: frames read from there are gone then."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -49,8 +49,11 @@ def parse_json(messages: DataFrame, schema: T.StructType = MESSAGE_SCHEMA, keep:
     return messages.select(*kept, F.from_json(F.col("value").cast("string"), schema).alias("data")).select(*keep, "data.*")
 
 
-def run_stream(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", timeout: int = 600) -> None:
-    """Append what is available to files and stop; the next run goes on from the checkpoint."""
+def run_stream(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", timeout: int | None = None) -> None:
+    """Append what is available to files and stop; the next run goes on from the checkpoint.
+
+    Waits to the end, however long it takes, unless the caller sets ``timeout`` seconds.
+    """
     query = (
         stream.writeStream.format(fmt)
         .outputMode("append")
@@ -59,7 +62,7 @@ def run_stream(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parque
         .start(path)
     )
     try:
-        if not query.awaitTermination(timeout):
+        if query.awaitTermination(timeout) is False:
             raise TimeoutError(f"stream still running after {timeout} s")
     finally:
         query.stop()

@@ -104,7 +104,12 @@ def test_menu_comparison(cafeteria, spark):
     assert len(rows) == 9 and {(r.menu_id_a, r.menu_id_b) for r in rows} == {(5, 6)}
     assert {(r.chosen_menu_id, r.label) for r in rows} == {(1, 1), (4, 1), (5, 0)}
     one = rows[0]
-    assert one.food_ids_a == [25, 26, 27, 28, 29, 30] and one.review_count_a == 6 and one.review_count_b == 0
+    assert one.review_count_a == 6 and one.review_count_b == 0
+    dishes = choice.menu_dishes(cafeteria["menu_food"], choice.food_features(cafeteria["food"], cafeteria["food_review"]))
+    assert sorted(r.food_id for r in dishes.filter(f"menu_id = {one.menu_id_a}").collect()) == [25, 26, 27, 28, 29, 30]
+    day = str(one.date)
+    of_day = choice.menu_comparison(cafeteria["menu_review"], cafeteria["menu"], cafeteria["account"], features, day).collect()
+    assert sorted(of_day) == sorted(r for r in rows if str(r.date) == day)
     assert one.avg_food_score_a == pytest.approx(48 / 18) and one.avg_food_score_b is None
     assert {r.user_id: r.age for r in rows} == {9: 27, 10: 29, 11: 39}
     counts = {r.menu_id: r.total_reviews for r in features.collect()}

@@ -81,3 +81,27 @@ def test_json_columns(spark, rows_of):
     assert rows_of(sparse_rows.json_features(df, "id", "j")) == [(1, "a", 1.0), (1, "b", 2.5)]
     wide = sparse_rows.json_feature_columns(df, "j", ["a", "c"]).drop("j")
     assert rows_of(wide) == [(1, 1.0, None), (2, None, None), (3, None, None), (4, None, None)]
+
+
+def test_mixed_json_loses_only_what_is_no_number(spark, rows_of):
+    df = spark.createDataFrame([(1, '{"a": 1, "b": "x", "c": {"d": 2, "e": {"f": 3.5}, "g": [4]}, "h": true, "i": null}')], "id int, j string")
+    assert rows_of(sparse_rows.json_features(df, "id", "j")) == [(1, "a", 1.0), (1, "c.d", 2.0), (1, "c.e.f", 3.5)]
+    wide = sparse_rows.json_feature_columns(df, "j", ["a", "b", "c.d", "c.e.f"]).drop("j")
+    assert rows_of(wide) == [(1, 1.0, None, 2.0, 3.5)]
+
+
+def test_a_dictionary_of_some_rows_scores_all(inputs):
+    some = inputs[0].filter("review_id = 1")
+    dictionary = sparse_rows.feature_dictionary(some, inputs[1])
+    rows = sparse_rows.sparse_rows(inputs[0], *sparse_rows.entries(*inputs, dictionary))
+    assert rows.count() == len(ROWS) and models.fit_sample(rows, 10).count() == len(ROWS)
+    vectors = models.sparse_vectors(rows, dictionary.count())
+    assert {v.features.size for v in vectors.collect()} == {dictionary.count()}
+    plan = vectors._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_fm_metrics(spark):
+    scored = spark.createDataFrame([(1, 0.5, 1), (1, 0.0, 0), (0, 1.0, 1), (0, 0.0, 0)], "label int, score double, predicted int")
+    row = models.fm_metrics(scored).first()
+    assert (row.precision, row.recall) == (0.5, 0.5) and row.rmse == pytest.approx(0.75)

@@ -130,3 +130,13 @@ def test_series_is_running(table, rows_of):
     assert got == [("2025-03", 3, 3, 3), ("2025-04", 2, 5, -1), ("2025-05", 4, 9, 2)]
     one = rows_of(monthly_marts.monthly_count(reviews, votes, menus, "2025-05"))
     assert one == [(4, 4, 4)]
+
+
+def test_every_gender_code_is_a_group(spark, rows_of):
+    ratings = spark.createDataFrame([(1, 1, 2.0), (2, 1, 4.0), (3, 1, 3.0)], "user_id long, food_id long, food_score double")
+    attributes = spark.createDataFrame([(1, "a", "c", "t")], "food_id long, food_name string, category_name string, tag_name string")
+    users = spark.createDataFrame([(1, "m", 1998), (2, "x", 1998), (3, "f", 1998)], "user_id long, gender string, birth_year int")
+    groups = user_marts.group_stats(ratings, attributes, users).filter("group_type = 'gender'")
+    assert rows_of(groups, "group_value", "group_avg_score") == [("f", 3.0), ("m", 2.0), ("x", 4.0)]
+    own = user_marts.user_group_comparison(ratings, attributes, users).filter("group_type = 'gender'")
+    assert rows_of(own, "user_id", "group_value") == [(1, "m"), (2, "x"), (3, "f")]

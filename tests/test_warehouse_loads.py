@@ -122,3 +122,46 @@ def test_quality_reports(table, rows_of):
     assert report["user_id"] == (True, 1, 4) and report["food_score"] == (False, 0, 4)
     empty = quality.contract_report(fact.limit(0), spec).collect()
     assert len(empty) == 4 and {r.row_count for r in empty} == {0}
+
+
+def test_a_load_reads_only_its_dates(spark, table):
+    name, root = "fact_user_food_feedback", scratch_path(spark, "warehouse")
+    loads.store(table(name, [(1, 1, 2.0, MAY1), (1, 2, 3.0, MAY2)]), root, name)
+    touched = loads._touched(loads.read_table(spark, root, name), table(name, [(9, 9, 1.0, MAY2)]), contract(name))
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "2025-05-02" in plan
+
+
+def test_null_keys_are_refused_before_anything_is_written(spark, table, rows_of):
+    name, root = "fact_user_food_feedback", scratch_path(spark, "warehouse")
+    loads.store(table(name, [(1, 1, 2.0, MAY1)]), root, name)
+    for strategy in loads.STRATEGIES:
+        with pytest.raises(loads.NullKeyError):
+            loads.store(table(name, [(2, 2, 1.0, None)]), root, name, strategy)
+    assert rows_of(loads.read_table(spark, root, name)) == [(1, 1, 2.0, MAY1)]
+
+
+def test_arrival_order_decides_among_repeats(spark, rows_of):
+    name = "fact_user_food_feedback"
+    batch = spark.createDataFrame([(2, 1, 1, 5.0, MAY1), (1, 1, 1, 9.0, MAY1)], "id long, user_id long, food_id long, food_score double, rating_date date")
+    for strategy, score in (("ignore", 9.0), ("overwrite", 5.0)):
+        root = scratch_path(spark, "warehouse")
+        loads.store(batch, root, name, strategy, "id")
+        assert rows_of(loads.read_table(spark, root, name)) == [(1, 1, score, MAY1)]
+
+
+def test_a_repeat_in_the_target_is_not_the_batch_s_fault(spark):
+    target = spark.createDataFrame([(1, "a"), (1, "b")], "id long, v string")
+    assert loads.load_append(target, spark.createDataFrame([(2, "c")], target.schema), ["id"]).count() == 3
+
+
+def test_whole_table_overwrite(spark, table, rows_of):
+    root, name = scratch_path(spark, "marts"), "dm_user_tag_stats"
+    loads.replace_table(table(name, [(1, "a", 2), (2, "b", 1)]), root, name)
+    loads.replace_table(table(name, [(1, "c", 3)]), root, name)
+    assert rows_of(loads.read_table(spark, root, name)) == [(1, "c", 3)]
+    with pytest.raises(ValueError, match="missing columns"):
+        loads.replace_table(table(name, [(1, "d", 4)]).drop("tag"), root, name)
+    with pytest.raises(ValueError, match="unknown table"):
+        loads.replace_table(table(name, []), root, "elsewhere")
+    assert rows_of(loads.read_table(spark, root, name)) == [(1, "c", 3)]
