@@ -19,9 +19,14 @@ _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 _SHIPPED: set[str] = set()
 
+#: Texts are long rows: what a Python worker holds at once is bounded by bytes, not by ten thousand rows.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python of the application's executors, once."""
+    """Send this package to the Python of the application's executors, once, and bound the batches they get."""
+    for key, value in BATCH.items():
+        spark.conf.set(key, value)
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:
         package = Path(__file__).resolve().parents[1]

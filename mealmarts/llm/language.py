@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from mealmarts.llm.common import map_batches, mixed
 
 BUCKETS, SCRIPT_SHARE, SWITCH, SMOOTH = 1 << 16, 0.01, 14.0, 0.5
-BLOCK = 2_000_000  # characters scored at once, one text at least
+BLOCK = 500_000  # characters scored at once, one text at least
 
 # Script ranges of Unicode blocks (first, last code point, script).
 RANGES = [

@@ -22,7 +22,7 @@ from mealmarts.llm import (
     token_files,
 )
 from mealmarts.llm.common import ship
-from mealmarts.session import scratch_path
+from mealmarts.session import scratch_path, tune
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_PIECES = public_tokenizers.path("word_bpe_49k.json")
@@ -99,6 +99,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     @functools.wraps(query)
     def run(spark: SparkSession, folder: str) -> DataFrame:
         ship(spark)
+        tune(spark)
         return query(spark, folder)
 
     return run
@@ -118,10 +119,10 @@ SQL: dict[str, str] = {
     "op9_containment_search": r"""
 with words as (
   select doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x20\x09-\x0D]+'), x -> x <> '') w from documents),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') w from documents),
 item_words as (
   select item_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x20\x09-\x0D]+'), x -> x <> '') w from benchmark),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') w from benchmark),
 item_shingles as (
   select distinct item_id, array_to_string(w[i:i+4], ' ') s
   from (select item_id, w, unnest(range(1, len(w) - 3)) i from item_words)),
