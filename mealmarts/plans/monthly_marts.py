@@ -18,18 +18,18 @@ def monthly_food_ranking(
 ) -> DataFrame:
     """Best and worst dishes of a month by unrounded mean; ties go to the lower food id.
 
-    Ratings are reduced to one row per dish and month before names are joined.
+    Ratings are reduced to one row per dish and month, and those to ten per month, before names are joined.
     """
     means = (
         in_month(food_review, "timestamp", month)
         .groupBy(month_text("timestamp").alias("month"), "food_id")
         .agg(F.avg("food_score").alias("mean"), F.count("*").alias("count"))
     )
-    named = means.join(food.select("food_id", "food_name"), "food_id")
-    best = top_n(named, ["month"], [F.col("mean").desc_nulls_last(), F.col("food_id")], depth, "rank")
-    worst = top_n(named, ["month"], [F.col("mean").asc_nulls_first(), F.col("food_id")], depth, "rank")
+    known = means.join(food.select("food_id"), "food_id", "left_semi")
+    best = top_n(known, ["month"], [F.col("mean").desc_nulls_last(), F.col("food_id")], depth, "rank")
+    worst = top_n(known, ["month"], [F.col("mean").asc_nulls_first(), F.col("food_id")], depth, "rank")
     ranked = best.withColumn("rank_type", F.lit("best")).unionByName(worst.withColumn("rank_type", F.lit("worst")))
-    return ranked.select(
+    return ranked.join(food.select("food_id", "food_name"), "food_id").select(
         "month", "food_id", "food_name", decimal_score(F.col("mean")).alias("avg_score"), "rank_type", "rank", "count"
     )
 
