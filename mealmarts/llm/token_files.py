@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import functools
 import os
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from mealmarts.llm.common import map_batches, parts
 
 SEGMENT, RANK_EVERY, CACHE = 1 << 20, 512, 400_000
+SIGNS = b"".join(bytes([c]) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 _LEVEL = "struct<chunks:binary,bits:binary,ranks:binary>"
 SCHEMA = (
     "range int, segment int, range_offset long, n_ids long, doc_ids array<bigint>, doc_starts array<bigint>, "
@@ -98,41 +99,72 @@ class _Numbers(dict):
 
 
 class WordEncoder:
-    """Encodes each different word once.
+    """Encodes each different word once, and each stem of words once.
 
     The vocabulary's splitter drops white space and no rule reaches across it, so a text's ids
-    are its words' ids in order. At most ``CACHE`` words and one batch are kept.
+    are its words' ids in order. It also parts letters and digits from the signs after them, so a word that ends in signs
+    has the ids of its stem and those of the signs. Beyond ``CACHE`` words, those seen once are dropped; beyond as many stems, all stems.
     """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
-        self.forget()
-
-    def forget(self) -> None:
-        self.numbers, self.ids, self.starts = _Numbers(), np.empty(0, np.uint32), np.zeros(1, np.int64)
+        self.numbers, self.uses = _Numbers(), np.empty(0, np.int64)
+        self.ids, self.starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
+        self.stems: dict[bytes, list[int]] = {}
+
+    def _trim(self) -> None:
+        kept = np.flatnonzero(self.uses > 1)
+        if 2 * len(kept) > CACHE:
+            kept = kept[:0]
+        words = list(self.numbers)
+        self.numbers = _Numbers((words[i], n) for n, i in enumerate(kept.tolist()))
+        self.ids, counts = self._gather(kept)
+        self.starts, self.uses = np.concatenate([[0], np.cumsum(counts)]), np.zeros(len(kept), np.int64)
+        if len(self.stems) > CACHE:
+            self.stems = {}
+
+    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        counts = self.starts[at + 1] - self.starts[at]
+        ends = np.cumsum(counts)
+        return self.ids[np.repeat(self.starts[at] - ends + counts, counts) + np.arange(counts.sum())], counts
+
+    def _learn(self, words: list[bytes]) -> None:
+        parts = []
+        for word in words:
+            stem = word.rstrip(SIGNS)
+            cut = len(stem) if stem[-1:].isalnum() else len(word)
+            parts.append((word[:cut], word[cut:]))
+        fresh = [p for p in dict.fromkeys(p for pair in parts for p in pair) if p not in self.stems]
+        encoded = self.tokenizer.encode_batch_fast([p.decode() for p in fresh], add_special_tokens=False)
+        self.stems.update((p, e.ids) for p, e in zip(fresh, encoded))
+        made = [self.stems[stem] + self.stems[signs] for stem, signs in parts]
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(made), np.uint32)])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(m) for m in made])])
+        self.uses = np.concatenate([self.uses, np.zeros(len(made), np.int64)])
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         if len(self.numbers) > CACHE:
-            self.forget()
+            self._trim()
         split = [t.encode().split() if t else [] for t in texts]
         lengths = np.fromiter(map(len, split), np.int64, len(split))
         at = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(split)), np.int64, int(lengths.sum()))
-        known = len(self.starts) - 1
-        if len(self.numbers) > known:
-            fresh = [w.decode() for w in list(self.numbers)[known:]]
-            made = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
-            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(made), np.uint32)])
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(m) for m in made])])
-        counts = self.starts[at + 1] - self.starts[at]
+        if len(self.numbers) > len(self.uses):
+            self._learn(list(islice(self.numbers, len(self.uses), None)))
+        self.uses += np.bincount(at, minlength=len(self.uses))
+        flat, counts = self._gather(at)
         ends = np.concatenate([[0], np.cumsum(counts)])
-        flat = self.ids[np.repeat(self.starts[at] - ends[:-1], counts) + np.arange(ends[-1])]
-        cuts = ends[np.cumsum(lengths)[:-1]] if len(lengths) else []
-        return np.split(flat, cuts)
+        return np.split(flat, ends[np.cumsum(lengths)[:-1]]) if len(split) else []
+
+
+@functools.lru_cache(1)
+def _encoder(path: str) -> WordEncoder:
+    """One per Python worker: what it has learned serves the worker's next tasks."""
+    return WordEncoder(path)
 
 
 def _segments(tokenizer: str, end_id: int, segment_ids: int):
     def run(batches):
-        encoder, task = WordEncoder(tokenizer), TaskContext.get().partitionId()
+        encoder, task = _encoder(tokenizer), TaskContext.get().partitionId()
         docs, held, number, offset = [], [], 0, 0
 
         def close():
