@@ -203,7 +203,11 @@ def label(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
 
     def run(batch: pa.RecordBatch):
         model = shared.value
-        for at, texts in blocks(batch.column(1).to_pylist()):
+        # By length, so that texts of a block end together and a long one holds up few.
+        texts = batch.column(1).to_pylist()
+        order = sorted(range(len(texts)), key=lambda i: len(texts[i] or ""))
+        doc_ids = batch.column(0).take(pa.array(order))
+        for at, texts in blocks([texts[i] for i in order]):
             n, langs = len(texts), model.langs
             pred, score, spans = ["und"] * n, [0.0] * n, [[] for _ in range(n)]
             found = split(texts) if langs else None
@@ -218,7 +222,7 @@ def label(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
                 for a, b in zip(new.tolist(), last.tolist()):
                     spans[found.text[a]].append({"start": int(found.start[a]), "stop": int(found.stop[b]), "lang": langs[labels[a]]})
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(at, n), pa.array(pred), pa.array(score, pa.float64()), pa.array(spans, _SPANS)],
+                [doc_ids.slice(at, n), pa.array(pred), pa.array(score, pa.float64()), pa.array(spans, _SPANS)],
                 names=["doc_id", "lang_pred", "score", "spans"],
             )
 

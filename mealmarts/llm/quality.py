@@ -203,7 +203,7 @@ def _step(rows: DataFrame, estimates: DataFrame, core: float) -> DataFrame:
 
 
 def estimates(rows: DataFrame, core: float = CORE, least: int = LEAST, steps: int = STEPS) -> DataFrame:
-    """(g, n, det, centre, inverse) of the groups ``g`` of ``rows`` (g, v0..) with ``least`` rows or more."""
+    """(g, n rows, det, centre, inverse) of the groups ``g`` of ``rows`` (g, v0..) with ``least`` rows or more."""
     sizes = rows.groupBy("g").count().filter(F.col("count") >= least)
     rows = rows.join(stage(sizes, "mcd_groups").select("g"), "g")
     current = _starts(rows)
