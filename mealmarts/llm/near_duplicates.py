@@ -5,10 +5,10 @@ and are handled as one. Every class has ``TOKENS`` minwise tokens and a ``SKETCH
 
 Each of ``TREES`` independent trees branches the classes by a minwise token; a node of more than
 ``NODE`` classes branches again by ``BRANCHES`` further tokens chosen by its path, up to ``DEPTH``
-levels. A pair of similarity s parts from a branch with probability 1 - s, so it meets in a small
+levels, unless a branch keeps over half of it: its members are alike then. A pair of similarity s parts from a branch with probability 1 - s, so it meets in a small
 node of some tree with probability 1 - (1 - s)^TREES or more where one level is enough: 0.99999 at
 0.85; two branches a level keep it so below. Small nodes are compared exhaustively on
-sketches; a node still too large at the last level is compared in blocks of ``NODE``, all blocks
+sketches; a node still too large is compared in blocks of ``NODE``, all blocks
 against all. Pairs whose sketches agree within five standard errors are confirmed on their full
 sets, from the texts, unless they are linked already: inside a node linked classes form trees, and
 later trees start from the links of the first. So a node of n classes costs n - 1 links, not n^2.
@@ -87,34 +87,43 @@ def nodes(sets: DataFrame, trees: int = TREES, limit: int = NODE, depth: int = D
     """(tree, node, rep): the members of every node of two or more, blocks of large ones included."""
     token = F.col("tokens")[F.pmod("pick", F.lit(TOKENS))]
     current = (
-        sets.select("rep", "tokens", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+        sets.select("tokens", "rep", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
         .withColumn("pick", F.col("tree"))
         .select("tree", F.xxhash64("tree", token).alias("node"), "rep")
     )
-    out = None
-    for level in range(1, depth + 1):
-        current = stage(current, "nodes")
-        sized = current.groupBy("node").count().filter("count > 1").withColumnRenamed("count", "n")
-        members = stage(current.join(stage(sized, "node_sizes"), "node"), "members")
-        small = members.filter(F.col("n") <= limit).select("tree", "node", "rep")
-        out = small if out is None else out.unionByName(small)
-        large = members.filter(F.col("n") > limit)
+    members = _sized(stage(current, "nodes"))
+    out, blocks, large = members.filter(F.col("n") <= limit), [], members.filter(F.col("n") > limit)
+    for _ in range(depth - 1):
         if large.isEmpty():
-            return out
-        if level < depth:
-            current = (
-                large.select("tree", "node", "rep", F.explode(F.sequence(F.lit(1), F.lit(BRANCHES))).alias("branch"))
-                .withColumn("pick", F.xxhash64("node", "branch"))
-                .join(sets.select("rep", "tokens"), "rep")
-                .select("tree", F.xxhash64("node", "branch", token).alias("node"), "rep")
-            )
+            break
+        branched = (
+            large.select("tree", F.col("node").alias("parent"), F.col("n").alias("above"), "rep", F.explode(F.sequence(F.lit(1), F.lit(BRANCHES))).alias("branch"))
+            .withColumn("pick", F.xxhash64("parent", "branch"))
+            .join(sets.select("rep", "tokens"), "rep")
+            .select("tree", F.xxhash64("parent", "branch", token).alias("node"), "rep", "parent", "above")
+        )
+        children = _sized(stage(branched, "branches"))
+        # Where a branch keeps over half of its node, the members are alike and further branches would only repeat them.
+        alike = stage(children.filter("2 * n > above").select("parent").distinct(), "alike")
+        blocks.append(large.join(alike.withColumnRenamed("parent", "node"), "node", "left_semi"))
+        children = children.join(alike, "parent", "left_anti").select("tree", "node", "rep", "n")
+        out = out.unionByName(children.filter(F.col("n") <= limit))
+        large = children.filter(F.col("n") > limit)
     # Each block of a large node meets each other block once.
     count = F.ceil(F.col("n") / limit).cast("int")
-    own = F.pmod(F.xxhash64("rep"), count).cast("int")
-    blocks = large.withColumn("blocks", count).withColumn("own", own)
-    met = blocks.select("tree", "node", "rep", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     pair = F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other"))
-    return out.unionByName(met.select("tree", pair.alias("node"), "rep"))
+    out = out.select("tree", "node", "rep")
+    for rows in (*blocks, large):
+        met = rows.withColumn("own", F.pmod(F.xxhash64("rep"), count).cast("int"))
+        met = met.withColumn("other", F.explode(F.sequence(F.lit(0), count - 1)))
+        out = out.unionByName(met.select("tree", pair.alias("node"), "rep"))
+    return out
+
+
+def _sized(rows: DataFrame) -> DataFrame:
+    """``rows`` of nodes of two or more, with the node's size ``n``."""
+    sizes = rows.groupBy("node").count().filter("count > 1").withColumnRenamed("count", "n")
+    return stage(rows.join(stage(sizes, "node_sizes"), "node"), "members")
 
 
 def _agreement(similarity: float) -> int:
