@@ -29,7 +29,7 @@ from mealmarts.session import stage
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
-BLOCK = 1 << 20  # units of a text handled at once
+BLOCK = 1 << 18  # units handled at once
 NO_ID = -(1 << 63)
 
 
@@ -51,11 +51,12 @@ class Shape(NamedTuple):
 _OF_BYTE = mixed(np.arange(256, dtype=np.uint64) + _STEP)
 
 
-def units(shape: Shape, text: str | None) -> np.ndarray:
+def units(shape: Shape, text: str | bytes | None) -> np.ndarray:
     """A random-looking 64-bit number for every unit."""
+    raw = text if isinstance(text, bytes) else (text or "").encode()
     if shape.unit == "byte":
-        return _OF_BYTE[np.frombuffer((text or "").encode(), np.uint8)]
-    return mixed(word_hashes(words(text)))
+        return _OF_BYTE[np.frombuffer(raw, np.uint8)]
+    return mixed(word_hashes(raw.split()))
 
 
 class _Hashes:
@@ -85,33 +86,65 @@ class _Hashes:
 
 
 class Found(NamedTuple):
+    text: np.ndarray  # number of the text
     place: np.ndarray
     anchor: np.ndarray
     context: np.ndarray
     halves: np.ndarray  # left in the high 32 bits, right in the low; 0 where the text is too short for it
 
-
-def anchors(values: np.ndarray, shape: Shape, details: bool) -> Found:
-    """Anchors of a text, with contexts if ``details``. Long texts go by blocks that share their edges."""
-    out, n, margin = [], len(values), 2 * shape.window
-    for begin in range(0, max(1, n), BLOCK):
-        low, high = max(0, begin - margin), min(n, begin + BLOCK + margin)
-        hashes = _Hashes(values[low:high])
-        grams = hashes.all(shape.gram)
-        place = leftmost_minima(grams, shape.window - shape.gram + 1)
-        place = place[(place + low >= begin) & (place + low < begin + BLOCK)]
-        anchor = grams[place]
-        context = halves = anchor
-        if details:
-            size = high - low
-            context = hashes(np.maximum(place - shape.before, 0), np.minimum(place + shape.window, size))
-            left = hashes(np.maximum(place - shape.half, 0), place) >> np.uint64(32)
-            right = hashes(place, np.minimum(place + shape.gram + shape.half, size)) >> np.uint64(32)
-            left = np.where(place >= shape.half, left | np.uint64(1), np.uint64(0))
-            right = np.where(place + shape.gram + shape.half <= size, right | np.uint64(1), np.uint64(0))
-            halves = (left << np.uint64(32)) | right
-        out.append(Found(place + low, anchor, context, halves))
-    return out[0] if len(out) == 1 else Found(*map(np.concatenate, zip(*out)))
+    def chosen(self, rows: np.ndarray) -> Found:
+        return Found(*[column[rows] for column in self])
+
+
+def anchors(texts: list[np.ndarray], shape: Shape, details: bool) -> Found:
+    """Anchors of some texts (their units), with contexts if ``details``. The texts stand one after the other here."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    values = np.concatenate(texts) if len(texts) > 1 else texts[0]
+    hashes = _Hashes(values)
+    grams = hashes.all(shape.gram)
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    end = np.cumsum(sizes)
+    # A text's last gram starts this far before its end.
+    place = leftmost_minima(grams, shape.window - shape.gram + 1, end[owner[: len(grams)]] - shape.gram + 1)
+    anchor, text = grams[place], owner[place]
+    stop = end[text]
+    start = stop - sizes[text]
+    if not details:
+        return Found(text, place - start, anchor, anchor, anchor)
+    context = hashes(np.maximum(place - shape.before, start), np.minimum(place + shape.window, stop))
+    left = hashes(np.maximum(place - shape.half, start), place) >> np.uint64(32)
+    right = hashes(place, np.minimum(place + shape.gram + shape.half, stop)) >> np.uint64(32)
+    left = np.where(place - shape.half >= start, left | np.uint64(1), np.uint64(0))
+    right = np.where(place + shape.gram + shape.half <= stop, right | np.uint64(1), np.uint64(0))
+    return Found(text, place - start, anchor, context, (left << np.uint64(32)) | right)
+
+
+def anchors_by_block(texts: list[str | None], shape: Shape, details: bool) -> Iterator[Found]:
+    """Anchors of all texts: short ones together, a text beyond ``BLOCK`` units in parts that share their edges."""
+    held, numbers, count = [], [], 0
+
+    def flush() -> Found:
+        found = anchors(held, shape, details)
+        return found._replace(text=np.array(numbers)[found.text])
+
+    for i, text in enumerate(texts):
+        values = units(shape, text)
+        if held and count + len(values) > BLOCK:
+            yield flush()
+            held, numbers, count = [], [], 0
+        if len(values) <= BLOCK:
+            held.append(values)
+            numbers.append(i)
+            count += len(values)
+            continue
+        for begin in range(0, len(values), BLOCK):
+            low = max(0, begin - 2 * shape.window)
+            found = anchors([values[low : begin + BLOCK + 2 * shape.window]], shape, details)
+            place = found.place + low
+            found = found._replace(text=found.text + i, place=place)
+            yield found.chosen((place >= begin) & (place < begin + BLOCK))
+    if held:
+        yield flush()
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -123,22 +156,18 @@ def keyed(docs: DataFrame) -> DataFrame:
 def occurrences(docs: DataFrame, shape: Shape) -> DataFrame:
     """(anchor, context, halves, doc, at) of the anchors that recur; ``at`` is place * 65536 + mark. Staged."""
 
-    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [anchors(units(shape, t), shape, False).anchor for t in batch.column(0).to_pylist()]
-        anchor, n = np.unique(np.concatenate(found), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(n)], names=["anchor", "n"])
+    def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for found in anchors_by_block(batch.column(0).to_pylist(), shape, False):
+            anchor, n = np.unique(found.anchor, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(n)], names=["anchor", "n"])
 
     def detail(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        rows = []
-        for doc, mark, text in zip(*(c.to_pylist() for c in batch.columns)):
-            f = anchors(units(shape, text), shape, True)
-            at = f.place * 65536 + mark
-            rows.append((f.anchor, f.context, f.halves, np.full(len(at), doc), at))
-            if len(rows) == 2000:
-                yield _arrays(rows)
-                rows = []
-        if rows:
-            yield _arrays(rows)
+        doc, mark = (np.array(batch.column(c).to_pylist(), np.int64) for c in (0, 1))
+        for found in anchors_by_block(batch.column(2).to_pylist(), shape, True):
+            columns = [found.anchor, found.context, found.halves, doc[found.text], found.place * 65536 + mark[found.text]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c.view(np.int64)) for c in columns], names=["anchor", "context", "halves", "doc", "at"]
+            )
 
     counted = map_batches(docs.select("text"), count, "anchor long, n long")
     recurring = stage(counted.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor"), "anchors")
@@ -146,11 +175,6 @@ def occurrences(docs: DataFrame, shape: Shape) -> DataFrame:
     return stage(detailed.join(recurring, "anchor"), "occurrences")
 
 
-def _arrays(rows: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-    columns = [np.concatenate(c).view(np.int64) for c in zip(*rows)]
-    return pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["anchor", "context", "halves", "doc", "at"])
-
-
 def classes(occurring: DataFrame) -> DataFrame:
     """(anchor, context, halves, n, doc, at): the first occurrence of every class. Staged."""
     first = F.min(F.struct("doc", (F.col("at") % 65536).alias("mark"), "at")).alias("first")
@@ -198,17 +222,29 @@ def contexts(texts: DataFrame, wanted: DataFrame, shape: Shape) -> DataFrame:
 
 
 def windows(around: DataFrame, shape: Shape) -> DataFrame:
-    """(phrase, doc, start, mark, at) of every window of the contexts; a phrase is told apart by its anchor."""
+    """(phrase, doc, start, mark, at) of the windows that have the context's anchor for their own.
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    A phrase is told apart by its anchor.
+    """
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         rows = []
         for anchor, doc, at, left, body in zip(*(batch.column(c).to_pylist() for c in ("anchor", "doc", "at", "left", "body"))):
-            values = mixed(word_hashes(body.split())) if shape.unit == "word" else _OF_BYTE[np.frombuffer(body, np.uint8)]
-            hashes = mixed(_Hashes(values).all(shape.window) ^ np.int64(anchor).view(np.uint64))
-            start = (at >> 16) - left + np.arange(len(hashes))
-            rows.append((hashes.view(np.int64), np.full(len(hashes), doc), start, np.full(len(hashes), at & 65535), np.full(len(hashes), at)))
-        columns = [np.concatenate(c).astype(np.int64) for c in zip(*rows)]
-        return pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["phrase", "doc", "start", "mark", "at"])
+            hashes = _Hashes(units(shape, body))
+            grams, phrases = hashes.all(shape.gram), hashes.all(shape.window)
+            # Back to the last gram before the anchor that is as small, and on to the first after it that is smaller.
+            before = np.flatnonzero(grams[:left] <= grams[left])
+            after = np.flatnonzero(grams[left + 1 :] < grams[left])
+            low = before[-1] + 1 if len(before) else 0
+            high = min(left + 1 + after[0] - (shape.before + 1) if len(after) else left, left, len(phrases) - 1)
+            rows.append((phrases[low : high + 1], max(0, high + 1 - low), (at >> 16) - left + low, anchor, doc, at))
+        if rows:
+            phrases, count, start, anchor, doc, at = zip(*rows)
+            count, phrase = np.array(count), np.concatenate(phrases)
+            anchor, doc, at, first = (np.repeat(np.array(c, np.int64), count) for c in (anchor, doc, at, start))
+            place = first + np.arange(len(phrase)) - np.repeat(np.cumsum(count) - count, count)
+            columns = [mixed(phrase ^ anchor.view(np.uint64)).view(np.int64), doc, place, at & 65535, at]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["phrase", "doc", "start", "mark", "at"])
 
     return map_batches(around, run, "phrase long, doc long, start long, mark long, at long")
 

@@ -62,24 +62,33 @@ def gram_hashes(values: np.ndarray, n: int) -> np.ndarray:
     return mixed(total)
 
 
-def leftmost_minima(keys: np.ndarray, width: int) -> np.ndarray:
+def leftmost_minima(keys: np.ndarray, width: int, ends: np.ndarray | None = None) -> np.ndarray:
     """Positions that are the leftmost smallest key of some ``width`` consecutive keys, ascending.
 
-    Two block-wise running minima give every window's smallest key, whatever the width. A place
-    in the low bits settles ties to the left. Empty if there are fewer keys than ``width``.
+    Running minima to both sides of every ``width``-th place give each window's smallest key, whatever
+    the width. A place in the lowest bits settles ties to the left. ``ends``: per key, where its row of
+    keys ends, if several rows stand one after the other; a window lies in one row.
     """
     n = len(keys)
     if n < width:
         return np.empty(0, np.int64)
-    bits = np.uint64(max(1, int(n).bit_length()))
-    ranked = (keys >> bits << bits) | np.arange(n, dtype=np.uint64)
+    bits = np.uint64(max(1, (width - 1).bit_length()))
     padded = np.full(-(-n // width) * width, np.iinfo(np.uint64).max, np.uint64)
-    padded[:n] = ranked
+    padded[:n] = keys >> bits << bits
     blocks = padded.reshape(-1, width)
+    blocks |= np.arange(width, dtype=np.uint64)
     ahead = np.minimum.accumulate(blocks, axis=1).ravel()
     back = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    least = np.minimum(back[: n - width + 1], ahead[width - 1 : n])
-    return np.unique(least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    start = np.arange(n - width + 1)
+    if ends is not None:
+        start = start[start + width <= ends[start]]
+    last = start + (width - 1)
+    left, right = back[start], ahead[last]
+    low = (np.uint64(1) << bits) - np.uint64(1)
+    at_left = left >> bits <= right >> bits
+    found = np.where(at_left, start - start % width + (left & low).astype(np.int64), last - last % width + (right & low).astype(np.int64))
+    # Windows advance by one, so equal places stand together.
+    return found[np.concatenate([[True], found[1:] != found[:-1]])] if len(found) else found
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -16,6 +16,8 @@ a null id is the least. Texts under ``WINDOW`` words lose nothing. Other columns
 from __future__ import annotations
 
 
+from collections.abc import Callable
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
@@ -40,13 +42,13 @@ def confirmed(around: DataFrame, shape: A.Shape = SHAPE) -> DataFrame:
     return repeated.filter(again).groupBy("first.doc", "first.at").agg(F.collect_list("first.start").alias("starts"))
 
 
-def _automaton(phrases: list[tuple]) -> tuple[ahocorasick.Automaton, dict[bytes, int]]:
+def _automaton(phrases: list[tuple]) -> tuple[ahocorasick.Automaton, Callable]:
     numbers: dict[bytes, int] = {}
     automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
     for sequence, first in phrases:
         automaton.add_word(tuple(numbers.setdefault(w, len(numbers) + 1) for w in sequence), first)
     automaton.make_automaton()
-    return automaton, numbers
+    return automaton, numbers.get
 
 
 def located(around: DataFrame, firsts: DataFrame, shape: A.Shape = SHAPE) -> DataFrame:
@@ -72,7 +74,7 @@ def located(around: DataFrame, firsts: DataFrame, shape: A.Shape = SHAPE) -> Dat
     )
 
     def run(batches):
-        own, phrases, automaton, numbers = None, [], None, {}
+        own, phrases, automaton, number = None, [], None, None
         for batch in batches:
             out = []
             for shard, kind, doc, at, left, body, starts in zip(*(c.to_pylist() for c in batch.columns)):
@@ -84,17 +86,21 @@ def located(around: DataFrame, firsts: DataFrame, shape: A.Shape = SHAPE) -> Dat
                     phrases += [(sequence[s - begin : s - begin + shape.window], (doc, mark, s)) for s in starts]
                     continue
                 if phrases:
-                    (automaton, numbers), phrases = _automaton(phrases), []
+                    automaton, number = _automaton(phrases)
+                    phrases = []
                 if automaton is None:
                     continue
-                mark, taken = at & 65535, []
-                for end, first in automaton.iter(tuple(numbers.get(w, 0) for w in sequence)):
+                mark, low, high = at & 65535, 0, -1
+                for end, first in automaton.iter(tuple([number(w, 0) for w in sequence])):  # ends ascend
                     start = begin + end - shape.window + 1
                     if first != (doc, mark, start):
-                        taken.append(start)
-                if taken:
-                    starts, stops = merged(np.array(taken), np.array(taken) + shape.window)
-                    out += [(doc, mark, a, b) for a, b in zip(starts.tolist(), stops.tolist())]
+                        if start > high:
+                            if high >= 0:
+                                out.append((doc, mark, low, high))
+                            low = start
+                        high = start + shape.window
+                if high >= 0:
+                    out.append((doc, mark, low, high))
             names = ["doc", "mark", "start", "stop"]
             yield pa.RecordBatch.from_pydict({n: pa.array([o[i] for o in out], pa.int64()) for i, n in enumerate(names)})
 

@@ -18,6 +18,10 @@ def test_leftmost_minima():
         width = rng.randint(1, 12)
         want = {min(range(i, i + width), key=lambda j: (keys[j], j)) for i in range(len(keys) - width + 1)}
         assert leftmost_minima(np.array(keys, np.uint64), width).tolist() == sorted(want)
+        end = rng.randint(0, len(keys))
+        ends = np.where(np.arange(len(keys)) < end, end, len(keys))
+        want = {min(range(i, i + width), key=lambda j: (keys[j], j)) for i in range(len(keys) - width + 1) if i + width <= ends[i]}
+        assert leftmost_minima(np.array(keys, np.uint64), width, ends).tolist() == sorted(want)
 
 
 def test_merged_spans_join_where_they_touch():
@@ -31,11 +35,16 @@ def test_equal_windows_share_an_anchor_also_across_blocks(monkeypatch):
     shared = "".join(rng.choice("abc") for _ in range(150))
     one = "".join(rng.choice("abc") for _ in range(500)) + shared
     two = shared + "".join(rng.choice("abc") for _ in range(700))
-    whole = A.anchors(A.units(shape, one), shape, True)
+    short = [None, "", "abc", one[:41]]
+
+    def found(details):
+        parts = list(A.anchors_by_block([one, *short, two], shape, details))
+        return [np.concatenate(c) for c in zip(*parts)]
+
+    whole = found(True)
     monkeypatch.setattr(A, "BLOCK", 64)
-    cut = A.anchors(A.units(shape, one), shape, True)
-    assert all((a == b).all() for a, b in zip(whole, cut))
-    places = {t: set(A.anchors(A.units(shape, t), shape, False).place.tolist()) for t in (one, two)}
+    assert all((a == b).all() for a, b in zip(whole, found(True)))
+    places = {t: set(whole[1][whole[0] == i].tolist()) for i, t in ((0, one), (5, two))}
     for i in range(150 - 40 + 1):
         mine = {p - 500 - i for p in places[one] if 0 <= p - 500 - i <= shape.before}
         assert mine & {p - i for p in places[two] if 0 <= p - i <= shape.before}
