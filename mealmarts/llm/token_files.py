@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from mealmarts.llm.common import map_batches, parts
 
-SEGMENT, RANK_EVERY, CACHE = 1 << 20, 512, 400_000
+SEGMENT, RANK_EVERY, CACHE = 1 << 20, 512, 600_000
 SIGNS = b"".join(bytes([c]) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 _LEVEL = "struct<chunks:binary,bits:binary,ranks:binary>"
 SCHEMA = (
