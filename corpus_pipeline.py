@@ -15,6 +15,8 @@ from mealmarts.llm.common import ship
 from mealmarts.llm.queries import RANKS
 from mealmarts.session import scratch_path, stage
 
+NEAR = 80  # percent of shingles shared by near-duplicates
+
 
 def _without(docs: DataFrame, verdicts: DataFrame, name: str) -> DataFrame:
     """``docs`` without the rows named in ``verdicts`` (doc_id). Ids alone are staged, so their size is known."""
@@ -27,7 +29,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, near_duplicates.near_duplicates(docs).filter("not kept"), "duplicates")
+    """Links from a similarity of 0.8 of the shingles; 0.85 is the contract of ``op7`` alone."""
+    return _without(docs, near_duplicates.near_duplicates(docs, NEAR).filter("not kept"), "duplicates")
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

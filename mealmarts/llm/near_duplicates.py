@@ -7,7 +7,7 @@ Each of ``TREES`` independent trees branches the classes by a minwise token; a n
 ``NODE`` classes branches again by ``BRANCHES`` further tokens chosen by its path, up to ``DEPTH``
 levels, unless a branch keeps over half of it: its members are alike then. A pair of similarity s parts from a branch with probability 1 - s, so it meets in a small
 node of some tree with probability 1 - (1 - s)^TREES or more where one level is enough: 0.99999 at
-0.85; two branches a level keep it so below. Small nodes are compared exhaustively on
+0.85, 0.9999 at 0.8; two branches a level keep it so below. Small nodes are compared exhaustively on
 sketches; a node still too large is compared in blocks of ``NODE``, all blocks
 against all. Pairs whose sketches agree within five standard errors are confirmed on their full
 sets, from the texts, unless they are linked already: inside a node linked classes form trees, and

@@ -1,5 +1,7 @@
 """The stages and the whole, on given documents and on odd ones."""
 
+import random
+
 import pytest
 
 import corpus_pipeline
@@ -51,3 +53,18 @@ def test_odd_documents_pass_through(spark, docs, odd_rows):
             assert made.count() <= rows.count(), name
     kept = corpus_pipeline.quality_rules(spark, frame, FOLDER)
     assert all(r.doc_id is None or len(words(r.text)) >= 50 for r in kept.collect())
+
+
+def test_near_duplicates_from_four_fifths_on_are_linked(spark, docs):
+    """Pairs planted from 0.70 to 0.90, against brute force at 0.8."""
+    rng, rows, want, between = random.Random(9), [], set(), 0
+    for pair in range(60):
+        base = [f"w{rng.randint(0, 9999)}" for _ in range(204)]  # 200 shingles
+        copy = base[: 204 - (cut := rng.randint(10, 34))] + [f"e{rng.randint(0, 9999)}" for _ in range(cut)]
+        a, b = ({tuple(t[i : i + 5]) for i in range(200)} for t in (base, copy))
+        alike = len(a & b) / len(a | b)
+        between += 0.8 <= alike < 0.85
+        rows += [(2 * pair, " ".join(base)), (2 * pair + 1, " ".join(copy))]
+        want |= {2 * pair} if alike >= 0.8 else {2 * pair, 2 * pair + 1}
+    assert between > 5
+    assert ids(corpus_pipeline.near_dedup(spark, docs(rows), FOLDER)) == want
