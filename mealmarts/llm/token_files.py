@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 from itertools import chain, islice
 
 import numpy as np
@@ -87,9 +88,7 @@ def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a core per task
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return tokenizer
+    return Tokenizer.from_file(path)
 
 
 class _Numbers(dict):
@@ -103,11 +102,15 @@ class WordEncoder:
 
     The vocabulary's splitter drops white space and no rule reaches across it, so a text's ids
     are its words' ids in order. It also parts letters and digits from the signs after them, so a word that ends in signs
-    has the ids of its stem and those of the signs. Beyond ``CACHE`` words, those seen once are dropped; beyond as many stems, all stems.
+    has the ids of its stem and those of the signs. A word that holds the string of an added token, which has an id
+of its own wherever it occurs, is encoded whole. Beyond ``CACHE`` words, those seen once are dropped; beyond as many stems, all stems.
     """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # In any case of letters: tokens may be looked up in normalised text.
+        self.whole = re.compile("|".join(map(re.escape, added)) or r"(?!)", re.IGNORECASE)
         self.numbers, self.uses = _Numbers(), np.empty(0, np.int64)
         self.ids, self.starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
         self.stems: dict[bytes, list[int]] = {}
@@ -132,7 +135,7 @@ class WordEncoder:
         parts = []
         for word in words:
             stem = word.rstrip(SIGNS)
-            cut = len(stem) if stem[-1:].isalnum() else len(word)
+            cut = len(stem) if stem[-1:].isalnum() and not self.whole.search(word.decode()) else len(word)
             parts.append((word[:cut], word[cut:]))
         fresh = [p for p in dict.fromkeys(p for pair in parts for p in pair) if p not in self.stems]
         encoded = self.tokenizer.encode_batch_fast([p.decode() for p in fresh], add_special_tokens=False)

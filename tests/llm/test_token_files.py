@@ -62,3 +62,22 @@ def test_dropping_words_keeps_the_ids(monkeypatch):
         texts = [" ".join(rng.choice("abcdé,.!'") * rng.randint(1, 5) for _ in range(20)) for _ in range(3)]
         want = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
         assert [x.tolist() for x in encoder.encode(texts)] == want
+
+
+def test_ids_are_those_of_the_library(spark, docs):
+    """As the library gives them without any setting: the string of an added token is its one id."""
+    tokenizer = Tokenizer.from_file(PATH)
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    assert "<|endoftext|>" in added and "<|startoftext|>" in added
+    forms = ["{}", "x{}", "{}y", "x){}.", "({}!)", "{}{}", "é{}́.", "{}'s", "<{}>"]
+    pieces = [f.format(*[a] * f.count("{}")) for a in added for f in forms]
+    pieces += ["<|endoftext|", "|endoftext|>", "<|EndOfText|>", "<|ENDOFTEXT|>)", "<|endoftext |>", "plain", "Word).", "<|", "|>"]
+    rng = random.Random(12)
+    texts = [*pieces, "x <|endoftext|> y"] + [" ".join(rng.choice(pieces) for _ in range(30)) for _ in range(200)]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[len(pieces)] == [343, 49407, 344]
+    assert [x.tolist() for x in K.WordEncoder(PATH).encode(texts)] == want
+    path = scratch_path(spark, "test-tokens")
+    K.write(docs(list(enumerate(texts))), path, PATH, 2)
+    got = {r.doc_id: np.frombuffer(bytes(r.ids), "<u4").tolist() for r in K.read_documents(spark, path).collect()}
+    assert got == {i: [*ids, 2] for i, ids in enumerate(want)}
