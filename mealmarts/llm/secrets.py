@@ -38,11 +38,22 @@ class Rule(NamedTuple):
 
 
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+# A whole key: all from its BEGIN line to its END line. Without an END line, what follows the BEGIN line and looks like
+# a key: header lines, then base64 that is padded, in runs of 16 or more, or alone on its line and no plain word, then the
+# short rest on a line of its own. Line breaks may be escaped. Possessive throughout, so the time is linear.
+_BREAK, _RUN, _ALONE = r"""(?:\s|\\[nrt]|["'>])""", r"[A-Za-z0-9+/]", r"""(?=[^\S\n]*+(?:[\n"'`\\]|\Z))"""
+_WORD = rf"(?:[A-Z]?[a-z]*+|[A-Z]++)(?!{_RUN})"
+PRIVATE_KEY = (
+    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
+    r"(?:(?:[^-]++|-(?!----))*+-----END [A-Z ]{0,40}PRIVATE KEY-----"
+    rf"|(?:{_BREAK}++(?:Proc-Type|DEK-Info):[^\n\\]*+)*+"
+    rf"(?:(?:{_BREAK}*+(?:{_RUN}{{16,}}+={{0,2}}+|{_RUN}++={{1,2}}+|(?!{_WORD}){_RUN}++{_ALONE}))++(?:{_BREAK}++{_RUN}++{_ALONE})?+)?+)"
+)
 RULES = (
     Rule("assign", 1, ASSIGN, re.IGNORECASE | re.ASCII, 2, 12),
     Rule("access", 1, r"AKIA[A-Z0-9]+", least=18),
     Rule("hex", 1, r"[0-9a-f]{16,}"),  # a run of 16 or more is one match of the run
-    Rule("private_key", 1, r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("private_key", 2, PRIVATE_KEY),
     Rule("web_token", 1, r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
     Rule("host_token", 1, r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", 1, r"xox[abprs]-[A-Za-z0-9-]{20,}"),

@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 import pytest
 
@@ -65,3 +67,59 @@ def test_empty_table(docs, ledger):
     frame = docs(ROWS).limit(0)
     S.update_ledger(frame, ledger)
     assert S.findings(frame, ledger).count() == 0
+
+
+def body(rng, n):
+    return "".join(rng.choice("ABCDEFGHabcdefgh0123456789+/") for _ in range(n))
+
+
+@pytest.mark.parametrize("line", ["\n", "\r\n", "\\n", "\n> ", " "])
+@pytest.mark.parametrize("kind", ["RSA ", "", "ENCRYPTED ", "OPENSSH "])
+def test_nothing_is_left_of_a_private_key(line, kind):
+    rng = random.Random(3)
+    rows = [body(rng, 64) for _ in range(25)]
+    begin, end = f"-----BEGIN {kind}PRIVATE KEY-----", f"-----END {kind}PRIVATE KEY-----"
+    rule = next(r for r in S.RULES if r.kind == "private_key")
+    attributes = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0123ABCD", ""]
+    for inner in (rows, [*rows, "Qw=="], [*rows, "q1Z"], [*attributes, *rows] if line != " " else rows, ["short1+", "a9="]):
+        key = line.join([begin, *inner, end])
+        text = f"before it {key} and after it"
+        assert S.matches(rule, text) == [(10, 10 + len(key))], inner[-1]
+        assert S.matches(rule, f"{key}\n{key}") == [(0, len(key)), (len(key) + 1, 2 * len(key) + 1)]
+        cut = key[: -len(line + end)]  # no END line
+        assert S.matches(rule, f"before it {cut}") == [(10, 10 + len(cut))] or (line == " " and inner[0] == "short1+")
+        if line != " ":
+            assert S.matches(rule, f"before it {cut}\n\nand so on, it is over.") == [(10, 10 + len(cut))], inner[-1]
+
+
+def test_prose_after_a_bare_header_stays():
+    rule = next(r for r in S.RULES if r.kind == "private_key")
+    begin = "-----BEGIN PRIVATE KEY-----"
+    for rest in (" is how such a file begins", "\nis how\nit begins", "\nApples\nPEARS\nplums\n", ", -----", " -----BEGIN", ""):
+        assert S.matches(rule, begin + rest) == [(0, len(begin))], rest
+
+
+def test_many_headers_take_linear_time():
+    rule = next(r for r in S.RULES if r.kind == "private_key")
+    for unit in ("-----BEGIN PRIVATE KEY-----\n" + "- a" * 20, "-----BEGIN PRIVATE KEY-----\n" + "Aa1 " * 20, "-----BEGIN PRIVATE KEY-----" + "\n" * 60):
+        start = time.process_time()
+        assert len(S.matches(rule, unit * 20_000)) == 20_000
+        assert time.process_time() - start < 10
+
+
+def test_redaction_takes_the_whole_key(docs, ledger):
+    rng = random.Random(4)
+    rows = [body(rng, 64) for _ in range(20)]
+    key = "\n".join(["-----BEGIN RSA PRIVATE KEY-----", *rows, "Zz9=", "-----END RSA PRIVATE KEY-----"])
+    frame = docs([(1, f"one\n{key}\ntwo {key} three"), (2, key[:-30]), (3, "no key")])
+    S.update_ledger(frame, ledger)
+    texts = {r.doc_id: r.text for r in S.redact(frame, ledger).collect()}
+    assert texts == {1: "one\n[SECRET]\ntwo [SECRET] three", 2: "[SECRET]", 3: "no key"}
+
+
+def test_outcomes_of_the_old_key_rule_are_scanned_again(docs, ledger):
+    frame = docs([(1, "-----BEGIN PRIVATE KEY-----\nMIIEabc123\n-----END PRIVATE KEY-----")])
+    old = tuple(r._replace(version=1, pattern="-----BEGIN PRIVATE KEY-----") if r.kind == "private_key" else r for r in S.RULES)
+    S.update_ledger(frame, ledger, old)
+    S.update_ledger(frame, ledger)
+    assert [r.text for r in S.redact(frame, ledger).collect()] == ["[SECRET]"]
