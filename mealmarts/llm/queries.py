@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from mealmarts.llm import (
     bpe,
+    conversation_trie,
     decontamination,
     language,
     near_duplicates,
@@ -89,6 +90,11 @@ def op10_repeated_phrases(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.digests(phrases.remove_repeats(documents(spark, folder)))
 
 
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = conversation_trie.numbered(spark.read.parquet(f"{folder}/conversations.parquet"))
+    return conversation_trie.trie(*conversation_trie.rebuild(turns))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -110,11 +116,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_quality_outliers, op2_language_spans, op3_byte_bpe, op4_best_fit_shards, op5_suffix_sort,
         op6_secret_ledger, op7_chosen_path_join, op8_addressable_ids, op9_containment_search, op10_repeated_phrases,
-        pipeline,
+        op11_conversation_trie, pipeline,
     )
 }
 
-#: What DuckDB can express: containment of benchmark items, by plain joins on shingle texts.
+#: What DuckDB can express, by plain joins: containment of benchmark items on shingle texts; a trie whose nodes are lists of digests.
 SQL: dict[str, str] = {
     "op9_containment_search": r"""
 with words as (
@@ -132,4 +138,41 @@ sizes as (select item_id, count(*) n from item_shingles group by 1),
 shared as (select doc_id, item_id, count(*) n from shingles join item_shingles using (s) group by all)
 select doc_id, item_id, shared.n as n_shared, sizes.n as n_item from shared join sizes using (item_id)
 where shared.n >= 0.8 * sizes.n""",
+    "op11_conversation_trie": r"""
+with crc_table as (
+  select list(list_reduce([b, 1, 2, 3, 4, 5, 6, 7, 8], lambda a, x: xor(a >> 1, 3988292384 * (a & 1))) order by b) as t
+  from (select unnest(range(256)) as b)),
+turns as (
+  select conv_id, d, n, row_number() over (partition by conv_id order by turn nulls first, d) as place
+  from (select conv_id, turn, sha256(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) as d,
+               length(coalesce(text, '')) as n
+        from conversations where conv_id is not null)),
+convs as (
+  select conv_id, conv_id - conv_id % 100 as base, n,
+         xor(list_reduce([4294967295] || list_transform(range(1, length(s) + 1), lambda i: ascii(s[i:i])),
+                         lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 6 as h
+  from (select conv_id, cast(conv_id as varchar) as s, count(*) as n from turns group by conv_id), crc_table),
+members as (
+  select c.conv_id, c.base, c.h, least(c.h, coalesce(b.n, 0)) as shared,
+         least(c.h, coalesce(b.n, 0)) + greatest(c.n - c.h, 0) as n_turns
+  from convs c left join convs b on b.conv_id = c.base),
+sequences as (
+  select m.conv_id, place as depth, d, t.n from members m join turns t on t.conv_id = m.base and place <= m.h
+  union all
+  select m.conv_id, place - m.h + m.shared, d, t.n from members m join turns t on t.conv_id = m.conv_id and place > m.h),
+prefixes as (
+  select conv_id, depth, n, list(d) over (partition by conv_id order by depth) as k from sequences
+  union all select conv_id, 0, 0, [] from members),
+nodes as (
+  select p.depth, p.k, min(p.conv_id) as conv_id, count(*) as n_convs, any_value(p.n) as n,
+         coalesce(string_agg(cast(p.conv_id as varchar), ',' order by p.conv_id) filter (p.depth = n_turns), '') as ends
+  from prefixes p join members using (conv_id) group by p.depth, p.k),
+children as (select depth - 1 as depth, k[:-2] as k, count(*) as n_children from nodes where depth > 0 group by all),
+weights as (
+  select nodes.*, coalesce(n_children, 0) as n_children, (n_convs - 1) * n as saved from nodes left join children using (depth, k)),
+sums as (
+  select p.depth, p.k, count(*) filter (w.n_children = 0) as n_leaves, cast(sum(w.saved) as bigint) as saved_tokens
+  from weights w join prefixes p on p.conv_id = w.conv_id and p.depth <= w.depth group by p.depth, p.k)
+select w.conv_id, w.depth, up.conv_id as parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens, sha256(w.ends) as ends_sha256
+from weights w join sums using (depth, k) left join nodes up on up.depth = w.depth - 1 and up.k = w.k[:-2]""",
 }
