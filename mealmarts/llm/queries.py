@@ -6,11 +6,12 @@ import functools
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mealmarts.llm import (
     bpe,
+    compression,
     conversation_trie,
     decontamination,
     language,
@@ -27,13 +28,18 @@ from mealmarts.session import scratch_path, tune
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_PIECES = public_tokenizers.path("word_bpe_49k.json")
-END_ID, SHARDS = 2, 8
+END_ID, SHARDS, QUALITY_SCORE = 2, 8, 0.7
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def _held_out() -> Column:
+    """A quarter of the documents; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+
+
 def op1_quality_outliers(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.judge(quality.statistics(documents(spark, folder)))
     return judged.select(
@@ -43,9 +49,8 @@ def op1_quality_outliers(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_language_spans(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
-    model = language.train(docs.filter(F.coalesce(~held_out, F.lit(True))))
-    return language.label(docs, model).withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+    model = language.train(docs.filter(F.coalesce(~_held_out(), F.lit(True))))
+    return language.label(docs, model).withColumn("held_out", F.coalesce(_held_out(), F.lit(False)))
 
 
 def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
@@ -95,6 +100,17 @@ def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_trie.trie(*conversation_trie.rebuild(turns))
 
 
+def op13_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    learned = docs.filter(~_held_out()), labels.filter(~_held_out())
+    scored = compression.score(docs, compression.train(*learned))
+    return scored.select(
+        "doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "score",
+        F.when(F.col("score") >= QUALITY_SCORE, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -116,7 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_quality_outliers, op2_language_spans, op3_byte_bpe, op4_best_fit_shards, op5_suffix_sort,
         op6_secret_ledger, op7_chosen_path_join, op8_addressable_ids, op9_containment_search, op10_repeated_phrases,
-        op11_conversation_trie, pipeline,
+        op11_conversation_trie, op13_compression_quality, pipeline,
     )
 }
 
