@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mealmarts.llm import (
+    alignment,
     bpe,
     compression,
     conversation_trie,
@@ -28,6 +29,8 @@ from mealmarts.session import scratch_path, tune
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_PIECES = public_tokenizers.path("word_bpe_49k.json")
+BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 END_ID, SHARDS, QUALITY_SCORE = 2, 8, 0.7
 
 
@@ -100,6 +103,11 @@ def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_trie.trie(*conversation_trie.rebuild(turns))
 
 
+def op12_pair_bitmaps(spark: SparkSession, folder: str) -> DataFrame:
+    found = alignment.align(documents(spark, folder), BYTE_LEVEL, public_tokenizers.PATTERN, PIECES)
+    return alignment.score(found, alignment.pair_counts(found))
+
+
 def op13_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     labels = spark.read.parquet(f"{folder}/labels.parquet")
@@ -132,7 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_quality_outliers, op2_language_spans, op3_byte_bpe, op4_best_fit_shards, op5_suffix_sort,
         op6_secret_ledger, op7_chosen_path_join, op8_addressable_ids, op9_containment_search, op10_repeated_phrases,
-        op11_conversation_trie, op13_compression_quality, pipeline,
+        op11_conversation_trie, op12_pair_bitmaps, op13_compression_quality, pipeline,
     )
 }
 
