@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from mealmarts.operators.ranking import one_per_key
@@ -131,15 +132,81 @@ def replace_table(rows: DataFrame, root: str, table: str) -> None:
     files.delete(path(old), True)
 
 
-def replace_days(batch: DataFrame, root: str, table: str) -> None:
-    """Daily fact load that can run again: the batch's date partitions are written anew."""
+def replace_parts(batch: DataFrame, root: str, table: str) -> None:
+    """The batch's partitions are written anew, all others stay. A load of this kind can run again."""
     spec = contract(table)
     if not spec.partition_by:
-        raise ValueError(f"{table} is not partitioned by date")
+        raise ValueError(f"{table} is not partitioned")
     rows = spec.enforce(batch)
     _writer(rows, spec).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{root}/{table}")
 
 
+def replace_days(batch: DataFrame, root: str, table: str) -> None:
+    """Daily fact load that can run again: the batch's date partitions are written anew."""
+    replace_parts(batch, root, table)
+
+
+def stored_parts(spark: SparkSession, root: str, table: str) -> list[str]:
+    """Values of the stored partitions, ascending as text. Only folder names are read."""
+    spec, path = contract(table), spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    names = [entry.getPath().getName() for entry in files.listStatus(path)]
+    return sorted(n.partition("=")[2] for n in names if n.startswith(f"{spec.partition_by}="))
+
+
+class ChangedBatchError(ValueError):
+    """A load was sent again under its id with other rows."""
+
+
+def _load_path(root: str, table: str) -> str:
+    return f"{root}/{table}_loads"
+
+
+def append_once(batch: DataFrame, root: str, table: str, load_id: str) -> bool:
+    """Append a dated batch under an id; sent again it changes nothing. True if its rows are new.
+
+    Rows go to a partition of their own per load, which a retry writes anew, so a run that broke off leaves
+    nothing twice. The ledger names a load only when its rows are complete; ``read_loads`` shows no others. A batch
+    that comes again under its id must have the same rows (count and sum of row hashes). A key that an earlier
+    load of the same dates holds is refused, as by a plain append.
+    """
+    spec, spark = contract(table), batch.sparkSession
+    rows = stage(spec.enforce(batch), f"{table}-batch")
+    _refuse_null_keys(rows, spec)
+    n, hashes = rows.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))).first()
+    known = read_table(spark, root, "load_ledger").filter(F.col("load_id") == load_id).first()
+    if known is not None:
+        if (known.n_rows, known.row_hashes) != (n, hashes):
+            raise ChangedBatchError(f"{table}: load {load_id} was stored with other rows")
+        return False
+    target = _touched(read_loads(spark, root, table), rows, spec)
+    if not key_collisions(target, rows, spec.key).isEmpty():
+        raise DuplicateKeyError(f"append would repeat a key of {table}")
+    # The whole partition of the load goes first: a broken run may have written dates this one has not.
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{_load_path(root, table)}/load_id={load_id}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    parts = ["load_id", spec.partition_by] if spec.partition_by else ["load_id"]
+    rows.withColumn("load_id", F.lit(load_id)).write.mode("append").partitionBy(*parts).parquet(_load_path(root, table))
+    replace_parts(spark.createDataFrame([(load_id, n, hashes)], contract("load_ledger").schema), root, "load_ledger")
+    return True
+
+
+def read_loads(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """Rows of all complete loads. The ledger has a row per load."""
+    spec = contract(table)
+    layout = T.StructType([*spec.schema.fields, T.StructField("load_id", T.StringType())])
+    try:
+        rows = spark.read.schema(layout).parquet(_load_path(root, table))
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return spec.empty(spark)
+        raise
+    done = read_table(spark, root, "load_ledger").select("load_id")
+    return rows.join(done, "load_id", "left_semi").select(*spec.schema.names)
+
+
 def _refuse_null_keys(rows: DataFrame, spec: Contract) -> None:
     missing = F.lit(False)
     for column in spec.key:

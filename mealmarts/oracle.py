@@ -9,7 +9,7 @@ import re
 
 from mealmarts.functions.text import STOPWORDS
 from mealmarts.plans.insights import PROMPT_TEMPLATE
-from mealmarts.registry import BATCH_START, DAY, LATE_REGION, LOAD_SPLIT, MONTH
+from mealmarts.registry import BATCH_START, CHANGED_MONTH, DAY, LATE_REGION, LOAD_SPLIT, LOST_USERS, MONTH, RECENT_DAYS, TWICE
 from mealmarts.schemas import CONTRACTS, SOURCE_TABLES
 from mealmarts.sources.views import SOURCE_SQL
 
@@ -94,6 +94,10 @@ _VIEWS = {
         SELECT strftime(timestamp, '%Y-%m') AS month FROM menu_review
         UNION ALL
         SELECT strftime(date, '%Y-%m') FROM pre_vote JOIN menu USING (menu_id)""",
+    "activity": """
+        SELECT strftime(timestamp, '%Y-%m') AS month, user_id FROM menu_review
+        UNION ALL
+        SELECT strftime(date, '%Y-%m'), user_id FROM pre_vote JOIN menu USING (menu_id)""",
     "statistics": """
         SELECT strftime(timestamp, '%Y-%m') AS month,
                CAST(trunc(min(food_score)) AS INTEGER) AS min, CAST(trunc(max(food_score)) AS INTEGER) AS max,
@@ -191,6 +195,10 @@ _VIEWS = {
                CASE WHEN position = 1 THEN block || '=' || CAST(number AS VARCHAR) WHEN position <= 4 THEN block || '=' || value
                     WHEN position <= 6 THEN block || '_' || value ELSE block END AS feature
         FROM (SELECT DISTINCT position, block, number, value FROM review_features WHERE value IS NOT NULL)""",
+    "marked_features": f"""
+        SELECT d.*, EXISTS (SELECT 1 FROM review_features f JOIN choices c ON c.review_id = f.review_id
+                            WHERE c.date < DATE '{LOAD_SPLIT}' AND (f.position, f.number, f.value) = (d.position, d.number, d.value)) AS is_early
+        FROM dictionary d""",
     "encoded": """
         SELECT review_id, label, idx, x AS value FROM review_features r
         JOIN dictionary d ON (r.position, r.number, r.value) = (d.position, d.number, d.value)
@@ -260,6 +268,49 @@ def _bulk_copy() -> str:
     return "\nUNION ALL ".join(parts)
 
 
+# Columns of the base tables; a mark tells how a value becomes text: d double, t timestamp, a array of floats.
+_BASE_COLUMNS = {
+    "region": "r_regionkey r_name",
+    "nation": "n_nationkey n_name n_regionkey",
+    "customer": "c_custkey c_name c_nationkey c_acctbal:d c_mktsegment",
+    "supplier": "s_suppkey s_name s_nationkey s_acctbal:d",
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice:d",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice:d o_orderdate:t o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity:d l_extendedprice:d l_discount:d l_tax:d "
+    "l_returnflag l_linestatus l_shipdate:t",
+    "events": "event_id ts:t user_id event_type value:d props",
+    "documents": "doc_id text lang source n_chars",
+    "embeddings": "vec_id embedding:a label",
+    "pages": "page_id url html",
+    "benchmark": "item_id text",
+    "labels": "doc_id quality toxic",
+    "conversations": "conv_id turn role text",
+}
+
+
+def _double_text(x: str) -> str:
+    return f"concat(CAST(floor({x}) AS BIGINT), '+', CAST(floor(({x} - floor({x})) * 4503599627370496.0::DOUBLE) AS BIGINT))"
+
+
+def _bulk_copy_fingerprints() -> str:
+    texts = {
+        "": lambda c: f"CAST({c} AS VARCHAR)",
+        "d": lambda c: f"CASE WHEN {c} IS NOT NULL THEN {_double_text(c)} END",
+        "t": lambda c: f"strftime({c}, '%Y-%m-%d %H:%M:%S.%f')",
+        "a": lambda c: f"array_to_string(list_transform({c}, lambda x: {_double_text('x::DOUBLE')}), ',')",
+    }
+    parts = []
+    for table, columns in _BASE_COLUMNS.items():
+        for column in columns.split():
+            name, _, mark = column.partition(":")
+            parts.append(
+                f"SELECT '{table}' AS table_name, '{name}' AS column_name, count(*) AS row_count, count(*) - count({name}) AS null_count, "
+                f"CAST(coalesce(sum(CAST(concat('0x', substr(md5({texts[mark](name)}), 1, 15)) AS BIGINT)), 0) AS DECIMAL(38,0)) AS fingerprint, "
+                f"TRUE AS same_rows FROM {table}"
+            )
+    return "\nUNION ALL ".join(parts)
+
+
 def _contract_report() -> str:
     stored = {name: name for name in SOURCE_TABLES}
     stored |= {
@@ -324,6 +375,13 @@ _SQL = {
         SELECT 'dm_user_category_stats' AS table_name, user_id, category AS value, count FROM category_counts
         UNION ALL SELECT 'dm_user_tag_stats', user_id, tag, count FROM tag_counts""",
     "bulk_copy": _bulk_copy(),
+    "bulk_copy_fingerprints": _bulk_copy_fingerprints(),
+    "bulk_copy_changes": f"""
+        SELECT * FROM (
+            SELECT id, CASE WHEN user_id % {LOST_USERS} = 0 THEN 'missing' WHEN id % {TWICE} = 0 THEN 'repeated'
+                            WHEN strftime(timestamp, '%Y-%m') = '{CHANGED_MONTH}' THEN 'changed' END AS change,
+                   CASE WHEN user_id % {LOST_USERS} <> 0 AND id % {TWICE} <> 0 THEN 'menu_score' ELSE '' END AS columns
+            FROM menu_review) WHERE change IS NOT NULL""",
     "training_csv_roundtrip": "SELECT * FROM training",
     "json_sink_roundtrip": "SELECT * FROM json_fields",
     "empty_table_contracts": _contract_report(),
@@ -374,6 +432,10 @@ _SQL = {
     "user_tag_stats": "SELECT * FROM tag_counts",
     "group_stats": "SELECT * FROM groups",
     "user_group_comparison": "SELECT * FROM comparison_rows",
+    "recent_reviews": f"""
+        SELECT user_id, since, count(*) AS review_count
+        FROM menu_review JOIN (SELECT user_id, max(timestamp) - INTERVAL {RECENT_DAYS} DAY AS since FROM menu_review GROUP BY user_id) USING (user_id)
+        WHERE timestamp >= since GROUP BY user_id, since""",
     "user_review_word": "SELECT user_id, word, CAST(sum(count) AS BIGINT) AS count FROM words GROUP BY user_id, word",
     "user_insight_latest": """
         SELECT user_id, insight FROM raw_insight
@@ -390,6 +452,21 @@ _SQL = {
     "cumulative_distinct_evaluators": """
         SELECT count(DISTINCT user_id) AS cumulative_evaluators
         FROM (SELECT user_id FROM menu_review UNION ALL SELECT user_id FROM pre_vote)""",
+    "monthly_count_chained": """
+        SELECT month, n AS evaluator, CAST(sum(n) OVER (ORDER BY month) AS BIGINT) AS cumulative,
+               n - coalesce(lag(n) OVER (ORDER BY month), 0) AS difference
+        FROM (SELECT month, count(*) AS n FROM evaluations GROUP BY month)""",
+    "running_distinct_evaluators": """
+        SELECT month, people - coalesce(lag(people) OVER (ORDER BY month), 0) AS new_evaluators, people AS cumulative_evaluators
+        FROM (SELECT m.month, count(DISTINCT a.user_id) AS people
+              FROM (SELECT DISTINCT month FROM activity) m JOIN activity a ON a.month <= m.month GROUP BY m.month)""",
+    "monthly_quartiles_merged": """
+        SELECT strftime(timestamp, '%Y-%m') AS month, count(food_score) AS n, TRUE AS q1_within, TRUE AS q3_within
+        FROM food_review GROUP BY 1""",
+    "user_rank_incremental": "SELECT * FROM food_rank",
+    "insight_append": """
+        SELECT user_id, insight_date, insight FROM raw_insight
+        QUALIFY row_number() OVER (PARTITION BY user_id, insight_date ORDER BY event_id DESC) = 1""",
     "monthly_statistic": "SELECT * FROM statistics",
     "monthly_statistic_month": f"SELECT * FROM statistics WHERE month = '{MONTH}'",
     "monthly_frequent_evaluator": "SELECT * FROM evaluators",
@@ -424,6 +501,9 @@ _SQL = {
     "gbt_train_metrics": """
         SELECT count(*) AS rows, count(*) FILTER (label = 1) AS positive, TRUE AS accuracy_agrees, TRUE AS precision_agrees,
                TRUE AS recall_agrees, TRUE AS f1_score_agrees FROM training""",
+    "gbt_holdout_metrics": """
+        SELECT count(*) AS all_rows, TRUE AS share_held, TRUE AS only_held, TRUE AS accuracy_agrees, TRUE AS precision_agrees,
+               TRUE AS recall_agrees, TRUE AS f1_score_agrees FROM training""",
     "json_object_columns": "SELECT event_id, CAST(json_extract(props, '$.k') AS DOUBLE) AS k FROM events",
     "ab_user_preferences": """
         SELECT user_id, string_agg(DISTINCT tag_name, ',' ORDER BY tag_name) AS user_tags,
@@ -438,6 +518,9 @@ _SQL = {
     "ab_labels": "SELECT * FROM labels_ab",
     "ab_training_rows": "SELECT * FROM training",
     "fm_feature_dictionary": "SELECT idx, block, feature FROM dictionary",
+    "fm_dictionary_append": """
+        SELECT CASE WHEN is_early THEN place ELSE place + (SELECT count(*) FROM marked_features WHERE is_early) END - 1 AS idx, block, feature
+        FROM (SELECT *, row_number() OVER (PARTITION BY is_early ORDER BY position, number, value) AS place FROM marked_features)""",
     "fm_sparse_rows": "SELECT review_id, idx, value FROM encoded",
     "fm_libfm_lines": """
         SELECT concat_ws(' ', CAST(any_value(label) AS VARCHAR),
@@ -455,9 +538,14 @@ _SQL = {
         FROM confusion""",
     "rmse_metric": "SELECT round(sqrt(avg((score - label) * (score - label))), 9) AS rmse FROM scored",
     "review_words": "SELECT * FROM words",
+    "review_words_text_dates": """
+        SELECT user_id, word, CASE WHEN day(comment_date) % 7 = 0 THEN DATE '1970-01-01' ELSE comment_date END AS comment_date,
+               CAST(sum(count) AS BIGINT) AS count
+        FROM words GROUP BY ALL""",
     "insight_context": "SELECT * FROM context",
     "insight_prompt": _prompt(),
     "json_messages": "SELECT * FROM json_fields",
+    "stream_exactly_once": "SELECT * FROM text_messages",
     "stream_messages": "SELECT * FROM text_messages",
     "publish_messages": "SELECT * FROM text_messages",
 }

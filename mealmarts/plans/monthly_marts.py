@@ -81,6 +81,30 @@ def cumulative_distinct_evaluators(menu_review: DataFrame, pre_vote: DataFrame)
     return people.agg(F.count("*").alias("cumulative_evaluators"))
 
 
+def running_distinct_evaluators(menu_review: DataFrame, pre_vote: DataFrame, menu: DataFrame) -> DataFrame:
+    """Per month with evaluations: users seen for the first time, and users ever seen up to then.
+
+    A user shrinks to the first month over both sources and the months of activity, in one shuffle on the user; a
+    prefix sum over one row per month follows, so no month recounts the ones before it. Without a user or a month a
+    row counts for nobody, but its month is there.
+    """
+    reviews = menu_review.select("user_id", month_text("timestamp").alias("month"))
+    votes = _monthly_votes(pre_vote, menu, None, "user_id").select("user_id", month_text("date").alias("month"))
+    people = (
+        reviews.unionByName(votes)
+        .filter(F.col("month").isNotNull())
+        .groupBy("user_id")
+        .agg(F.min("month").alias("first"), F.collect_set("month").alias("months"))  # at most one entry per month of the calendar
+    )
+    is_new = F.col("user_id").isNotNull() & (F.col("month") == F.col("first"))
+    months = (
+        people.select("user_id", "first", F.explode("months").alias("month"))
+        .groupBy("month")
+        .agg(F.count_if(is_new).alias("new_evaluators"))
+    )
+    return months.withColumn("cumulative_evaluators", F.sum("new_evaluators").over(Window.orderBy("month")))
+
+
 def _statistics(score: Column) -> list[Column]:
     def two_digits(value):
         return decimal_score(F.round(value, 2))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mealmarts.functions.columns import number_text
+from mealmarts.operators.loads import read_table, store
 from mealmarts.operators.ranking import number_rows
 from mealmarts.session import stage
 
@@ -52,30 +53,55 @@ def _block_position(block: Column) -> Column:
     return F.array_position(F.array(*[F.lit(b) for b in BLOCKS]), block)
 
 
-def feature_dictionary(comparison: DataFrame, vectors: DataFrame) -> DataFrame:
-    """``idx, block, number, value, feature`` of every feature that occurs, 0-based without gaps.
+_FEATURE = ["block", "number", "value"]
 
-    User ids sort as numbers, everything else as text. The numbering is spread over tasks,
-    as the dictionary has an entry per user.
-    """
+
+def features(comparison: DataFrame, vectors: DataFrame) -> DataFrame:
+    """``block, number, value`` of every feature that occurs. User ids are numbers, everything else is text."""
     users = comparison.select("user_id", *USER_BLOCKS).distinct()
     ids = users.select(F.lit(USER_BLOCK).alias("block"), F.col("user_id").alias("number"), F.lit("").alias("value"))
     codes = _exploded(users, [], **{b: [F.col(b).cast("string").alias("value")] for b in USER_BLOCKS})
     offers = _offer_features(comparison, vectors).select("block", "value")
-    entries = (
+    return (
         ids.unionByName(codes.unionByName(offers).withColumn("number", F.lit(0).cast("bigint")))
         .filter(F.col("value").isNotNull())
         .distinct()
-        .withColumn("position", _block_position(F.col("block")))
     )
-    numbered = number_rows(entries, [F.col("position"), F.col("number"), F.col("value")], "idx", start=0)
+
+
+def _numbered(found: DataFrame, start: int) -> DataFrame:
+    placed = found.withColumn("position", _block_position(F.col("block")))
+    numbered = number_rows(placed, [F.col("position"), F.col("number"), F.col("value")], "idx", start=start)
     feature = (
         F.when(F.col("block") == USER_BLOCK, F.concat_ws("=", "block", F.col("number").cast("string")))
         .when(F.col("block").isin(*SCORE_BLOCKS.values()), F.col("block"))
         .when(F.col("block").isin(*TAG_BLOCKS.values()), F.concat_ws("_", "block", "value"))
         .otherwise(F.concat_ws("=", "block", "value"))
     )
-    return numbered.select("idx", "block", "number", "value", feature.alias("feature"))
+    return numbered.select("idx", *_FEATURE, feature.alias("feature"))
+
+
+def feature_dictionary(comparison: DataFrame, vectors: DataFrame) -> DataFrame:
+    """``idx, block, number, value, feature`` of every feature that occurs, 0-based without gaps.
+
+    User ids sort as numbers, everything else as text. The numbering is spread over tasks,
+    as the dictionary has an entry per user.
+    """
+    return _numbered(features(comparison, vectors), 0)
+
+
+def extend_dictionary(comparison: DataFrame, vectors: DataFrame, root: str) -> DataFrame:
+    """The stored dictionary with this batch's new features appended, numbered from the largest stored index on.
+
+    Stored indexes never change, so a model and the lines of any later day agree. New features have the order of
+    ``feature_dictionary`` among themselves. A batch that comes again finds all its features and adds none.
+    """
+    spark = comparison.sparkSession
+    stored = read_table(spark, root, "fm_dictionary")
+    fresh = features(comparison, vectors).join(stored.select(*_FEATURE), _FEATURE, "left_anti")
+    start = stored.agg(F.coalesce(F.max("idx") + 1, F.lit(0))).first()[0]
+    store(_numbered(fresh, start), root, "fm_dictionary")
+    return read_table(spark, root, "fm_dictionary")
 
 
 def entries(comparison: DataFrame, vectors: DataFrame, dictionary: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -115,12 +141,10 @@ def _with_entries(comparison: DataFrame, people: DataFrame, offers: DataFrame) -
 
 
 def sparse_rows(comparison: DataFrame, people: DataFrame, offers: DataFrame) -> DataFrame:
-    """``review_id, user_id, date, label, features``; the user's blocks come first, so order is kept."""
+    """``review_id, user_id, date, label, features``, features by index: an appended dictionary mixes the blocks."""
     none = F.array().cast("array<struct<idx:bigint,value:double>>")
-    features = F.concat("user_entries", F.coalesce("offer_entries", none))
-    return _with_entries(comparison, people, offers).select(
-        "review_id", "user_id", "date", "label", features.alias("features")
-    )
+    both = F.sort_array(F.concat("user_entries", F.coalesce("offer_entries", none)))
+    return _with_entries(comparison, people, offers).select("review_id", "user_id", "date", "label", both.alias("features"))
 
 
 def long_rows(rows: DataFrame) -> DataFrame:
@@ -143,36 +167,48 @@ def libfm_lines(comparison: DataFrame, people: DataFrame, offers: DataFrame) ->
     return rows.select("review_id", F.concat_ws(" ", F.col("label").cast("string"), "user_text", "offer_text").alias("line"))
 
 
-def _json_entries(json_column: str, depth: int) -> Column:
-    """Numbers of a JSON object as (name, value) entries; names inside objects follow a dot.
+def _number(value: Column) -> Column:
+    """A number, also one that is written as text; null for anything else."""
+    return F.when(F.schema_of_variant(value) != "BOOLEAN", F.try_variant_get(value, "$", "double"))
 
-    Every value is read as text, so one that is no number costs no other. Objects are opened ``depth`` deep.
-    """
-    kind = "map<string,string>"
-    none = F.array().cast("array<struct<key:string,value:string>>")
-    found = F.coalesce(F.map_entries(F.from_json(json_column, kind)), none)
 
-    def opened(entry: Column) -> Column:
-        inner = F.coalesce(F.map_entries(F.from_json(entry["value"], kind)), none)
-        named = F.transform(inner, lambda e: F.struct(F.concat_ws(".", entry["key"], e["key"]).alias("key"), e["value"].alias("value")))
-        return F.when(entry["value"].startswith("{"), named).otherwise(F.array(entry))
+def json_features(df: DataFrame, id_column: str, json_column: str) -> DataFrame:
+    """Numbers of a JSON object column as (id, name, value) rows; names inside objects follow a dot.
 
-    for _ in range(depth):
-        found = F.flatten(F.transform(found, opened))
-    numbers = F.transform(found, lambda e: F.struct(e["key"].alias("name"), e["value"].try_cast("double").alias("value")))
-    return F.filter(numbers, lambda e: e["value"].isNotNull())
-
-
-def json_features(df: DataFrame, id_column: str, json_column: str, depth: int = 3) -> DataFrame:
-    """Numbers of a JSON object column as (id, name, value) rows; no object gives no rows."""
-    return df.select(id_column, F.explode(_json_entries(json_column, depth)).alias("e")).select(id_column, "e.name", "e.value")
-
-
-def json_feature_columns(df: DataFrame, json_column: str, names: list[str], depth: int = 3) -> DataFrame:
-    """Named numbers of a JSON object column as columns (``a.b`` inside objects); what is missing is null."""
-    parsed = _json_entries(json_column, depth)
-
-    def first(name: str) -> Column:
-        return F.get(F.filter(parsed, lambda e: e["name"] == name), F.lit(0))["value"]
-
-    return df.withColumns({name: first(name) for name in names})
+    The text is parsed once. Objects are opened level by level until none is left, however deep; what is nested is staged, so
+    a further level costs in proportion to what lies there. Lists, words, truth values and nulls give no
+    row, and cost no other value. A text that is no object, or that has a name twice in one object, gives no rows.
+    """
+    objects = df.select(F.col(id_column), F.lit(None).cast("string").alias("_name"), F.try_parse_json(json_column).alias("_value"))
+    found = None
+    while True:
+        fields = objects.select(id_column, "_name", F.explode(F.try_variant_get("_value", "$", "map<string,variant>")).alias("_key", "_item"))
+        named = fields.select(id_column, F.concat_ws(".", "_name", "_key").alias("_name"), F.col("_item").alias("_value"))
+        is_object = F.schema_of_variant("_value").startswith("OBJECT")
+        numbers = named.filter(~is_object).select(id_column, F.col("_name").alias("name"), _number(F.col("_value")).alias("value"))
+        numbers = numbers.filter(F.col("value").isNotNull())
+        found = numbers if found is None else found.unionByName(numbers)
+        objects = stage(named.filter(is_object), "json-objects")
+        if objects.isEmpty():
+            return found
+
+
+def _paths(name: str) -> list[str]:
+    """Ways to read a dotted name: a dot may part two objects or belong to a name. Objects first."""
+    head, *rest = name.split(".")
+    groups = [[head]]
+    for part in rest:
+        groups = [g for old in groups for g in ([*old, part], [*old[:-1], f"{old[-1]}.{part}"])]
+    if "'" in name:
+        return ["$" + "".join(f'["{part}"]' for part in group) for group in groups]
+    return ["$" + "".join(f"['{part}']" for part in group) for group in groups]
+
+
+def json_feature_columns(df: DataFrame, json_column: str, names: list[str]) -> DataFrame:
+    """Named numbers of a JSON object column as columns (``a.b`` inside objects, at any depth); what is missing is null."""
+    parsed = F.try_parse_json(json_column)
+
+    def read(name: str) -> Column:
+        return F.coalesce(*[_number(F.try_variant_get(parsed, path, "variant")) for path in _paths(name)])
+
+    return df.withColumns({name: read(name) for name in names})

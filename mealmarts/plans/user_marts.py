@@ -24,16 +24,21 @@ def user_summary(ratings: DataFrame, menu_feedback: DataFrame) -> DataFrame:
     return scores.join(votes, "user_id", "left").fillna(0)
 
 
+def best_and_worst(means: DataFrame, depth: int = RANK_DEPTH) -> DataFrame:
+    """Both lists of every user of ``means`` (user_id, food_id, food_score); ties go to the lower food id."""
+    score, tie = F.col("food_score"), F.col("food_id")
+    best = top_n(means, ["user_id"], [score.desc_nulls_last(), tie], depth, "rank_order")
+    worst = top_n(means, ["user_id"], [score.asc_nulls_first(), tie], depth, "rank_order")
+    return best.withColumn("score_type", F.lit("best")).unionByName(worst.withColumn("score_type", F.lit("worst")))
+
+
 def user_food_rating_rank(ratings: DataFrame, attributes: DataFrame, depth: int = RANK_DEPTH) -> DataFrame:
     """Best and worst dishes per user by mean score; ties go to the lower food id.
 
     Both lists are cut before names are joined. They read the same shuffle of means.
     """
     means = ratings.groupBy("user_id", "food_id").agg(F.avg("food_score").alias("food_score"))
-    score, tie = F.col("food_score"), F.col("food_id")
-    best = top_n(means, ["user_id"], [score.desc_nulls_last(), tie], depth, "rank_order")
-    worst = top_n(means, ["user_id"], [score.asc_nulls_first(), tie], depth, "rank_order")
-    ranked = best.withColumn("score_type", F.lit("best")).unionByName(worst.withColumn("score_type", F.lit("worst")))
+    ranked = best_and_worst(means, depth)
     return ranked.join(attributes.select("food_id", "food_name"), "food_id", "left").select(
         "user_id", "food_name", "food_score", "rank_order", "score_type"
     )
@@ -111,8 +116,11 @@ def group_stats(
 def user_group_comparison(
     ratings: DataFrame, attributes: DataFrame, users: DataFrame, as_of_year: int = AS_OF_YEAR
 ) -> DataFrame:
-    """Each user's mean and number of categories beside those of the groups they belong to."""
-    totals = _category_totals(ratings, attributes, users, as_of_year)
+    """Each user's mean and number of categories beside those of the groups they belong to.
+
+    The totals, a row per user and category, are staged: both sides follow from them without reading the ratings again.
+    """
+    totals = stage(_category_totals(ratings, attributes, users, as_of_year), "category-totals")
     own = totals.groupBy("user_id", "gender", "age_group").agg(
         mean_from(F.col("total"), F.col("n")).alias("user_avg_score"),
         # A user has one row per category here, so counting rows counts categories.
@@ -141,6 +149,14 @@ def user_group_comparison(
     )
 
 
+def recent_reviews(menu_review: DataFrame, days: int) -> DataFrame:
+    """Per user: reviews from ``days`` days before the user's newest one on, and that moment."""
+    newest = stage(menu_review.groupBy("user_id").agg(F.max("timestamp").alias("newest")), "newest")
+    since = F.col("newest") - F.make_dt_interval(F.lit(days))
+    recent = menu_review.select("user_id", "timestamp").join(newest.select("user_id", since.alias("since")), "user_id")
+    return recent.filter(F.col("timestamp") >= F.col("since")).groupBy("user_id", "since").agg(F.count("*").alias("review_count"))
+
+
 def user_review_word(review_words: DataFrame) -> DataFrame:
     """Uses of a word by a user over all days."""
     return review_words.groupBy("user_id", "word").agg(F.sum("count").alias("count"))

@@ -12,8 +12,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mealmarts.functions.columns import in_month
-from mealmarts.operators import loads, metrics, quality
-from mealmarts.plans import choice, insights, models, monthly_marts, sparse_rows, user_marts, warehouse
+from mealmarts.operators import fingerprints, loads, metrics, quality
+from mealmarts.operators.ranking import greatest_row
+from mealmarts.plans import (
+    choice,
+    insights,
+    models,
+    month_chain,
+    monthly_marts,
+    rank_state,
+    score_sketches,
+    sparse_rows,
+    user_marts,
+    warehouse,
+)
 from mealmarts.plans.review_words import review_words
 from mealmarts.schemas import CONTRACTS, MAIN_SUB_CODES, GENDERS, SOURCE_TABLES
 from mealmarts.session import scratch_path, stage, tune
@@ -24,6 +36,11 @@ from mealmarts.streaming import messages
 MONTH, DAY = "1997-05", "1997-05-12"
 LOAD_SPLIT, BATCH_START = "1998-01-01", "1997-07-01"
 LATE_REGION = "NATION_7"
+CHAIN_START, LATE_MONTH = "2001-04", "2001-05"
+CHANGED_MONTH, LOST_USERS, TWICE = "2001-03", 50, 500
+HOLDOUT = 0.2
+RECENT_DAYS, TOPIC_PARTITIONS = 30, 4
+LOAD_DAYS, INSIGHT_SPLIT = 3, "2024-01-16"
 _RATINGS, _ARRIVAL = "fact_user_food_feedback", ("id", "food_score")
 PROPS_SCHEMA = T.StructType().add("k", T.IntegerType())
 
@@ -259,6 +276,29 @@ def bulk_copy(t):
     return counts
 
 
+@query
+def bulk_copy_fingerprints(t):
+    """Per column of every copied table its fingerprint, and whether source and copy hold the same rows."""
+    target, out = scratch_path(t.spark, "copy"), None
+    for table in files.bulk_copy(t.spark, t.root, target):
+        copy = t.spark.read.parquet(f"{target}/{table}.parquet")
+        same = fingerprints.same_rows(t.base(table), copy).withColumn("table_name", F.lit(table))  # a row
+        one = fingerprints.column_fingerprints(copy, table).join(same, "table_name")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query
+def bulk_copy_changes(t):
+    """Reviews against a copy in which scores of one month are changed, those of some users lost, and some come twice."""
+    reviews = t.menu_review
+    in_may = in_month(reviews, "timestamp", CHANGED_MONTH).select("id").withColumn("hit", F.lit(True))
+    copy = reviews.join(in_may, "id", "left").filter(F.col("user_id") % LOST_USERS != 0)
+    copy = copy.withColumn("menu_score", F.when(F.col("hit"), F.lit(None)).otherwise(F.col("menu_score"))).drop("hit")
+    copy = copy.unionByName(copy.filter(F.col("id") % TWICE == 0))
+    return fingerprints.differing_keys(reviews, copy, ["id"]).withColumn("columns", _as_text("columns"))
+
+
 @query
 def training_csv_roundtrip(t):
     path = scratch_path(t.spark, "training-csv")
@@ -349,6 +389,26 @@ def user_food_rating_rank(t):
     return user_marts.user_food_rating_rank(t.ratings(), t.attributes())
 
 
+@query
+def user_rank_incremental(t):
+    """All ratings but those of the last days, then those days one by one, the last but one behind the last."""
+    root, ratings = scratch_path(t.spark, "ranks"), t.stored("ratings", t.ratings)
+    newest = ratings.select("rating_date").distinct().orderBy(F.col("rating_date").desc()).limit(LOAD_DAYS).collect()
+    days = sorted(r.rating_date.isoformat() for r in newest)
+
+    def of(condition):
+        return ratings.filter(condition)
+
+    date = F.col("rating_date")
+    rank_state.start_ranks(of(date < F.lit(days[0]).cast("date")), root, "1970-01-01")
+    arrived = []
+    for day in [*days[:-2], *days[:-3:-1]]:
+        arrived.append(day)
+        known = (date < F.lit(days[0]).cast("date")) | date.cast("string").isin(arrived)
+        rank_state.add_day(of(date == F.lit(day).cast("date")), root, day, of(known))
+    return rank_state.stored_ranks(t.spark, root, t.attributes())
+
+
 @query
 def user_category_stats(t):
     return user_marts.user_category_stats(t.ratings(), t.attributes())
@@ -369,11 +429,27 @@ def user_group_comparison(t):
     return user_marts.user_group_comparison(t.ratings(), t.attributes(), t.users())
 
 
+@query
+def recent_reviews(t):
+    return user_marts.recent_reviews(t.menu_review, RECENT_DAYS)
+
+
 @query
 def user_review_word(t):
     return user_marts.user_review_word(review_words(t.review_comment))
 
 
+@query
+def insight_append(t):
+    """Insights in two dated loads, the second sent twice. The newest insight of a user and date is the row to store."""
+    root = scratch_path(t.spark, "insights")
+    rows = greatest_row(t.raw_insight, ["user_id", "insight_date"], ["event_id", "insight"])
+    early = F.col("insight_date") < F.lit(INSIGHT_SPLIT).cast("date")
+    for load_id, batch in (("first", early), ("second", ~early), ("second", ~early)):
+        loads.append_once(rows.filter(batch), root, "raw_user_insight", load_id)
+    return loads.read_loads(t.spark, root, "raw_user_insight")
+
+
 @query
 def user_insight_latest(t):
     return user_marts.user_insight_latest(t.raw_insight, tie="event_id")
@@ -407,6 +483,35 @@ def cumulative_distinct_evaluators(t):
     return monthly_marts.cumulative_distinct_evaluators(t.menu_review, t.pre_vote)
 
 
+@query
+def running_distinct_evaluators(t):
+    return monthly_marts.running_distinct_evaluators(t.menu_review, t.pre_vote, t.menu)
+
+
+@query
+def monthly_count_chained(t):
+    """Months from ``CHAIN_START`` on come one by one; half the reviews of ``LATE_MONTH`` come after the month behind it."""
+    root, votes, menu = scratch_path(t.spark, "chain"), t.pre_vote, t.menu
+    month_chain.start_chain(t.menu_review, votes, menu, root, CHAIN_START)
+    known = monthly_marts.report_months(t.menu_review).filter(F.col("month") >= CHAIN_START)
+    months = sorted(r.month for r in known.select("month").collect())  # the months a scheduler would have run
+    for month in months:
+        reviews = t.menu_review.filter("id % 2 = 0") if month == LATE_MONTH else t.menu_review
+        month_chain.extend_chain(reviews, votes, menu, root, month)
+        if month == max(months[:3]):
+            month_chain.extend_chain(t.menu_review, votes, menu, root, LATE_MONTH)
+    return month_chain.stored_months(t.spark, root)
+
+
+@query
+def monthly_quartiles_merged(t):
+    """Sketches of all days up to ``LOAD_SPLIT``, then of the rest, merged to months and held against the scores."""
+    root, split = scratch_path(t.spark, "sketches"), F.lit(LOAD_SPLIT).cast("timestamp_ntz")
+    score_sketches.store_sketches(t.food_review.filter(F.col("timestamp") < split), root)
+    score_sketches.store_sketches(t.food_review.filter(F.col("timestamp") >= split), root)
+    return score_sketches.within_error(score_sketches.stored_quartiles(t.spark, root), t.food_review)
+
+
 @query
 def monthly_statistic(t):
     return monthly_marts.monthly_statistic(t.food_review)
@@ -531,6 +636,17 @@ def fm_libfm_lines(t):
     return t.spark.read.text(path).withColumnRenamed("value", "line")
 
 
+@query
+def fm_dictionary_append(t):
+    """The dictionary of the comparison rows before ``LOAD_SPLIT``, extended by those of all, sent twice."""
+    root = scratch_path(t.spark, "dictionary")
+    comparison, vectors = t.fm_inputs()
+    early = comparison.filter(F.col("date") < F.lit(LOAD_SPLIT).cast("date"))
+    for batch in (early, comparison, comparison):
+        out = sparse_rows.extend_dictionary(batch, vectors, root)
+    return out.select("idx", "block", "feature")
+
+
 @query
 def json_feature_columns(t):
     events = t.base("events")
@@ -600,6 +716,21 @@ def gbt_train_metrics(t):
     return _recounted(predictions, models.gbt_metrics, ("accuracy", "precision", "recall", "f1_score"))
 
 
+@query
+def gbt_holdout_metrics(t):
+    """Metrics on a fifth of the rows held out by a hash of their key, of a model of the others."""
+    rows = stage(t.training_rows(), "training-rows")
+    held = rows.filter(models.in_holdout(HOLDOUT))
+    predictions = models.predict_gbt(models.train_gbt(rows, HOLDOUT), held)
+    metrics_agree = _recounted(predictions, models.gbt_metrics, ("accuracy", "precision", "recall", "f1_score"))
+    counts = rows.agg(F.count("*").alias("all_rows"), F.count_if(models.in_holdout(HOLDOUT)).alias("held")).withColumn("one", F.lit(1))
+    share = (F.col("held") / F.col("all_rows")).between(HOLDOUT / 2, HOLDOUT * 2)
+    return metrics_agree.withColumn("one", F.lit(1)).join(counts, "one").select(  # a row each
+        "all_rows", share.alias("share_held"), (F.col("rows") == F.col("held")).alias("only_held"),
+        *[f"{c}_agrees" for c in ("accuracy", "precision", "recall", "f1_score")],
+    )
+
+
 def _scored(t):
     """A fixed rule as the scorer: menu B's share of both menus' mean scores."""
     a, b = F.col("avg_food_score_a"), F.col("avg_food_score_b")
@@ -624,6 +755,13 @@ def _review_words(t):
     return review_words(t.review_comment)
 
 
+@query
+def review_words_text_dates(t):
+    """Words of comments whose date comes as text, every seventh day of the month not readable."""
+    day = F.when(F.day("comment_date") % 7 == 0, F.lit("some day")).otherwise(F.date_format("comment_date", "yyyy-MM-dd"))
+    return review_words(t.review_comment.withColumn("comment_date", day))
+
+
 @query
 def insight_context(t):
     return t.insight_context()
@@ -666,5 +804,19 @@ def publish_messages(t):
     return _stream_to_files(t, messages.as_text(messages.stream_topic(t.spark, topic, "parquet")), "echo")
 
 
+@query
+def stream_exactly_once(t):
+    """All messages with their places stored by a stream, then again without its checkpoint."""
+    events = messages.stream_topic(t.spark, t.root, "parquet", t.base("events").schema, pathGlobFilter="events.parquet")
+    placed = events.select(
+        F.pmod("event_id", F.lit(TOPIC_PARTITIONS)).cast("int").alias("partition"), F.col("event_id").alias("offset"),
+        F.col("event_id").cast("string").cast("binary").alias("key"), F.col("props").cast("binary").alias("value"),
+    )
+    out = scratch_path(t.spark, "messages")
+    for attempt in ("first", "lost-checkpoint"):
+        messages.run_stream_once(placed, out, f"{out}-{attempt}")
+    return messages.as_text(messages.read_placed(t.spark, out))
+
+
 def all_queries() -> dict[str, Query]:
     return dict(_QUERIES)

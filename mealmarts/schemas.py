@@ -40,9 +40,11 @@ _TYPES = {
     "INT": T.IntegerType(),
     "DOUBLE": T.DoubleType(),
     "DECIMAL(3,2)": T.DecimalType(3, 2),
+    "DECIMAL(38,0)": T.DecimalType(38, 0),
     "STRING": T.StringType(),
     "DATE": T.DateType(),
     "TIMESTAMP_NTZ": T.TimestampNTZType(),
+    "BINARY": T.BinaryType(),
 }
 
 
@@ -187,6 +189,24 @@ _ALL = [
         "month DATE, class STRING, generation STRING, review_count BIGINT",
         "month class generation",
     ),
+    # What a periodic run reads in place of the whole history.
+    _contract("monthly_count_state", "start DATE, evaluator BIGINT, cumulative BIGINT, difference BIGINT", "start", partition_by="start"),
+    _contract(
+        "user_food_state",
+        "bucket INT, user_id BIGINT, food_id BIGINT, total DOUBLE, n BIGINT, as_of DATE",
+        "bucket user_id food_id",
+        partition_by="bucket",
+    ),
+    _contract(
+        "user_rank_state",
+        "bucket INT, user_id BIGINT, food_id BIGINT, food_score DOUBLE, rank_order INT, score_type STRING",
+        "bucket user_id score_type rank_order",
+        {"score_type": SCORE_TYPES},
+        partition_by="bucket",
+    ),
+    _contract("score_sketch_day", "start DATE, day DATE, sketch BINARY", "start day", partition_by="start"),
+    _contract("fm_dictionary", "idx BIGINT, block STRING, number BIGINT, value STRING, feature STRING", "block number value"),
+    _contract("load_ledger", "load_id STRING, n_rows BIGINT, row_hashes DECIMAL(38,0)", "load_id", partition_by="load_id"),
 ]
 
 CONTRACTS: dict[str, Contract] = {c.name: c for c in _ALL}

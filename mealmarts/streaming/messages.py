@@ -6,13 +6,22 @@ format that holds ``key`` and ``value`` columns, which is how the tests run.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.utils import AnalysisException
+
+from mealmarts.operators.ranking import greatest_row
+from mealmarts.session import stage
 
 # Layout of a topic row and of a parsed message.
 TOPIC_SCHEMA = T.StructType().add("key", T.BinaryType()).add("value", T.BinaryType())
 MESSAGE_SCHEMA = T.StructType().add("message", T.StringType())
+PLACE = ("partition", "offset")
+PLACED_SCHEMA = T.StructType().add("partition", T.IntegerType()).add("offset", T.LongType()).add("key", T.BinaryType()).add("value", T.BinaryType())
 
 
 def _options(fmt: str, options: dict) -> dict:
@@ -61,8 +70,49 @@ def run_stream(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parque
         .trigger(availableNow=True)
         .start(path)
     )
+    _finish(query, timeout)
+
+
+def _finish(query: StreamingQuery, timeout: int | None) -> None:
     try:
         if query.awaitTermination(timeout) is False:
             raise TimeoutError(f"stream still running after {timeout} s")
     finally:
         query.stop()
+
+
+def read_placed(spark: SparkSession, path: str) -> DataFrame:
+    """Messages stored by ``merge_placed``; none where nothing was stored."""
+    try:
+        return spark.read.schema(PLACED_SCHEMA).parquet(path).select(*PLACED_SCHEMA.names)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], PLACED_SCHEMA)
+        raise
+
+
+def merge_placed(batch: DataFrame, path: str) -> None:
+    """Store the messages whose place (topic partition, offset) is not stored yet.
+
+    Only places between the batch's lowest and highest offset of each topic partition are read; the bounds, a row
+    per topic partition, reach the scan as literals. A place that comes twice in a batch is one message.
+    """
+    rows = stage(greatest_row(batch.select(*PLACED_SCHEMA.names), PLACE, ("key", "value")), "placed-messages")
+    bounds = rows.groupBy("partition").agg(F.min("offset").alias("low"), F.max("offset").alias("high")).collect()
+    if not bounds:
+        return
+    place = [(F.col("partition") == b.partition) & F.col("offset").between(b.low, b.high) for b in bounds]
+    stored = read_placed(batch.sparkSession, path).filter(reduce(lambda x, y: x | y, place))
+    fresh = rows.join(stored.select(*PLACE), list(PLACE), "left_anti")
+    fresh.write.mode("append").partitionBy("partition").parquet(path)
+
+
+def run_stream_once(stream: DataFrame, path: str, checkpoint: str, timeout: int | None = None) -> None:
+    """Store what is available, each message once, and stop.
+
+    The checkpoint tells where to go on. Should it be lost, or a micro-batch run again after a failure, all messages come
+    again and find their places taken. ``stream`` has the columns of ``PLACED_SCHEMA``.
+    """
+    writer = stream.writeStream.foreachBatch(lambda batch, _: merge_placed(batch, path))
+    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    _finish(query, timeout)

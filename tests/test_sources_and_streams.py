@@ -42,6 +42,26 @@ def test_stream_equals_batch_and_resumes(spark, batch, rows_of):
     assert len(got) == 5 and got.count(("9", "late")) == 1
 
 
+def test_messages_are_stored_once_whatever_comes_again(spark, rows_of):
+    """A lost checkpoint, a repeated offset in a batch, and a run that had stored a part."""
+    topic, out, progress = (scratch_path(spark, n) for n in ("topic", "out", "progress"))
+    rows = [(p, o, f"{p}".encode(), f"{o}".encode()) for p in (0, 1) for o in range(20)]
+    frame = lambda r: spark.createDataFrame(r, messages.PLACED_SCHEMA)
+    stream = lambda: messages.stream_topic(spark, topic, "parquet", messages.PLACED_SCHEMA)
+    assert rows_of(messages.read_placed(spark, out)) == []
+    frame(rows[:30] + rows[:3]).write.parquet(topic)
+    messages.merge_placed(frame(rows[5:9]), out)  # what a broken run had left
+    for name in ("a", "a", "lost"):
+        messages.run_stream_once(stream(), out, f"{progress}-{name}")
+        assert rows_of(messages.read_placed(spark, out)) == sorted(((p, o, bytearray(k), bytearray(v)) for p, o, k, v in rows[:30]), key=repr)
+    frame(rows[25:]).write.mode("append").parquet(topic)
+    messages.run_stream_once(stream(), out, f"{progress}-a")
+    stored = messages.read_placed(spark, out)
+    assert stored.count() == 40 and stored.select("partition", "offset").distinct().count() == 40
+    messages.merge_placed(frame([]), out)
+    assert messages.read_placed(spark, out).count() == 40
+
+
 def test_kafka_options():
     assert messages._options("kafka", {"subscribe": "t"}) == {"startingOffsets": "earliest", "subscribe": "t"}
     assert messages._options("kafka", {"startingOffsets": "latest"})["startingOffsets"] == "latest"

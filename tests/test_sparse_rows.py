@@ -1,8 +1,11 @@
 import datetime as dt
+import json
+import random
 
 import pytest
 
 from mealmarts.plans import models, sparse_rows
+from mealmarts.session import scratch_path
 
 D1, D2 = dt.date(2025, 5, 1), dt.date(2025, 5, 2)
 SCHEMA = (
@@ -90,6 +93,54 @@ def test_mixed_json_loses_only_what_is_no_number(spark, rows_of):
     assert rows_of(wide) == [(1, 1.0, None, 2.0, 3.5)]
 
 
+def flat(value, name=""):
+    """Plain flatten: numbers, also as text, of nested objects."""
+    for key, item in value.items():
+        path = f"{name}.{key}" if name else key
+        if isinstance(item, dict):
+            yield from flat(item, path)
+        elif not isinstance(item, bool) and isinstance(item, (int, float, str)):
+            try:
+                yield path, float(item)
+            except ValueError:
+                pass
+
+
+def test_objects_of_any_depth(spark, rows_of):
+    rng = random.Random(2)
+
+    def made(depth):
+        kinds = [1, 2.5, -3e20, "7", "word", True, None, [1, {"a": 2}], "", 0]
+        out = {f"k{i}": rng.choice(kinds) for i in range(rng.randint(0, 4))}
+        if depth:
+            out |= {f"o{i}": made(depth - 1) for i in range(rng.randint(0, 2))} | {"deep": made(depth - 1)}
+        return out
+
+    rows = [(i, made(i % 7)) for i in range(40)] + [(99, {"a": {"b": {"c": {"d": {"e": {"f": 6, "g.h": 7}}}}}})]
+    df = spark.createDataFrame([(i, json.dumps(o)) for i, o in rows], "id int, j string")
+    want = sorted(((i, n, x) for i, o in rows for n, x in flat(o)), key=repr)
+    assert rows_of(sparse_rows.json_features(df, "id", "j")) == want and any(n.count(".") > 5 for _, n, _ in want)
+    names = ["a.b.c.d.e.f", "a.b.c.d.e.g.h", "deep.deep.deep.k0", "deep.deep.deep.deep.deep.k0"]
+    found = {(i, n): x for i, n, x in want}
+    wide = sparse_rows.json_feature_columns(df, "j", names).drop("j")
+    assert rows_of(wide) == sorted((tuple([i, *[found.get((i, n)) for n in names]]) for i, _ in rows), key=repr)
+
+
+def test_a_dictionary_grows_at_its_end(spark, inputs, rows_of):
+    root = scratch_path(spark, "dictionary")
+    comparison, vectors = inputs
+    first = {r.feature: r.idx for r in sparse_rows.extend_dictionary(comparison.filter("review_id = 3"), vectors, root).collect()}
+    for _ in range(2):
+        whole = sparse_rows.extend_dictionary(comparison, vectors, root)
+        after = {r.feature: r.idx for r in whole.collect()}
+        assert {f: after[f] for f in first} == first and 0 < len(first) < len(after)
+        assert sorted(after.values()) == list(range(len(after))) and set(after) == {r.feature for r in sparse_rows.feature_dictionary(*inputs).collect()}
+    rows = sparse_rows.sparse_rows(comparison, *sparse_rows.entries(comparison, vectors, whole)).collect()
+    assert all([f.idx for f in r.features] == sorted(f.idx for f in r.features) for r in rows)
+    plain = sparse_rows.sparse_rows(comparison, *sparse_rows.entries(*inputs, sparse_rows.feature_dictionary(*inputs)))
+    assert {r.review_id: len(r.features) for r in rows} == {r.review_id: len(r.features) for r in plain.collect()}
+
+
 def test_a_dictionary_of_some_rows_scores_all(inputs):
     some = inputs[0].filter("review_id = 1")
     dictionary = sparse_rows.feature_dictionary(some, inputs[1])
