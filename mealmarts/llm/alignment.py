@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mealmarts.llm.common import parts
+from mealmarts.llm.common import byte_alphabet, parts
 from mealmarts.session import stage
 
 CONTAINER, LIMIT = 1 << 16, 1 << 22
@@ -66,13 +66,6 @@ class Pair(NamedTuple):
     marks: list[str]
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The byte behind each character of a byte-level vocabulary: printable Latin stands for itself, the rest follows from 256 on."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in shown]
-    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-
-
 @functools.lru_cache(2)
 def load(a_file: str, pattern: str, b_file: str) -> Pair:
     """``a_file``: a byte-level vocabulary whose ids are its merge ranks; its special tokens stay out, so they are plain text."""

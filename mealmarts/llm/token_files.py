@@ -15,20 +15,27 @@ are documents of their own, in any order. A null or empty text has the end id on
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mealmarts.llm.common import map_batches, parts
+from mealmarts.llm.common import byte_alphabet, map_batches, parts
 
 SEGMENT, RANK_EVERY, CACHE = 1 << 20, 512, 600_000
-SIGNS = b"".join(bytes([c]) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+_END = "\x01"
+# Characters whose normal form is themselves in lower case, each kind a piece of its own (digits one by one). No apostrophe: it may begin a suffix.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_SIGNS = "".join(re.escape(chr(c)) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+_PIECE = re.compile(f"[{_LETTERS}]+|[0-9]|[{_SIGNS}]+")
+_ODD = re.compile(f"[^{_LETTERS}0-9{_SIGNS}]")
 _LEVEL = "struct<chunks:binary,bits:binary,ranks:binary>"
 SCHEMA = (
     "range int, segment int, range_offset long, n_ids long, doc_ids array<bigint>, doc_starts array<bigint>, "
@@ -83,6 +90,23 @@ def read_ids(levels: list[Level], start: int, n: int) -> np.ndarray:
     return ids
 
 
+@functools.lru_cache(2)
+def _merges(path: str) -> tuple[tiktoken.Encoding, int]:
+    """The vocabulary's merges over bytes, where ``_END`` closes a piece, and the id that a line break has there.
+
+    Ids rank the merges: letters first, then letters at a piece's end, then merges in order.
+    """
+    letters = byte_alphabet()
+    with open(path, encoding="utf-8") as file:
+        vocabulary = json.load(file)["model"]["vocab"]
+    ranks = {}
+    for token, i in vocabulary.items():
+        name, closes = token.removesuffix("</w>"), token.endswith("</w>")
+        ranks[bytes(letters[c] for c in name) + _END.encode() * closes] = i
+    made = tiktoken.Encoding("pieces", pat_str=rf"[^{_END}\n]+{_END}|\n", mergeable_ranks=ranks, special_tokens={})
+    return made, ranks[b"\n"]
+
+
 @functools.lru_cache(2)
 def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a core per task
@@ -98,12 +122,13 @@ class _Numbers(dict):
 
 
 class WordEncoder:
-    """Encodes each different word once, and each stem of words once.
+    """Encodes each different word once.
 
     The vocabulary's splitter drops white space and no rule reaches across it, so a text's ids
-    are its words' ids in order. It also parts letters and digits from the signs after them, so a word that ends in signs
-    has the ids of its stem and those of the signs. A word that holds the string of an added token, which has an id
-of its own wherever it occurs, is encoded whole. Beyond ``CACHE`` words, those seen once are dropped; beyond as many stems, all stems.
+    are its words' ids in order. Words of Latin letters, digits and ASCII signs, which its normaliser merely lower-cases, are cut
+    where it parts letters, digits and signs, and go through the same merges in one call, the end of each piece marked by a
+    byte of its own. All other words go to the library one by one, as do those with the string of an added token, which has an id
+    of its own wherever it occurs. Beyond ``CACHE`` words, those seen once are dropped.
     """
 
     def __init__(self, path: str):
@@ -111,9 +136,9 @@ of its own wherever it occurs, is encoded whole. Beyond ``CACHE`` words, those s
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # In any case of letters: tokens may be looked up in normalised text.
         self.whole = re.compile("|".join(map(re.escape, added)) or r"(?!)", re.IGNORECASE)
+        self.merges, self.line = _merges(path)
         self.numbers, self.uses = _Numbers(), np.empty(0, np.int64)
         self.ids, self.starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
-        self.stems: dict[bytes, list[int]] = {}
 
     def _trim(self) -> None:
         kept = np.flatnonzero(self.uses > 1)
@@ -123,8 +148,6 @@ of its own wherever it occurs, is encoded whole. Beyond ``CACHE`` words, those s
         self.numbers = _Numbers((words[i], n) for n, i in enumerate(kept.tolist()))
         self.ids, counts = self._gather(kept)
         self.starts, self.uses = np.concatenate([[0], np.cumsum(counts)]), np.zeros(len(kept), np.int64)
-        if len(self.stems) > CACHE:
-            self.stems = {}
 
     def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         counts = self.starts[at + 1] - self.starts[at]
@@ -132,18 +155,28 @@ of its own wherever it occurs, is encoded whole. Beyond ``CACHE`` words, those s
         return self.ids[np.repeat(self.starts[at] - ends + counts, counts) + np.arange(counts.sum())], counts
 
     def _learn(self, words: list[bytes]) -> None:
-        parts = []
-        for word in words:
-            stem = word.rstrip(SIGNS)
-            cut = len(stem) if stem[-1:].isalnum() and not self.whole.search(word.decode()) else len(word)
-            parts.append((word[:cut], word[cut:]))
-        fresh = [p for p in dict.fromkeys(p for pair in parts for p in pair) if p not in self.stems]
-        encoded = self.tokenizer.encode_batch_fast([p.decode() for p in fresh], add_special_tokens=False)
-        self.stems.update((p, e.ids) for p, e in zip(fresh, encoded))
-        made = [self.stems[stem] + self.stems[signs] for stem, signs in parts]
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(made), np.uint32)])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(m) for m in made])])
-        self.uses = np.concatenate([self.uses, np.zeros(len(made), np.int64)])
+        joined = b"\n".join(words).decode()
+        lines = joined.split("\n")
+        odd = [i for i, w in enumerate(lines) if _ODD.search(w)]
+        if self.whole.search(joined):
+            odd = sorted({*odd, *(i for i, w in enumerate(lines) if self.whole.search(w))})
+        apart = [lines[i] for i in odd]
+        for i in odd:
+            lines[i] = ""
+        pieces = _PIECE.sub("\\g<0>" + _END, "\n".join(lines).lower() + "\n")
+        found = np.array(self.merges.encode_ordinary(pieces), np.uint32)
+        stops = np.flatnonzero(found == self.line)
+        counts = np.diff(np.concatenate([[-1], stops])) - 1
+        found = found[found != self.line]
+        if odd:
+            made = [e.ids for e in self.tokenizer.encode_batch_fast(apart, add_special_tokens=False)]
+            at = np.cumsum(counts)[odd]  # odd lines are empty here
+            sizes = [len(m) for m in made]
+            found = np.insert(found, np.repeat(at, sizes), np.fromiter(chain.from_iterable(made), np.uint32))
+            counts[odd] = sizes
+        self.ids = np.concatenate([self.ids, found])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)])
+        self.uses = np.concatenate([self.uses, np.zeros(len(counts), np.int64)])
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         if len(self.numbers) > CACHE:
@@ -215,14 +248,17 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, segment_ids:
     # One row per task of the write.
     ranges = spark.read.schema(SCHEMA).parquet(f"{path}/segments").groupBy("range").agg(F.sum("n_ids").alias("n"))
     before = F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
-    ranges.select("range", F.coalesce(before, F.lit(0)).alias("start")).write.parquet(f"{path}/ranges")
+    ranges.select("range", F.coalesce(before, F.lit(0)).alias("start"), "n").write.parquet(f"{path}/ranges")
+
+
+def _ranges(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("range int, start long, n long").parquet(f"{path}/ranges")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Segments of a folder that ``write`` made, with ``start``: the ids before the segment."""
     segments = spark.read.schema(SCHEMA).parquet(f"{path}/segments")
-    ranges = spark.read.schema("range int, start long").parquet(f"{path}/ranges")
-    return segments.join(ranges, "range").withColumn("start", F.col("start") + F.col("range_offset"))
+    return segments.join(_ranges(spark, path).drop("n"), "range").withColumn("start", F.col("start") + F.col("range_offset"))
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -244,6 +280,23 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return map_batches(kept, run, "doc_id long, start long, n_tokens long, ids binary")
 
 
+def slice_segments(spark: SparkSession, path: str, start: int, n: int) -> DataFrame:
+    """(start, n_ids, levels) of the segments that overlap ids [start, start + n).
+
+    The ranges that overlap come first; they and the bounds within them reach the scan of the segments as literals.
+    """
+    stop = start + n
+    hits = _ranges(spark, path).filter((F.col("start") < stop) & (F.col("start") + F.col("n") > start)).collect()  # as many as the slice spans
+    segments = spark.read.schema(SCHEMA).parquet(f"{path}/segments")
+    found = None
+    for hit in hits:
+        inside = (F.col("range") == hit.range) & (F.col("range_offset") < stop - hit.start)
+        overlap = segments.filter(inside & (F.col("range_offset") + F.col("n_ids") > start - hit.start))
+        one = overlap.select((F.col("range_offset") + hit.start).alias("start"), "n_ids", "levels")
+        found = one if found is None else found.unionByName(one)
+    return found if found is not None else segments.select(F.col("range_offset").alias("start"), "n_ids", "levels").limit(0)
+
+
 def read_slice(spark: SparkSession, path: str, start: int, n: int) -> DataFrame:
     """(place, id) of the ids [start, start + n): only the segments that overlap are opened."""
 
@@ -254,8 +307,7 @@ def read_slice(spark: SparkSession, path: str, start: int, n: int) -> DataFrame:
             places = pa.array(np.arange(low, high) + row["start"], pa.int64())
             yield pa.RecordBatch.from_arrays([places, pa.array(ids.astype(np.int64))], names=["place", "id"])
 
-    hit = (F.col("start") < start + n) & (F.col("start") + F.col("n_ids") > start)
-    return map_batches(read(spark, path).filter(hit).select("start", "n_ids", "levels"), run, "place long, id long")
+    return map_batches(slice_segments(spark, path, start, n), run, "place long, id long")
 
 
 def digests(documents: DataFrame) -> DataFrame:

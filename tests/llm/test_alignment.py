@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from mealmarts.llm import alignment as A
+from mealmarts.llm.common import byte_alphabet
 from tests.llm.conftest import sentence
 
 FILES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, public_tokenizers.path("piece_bpe_32k.model")
@@ -34,7 +35,7 @@ def spans(tokens):
 def plain(text, libraries):
     """Groups and links of one text by all pairs of spans; None without tokens."""
     a, b = libraries
-    letters = A.byte_alphabet()
+    letters = byte_alphabet()
     whole = (" " + text).encode()
     in_a = [(i, bytes(letters[c] for c in a.id_to_token(i))) for i in a.encode(" " + text, add_special_tokens=False).ids]
     in_b = []

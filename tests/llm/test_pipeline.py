@@ -28,7 +28,7 @@ def test_each_stage_does_what_its_operator_says(spark, stages):
     docs, clean, single, tested, safe, _ = stages
     assert all(s.columns == docs.columns for s in stages[1:5])
     assert ids(clean) == ids(quality.judge(quality.statistics(docs)).filter("kept"))
-    assert ids(single) == ids(near_duplicates.near_duplicates(clean).filter("kept"))
+    assert ids(single) == ids(near_duplicates.near_duplicates(clean, corpus_pipeline.NEAR).filter("kept"))
     items = [decontamination.shingles(r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
     leaky = {
         r.doc_id for r in single.collect()

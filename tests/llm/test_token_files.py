@@ -34,7 +34,6 @@ def test_files_round_trip(spark, docs, rows):
     path = scratch_path(spark, "test-tokens")
     K.write(docs(rows), path, PATH, 2, segment_ids=300)
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     want, start = [], 0
     for doc, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
@@ -46,6 +45,20 @@ def test_files_round_trip(spark, docs, rows):
     for a, n in ((0, 5), (290, 20), (start - 4, 4), (1000, 700)):
         piece = [r.id for r in K.read_slice(spark, path, a, n).orderBy("place").collect()]
         assert piece == flat[a : a + n].tolist()
+    assert K.read_slice(spark, path, start + 5, 9).collect() == []
+
+
+def test_a_slice_opens_only_its_segments(spark, docs):
+    path = scratch_path(spark, "test-tokens")
+    K.write(docs([(i, "some words here " * 30) for i in range(400)]), path, PATH, 2, segment_ids=500)
+    segments = K.read(spark, path)
+    total = segments.agg({"n_ids": "sum"}).first()[0]
+    hit = K.slice_segments(spark, path, total // 2, 10)
+    assert hit.count() in (1, 2) and segments.count() > 50
+    spark.conf.set("spark.sql.maxMetadataValueLength", 4000)
+    plan = K.slice_segments(spark, path, total // 2, 10)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataValueLength")
+    assert "EqualTo(range," in plan and "LessThan(range_offset," in plan and "Join" not in plan
 
 
 def test_empty_table_and_clashing_columns(spark, docs):
@@ -81,3 +94,17 @@ def test_ids_are_those_of_the_library(spark, docs):
     K.write(docs(list(enumerate(texts))), path, PATH, 2)
     got = {r.doc_id: np.frombuffer(bytes(r.ids), "<u4").tolist() for r in K.read_documents(spark, path).collect()}
     assert got == {i: [*ids, 2] for i, ids in enumerate(want)}
+
+
+def test_words_of_all_kinds_equal_the_library():
+    """Letters with every sign, accents composed and not, digits, apostrophes, white space beyond ASCII, other scripts."""
+    encoder, rng = K.WordEncoder(PATH), random.Random(4)
+    signs = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    points = [chr(c) for c in range(0x21, 0x3000) if chr(c).isprintable()]
+    texts = [f"Ab{s}cD {s}{s}x {s} x{s} 12{s}3 É{s}é e\u0301{s} it's{s}" for s in signs]
+    texts += [f"x{p} {p}y {p}{p} a{p}b 1{p}" for p in points]
+    letters = "abcXYZéÈüßÿ×÷ªºÆœŒİıſΣς'’!?.,-_<|>0123\u00a0\u0085\x1c\x7f"
+    texts += [" ".join("".join(rng.choice(letters) for _ in range(rng.randint(1, 9))) for _ in range(8)) for _ in range(3000)]
+    want = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    got = [x.tolist() for x in encoder.encode(texts)]
+    assert [t for t, a, b in zip(texts, got, want) if a != b] == []
