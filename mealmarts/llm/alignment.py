@@ -304,6 +304,7 @@ def pair_links(found: DataFrame) -> DataFrame:
 def score(found: DataFrame, counts: DataFrame) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) for every document.
 
+    Postings and counts meet by a sort-merge join at any size, as the pairs may be as many as both vocabularies allow.
     A container's postings, each with its pair's count, meet its documents in one task: at most ``LIMIT`` entries and a batch.
     """
     names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
@@ -338,7 +339,7 @@ def score(found: DataFrame, counts: DataFrame) -> DataFrame:
                     np.add.at(sums[1], place, links * count[row])
         yield from finish(docs, sums)
 
-    postings = found.filter("pair is not null").join(counts.select("pair", "count", "is_best"), "pair")
+    postings = found.filter("pair is not null").join(counts.select("pair", "count", "is_best").hint("merge"), "pair")
     both = postings.select("container", "pair", "n_docs", "width", "docs", "planes", "count", "is_best").unionByName(
         found.filter("pair is null").select("container", "place", *names), allowMissingColumns=True
     )
