@@ -10,7 +10,8 @@ reach. Occurrences with the same anchor and context are a class: what one shares
 ``half`` further units to the left of its anchor or to the right, so a class can share a window with
 another class only if one of these half contexts recurs too; the other classes are done with.
 
-Documents are known by their id and 16 bits of their text's hash: (doc, mark). A null id is the least.
+Documents are known by (doc, mark): their id and 32 bits of their text's hash. Texts without an id have 61 more bits of the hash
+for an id, all below any real one. So rows of one id and one text are one document here, all others are told apart.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 BLOCK = 1 << 18  # units handled at once
 NO_ID = -(1 << 63)
+MARK_BITS = 32  # of ``at``, below the place
+MARK = (1 << MARK_BITS) - 1
 
 
 class Shape(NamedTuple):
@@ -148,13 +151,20 @@ def anchors_by_block(texts: list[str | None], shape: Shape, details: bool) -> It
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc, mark, text) of every row."""
-    mark = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 16)).cast("int")
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), mark.alias("mark"), "text")
+    """(doc_id, doc, mark, text) of every row."""
+    text, own = F.coalesce("text", F.lit("")), F.col("doc_id").cast("long")
+    unnamed = F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64(text, F.lit(1)), 3)
+    return docs.select(
+        own.alias("doc_id"), F.coalesce(own, unnamed).alias("doc"), F.xxhash64(text).bitwiseAND(F.lit(MARK)).alias("mark"), "text"
+    )
+
+
+def mark_of(at: str = "at") -> Column:
+    return F.col(at).bitwiseAND(F.lit(MARK)).alias("mark")
 
 
 def occurrences(docs: DataFrame, shape: Shape) -> DataFrame:
-    """(anchor, context, halves, doc, at) of the anchors that recur; ``at`` is place * 65536 + mark. Staged."""
+    """(anchor, context, halves, doc, at) of the anchors that recur; ``at`` is the place, then the mark. Staged."""
 
     def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for found in anchors_by_block(batch.column(0).to_pylist(), shape, False):
@@ -164,20 +174,20 @@ def occurrences(docs: DataFrame, shape: Shape) -> DataFrame:
     def detail(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         doc, mark = (np.array(batch.column(c).to_pylist(), np.int64) for c in (0, 1))
         for found in anchors_by_block(batch.column(2).to_pylist(), shape, True):
-            columns = [found.anchor, found.context, found.halves, doc[found.text], found.place * 65536 + mark[found.text]]
+            columns = [found.anchor, found.context, found.halves, doc[found.text], (found.place << MARK_BITS) | mark[found.text]]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c.view(np.int64)) for c in columns], names=["anchor", "context", "halves", "doc", "at"]
             )
 
     counted = map_batches(docs.select("text"), count, "anchor long, n long")
     recurring = stage(counted.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor"), "anchors")
-    detailed = map_batches(keyed(docs), detail, "anchor long, context long, halves long, doc long, at long")
+    detailed = map_batches(keyed(docs).select("doc", "mark", "text"), detail, "anchor long, context long, halves long, doc long, at long")
     return stage(detailed.join(recurring, "anchor"), "occurrences")
 
 
 def classes(occurring: DataFrame) -> DataFrame:
     """(anchor, context, halves, n, doc, at): the first occurrence of every class. Staged."""
-    first = F.min(F.struct("doc", (F.col("at") % 65536).alias("mark"), "at")).alias("first")
+    first = F.min(F.struct("doc", mark_of(), "at")).alias("first")
     grouped = occurring.groupBy("anchor", "context").agg(first, F.count("*").alias("n"), F.min("halves").alias("halves"))
     return stage(grouped.select("anchor", "context", "halves", "n", "first.doc", "first.at"), "classes")
 
@@ -200,7 +210,7 @@ def contexts(texts: DataFrame, wanted: DataFrame, shape: Shape) -> DataFrame:
 
     (anchor, context, n, doc, at, left, body binary); words are joined by one space. ``texts`` as ``keyed``.
     """
-    places = wanted.groupBy("doc", (F.col("at") % 65536).cast("int").alias("mark")).agg(
+    places = wanted.groupBy("doc", mark_of()).agg(
         F.collect_list(F.struct("anchor", "context", "n", "at")).alias("places")  # of one document
     )
 
@@ -209,7 +219,7 @@ def contexts(texts: DataFrame, wanted: DataFrame, shape: Shape) -> DataFrame:
         for doc, text, places in zip(*(c.to_pylist() for c in batch.columns)):
             parts = words(text) if shape.unit == "word" else (text or "").encode()
             for p in places:
-                place = p["at"] >> 16
+                place = p["at"] >> MARK_BITS
                 start = max(0, place - shape.before)
                 body = parts[start : place + shape.window]
                 rows.append((p["anchor"], p["context"], p["n"], doc, p["at"], place - start, b" ".join(body) if shape.unit == "word" else body))
@@ -237,13 +247,13 @@ def windows(around: DataFrame, shape: Shape) -> DataFrame:
             after = np.flatnonzero(grams[left + 1 :] < grams[left])
             low = before[-1] + 1 if len(before) else 0
             high = min(left + 1 + after[0] - (shape.before + 1) if len(after) else left, left, len(phrases) - 1)
-            rows.append((phrases[low : high + 1], max(0, high + 1 - low), (at >> 16) - left + low, anchor, doc, at))
+            rows.append((phrases[low : high + 1], max(0, high + 1 - low), (at >> MARK_BITS) - left + low, anchor, doc, at))
         if rows:
             phrases, count, start, anchor, doc, at = zip(*rows)
             count, phrase = np.array(count), np.concatenate(phrases)
             anchor, doc, at, first = (np.repeat(np.array(c, np.int64), count) for c in (anchor, doc, at, start))
             place = first + np.arange(len(phrase)) - np.repeat(np.cumsum(count) - count, count)
-            columns = [mixed(phrase ^ anchor.view(np.uint64)).view(np.int64), doc, place, at & 65535, at]
+            columns = [mixed(phrase ^ anchor.view(np.uint64)).view(np.int64), doc, place, at & MARK, at]
             yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["phrase", "doc", "start", "mark", "at"])
 
     return map_batches(around, run, "phrase long, doc long, start long, mark long, at long")
@@ -252,36 +262,32 @@ def windows(around: DataFrame, shape: Shape) -> DataFrame:
 CONTEXT = ["anchor", "context", "n", "doc", "at", "left", "body"]
 
 
+def spans_of(whole: DataFrame, some: DataFrame) -> DataFrame:
+    """(doc, mark, places, spans): per document every place and span once, however many rows and copies give it."""
+    none, bounds = F.lit(None).cast("long"), F.struct("start", "stop")
+    rows = whole.select("doc", mark_of(), F.shiftright("at", MARK_BITS).alias("place"), F.lit(None).cast("struct<start:bigint,stop:bigint>").alias("span"))
+    rows = rows.unionByName(some.select("doc", "mark", none.alias("place"), bounds.alias("span")))
+    return rows.groupBy("doc", "mark").agg(F.collect_set("place").alias("places"), F.collect_set("span").alias("spans"))
+
+
 def with_spans(texts: DataFrame, whole: DataFrame, some: DataFrame, shape: Shape, finish: Callable, schema: str) -> DataFrame:
-    """``finish(doc, text, starts, ends)`` for every text, with the union of its spans in units.
+    """``finish(doc_id, text, starts, ends)`` for every text, with the union of its spans in units.
 
     ``whole`` (doc, at): occurrences whose full context is taken. ``some`` (doc, mark, start, stop): further spans.
     """
-    mark = (F.col("at") % 65536).cast("int").alias("mark")
-    none = F.lit(None).cast("long")
-    rows = whole.select("doc", mark, F.shiftright("at", 16).alias("place"), none.alias("start"), none.alias("stop")).unionByName(
-        some.select("doc", "mark", none.alias("place"), "start", "stop")
-    )
-    spans = rows.groupBy("doc", "mark").agg(
-        F.collect_list("place").alias("places"), F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops")
-    )
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
-        for doc, text, places, starts, stops in zip(*(batch.column(c) for c in ("doc", "text", "places", "starts", "stops"))):
-            arrays = [np.asarray(x.values.to_numpy() if x.is_valid else [], np.int64) for x in (places, starts, stops)]
-            begin = np.concatenate([np.maximum(arrays[0] - shape.before, 0), arrays[1]])
-            end = np.concatenate([arrays[0] + shape.window, arrays[2]])
-            out.append(finish(doc.as_py(), text.as_py(), begin, end))
+        for doc_id, text, places, spans in zip(*(batch.column(c) for c in ("doc_id", "text", "places", "spans"))):
+            place = np.asarray(places.values.to_numpy() if places.is_valid else [], np.int64)
+            start, stop = ((spans.values.field(i).to_numpy() if spans.is_valid else np.empty(0, np.int64)) for i in (0, 1))
+            begin = np.concatenate([np.maximum(place - shape.before, 0), start])
+            end = np.concatenate([place + shape.window, stop])
+            out.append(finish(doc_id.as_py(), text.as_py(), begin, end))
         fields = [f.split() for f in schema.split(", ")]
         kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
         return pa.RecordBatch.from_arrays(
             [pa.array(c, kinds[k]) for c, (_, k) in zip(zip(*out), fields)], names=[n for n, _ in fields]
         )
 
-    return map_batches(texts.join(spans, ["doc", "mark"], "left"), run, schema)
-
-
-def own_id() -> Column:
-    """doc_id again, from ``doc``."""
-    return F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id")
+    return map_batches(texts.join(spans_of(whole, some), ["doc", "mark"], "left"), run, schema)

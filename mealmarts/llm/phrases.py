@@ -80,9 +80,9 @@ def located(around: DataFrame, firsts: DataFrame, shape: A.Shape = SHAPE) -> Dat
             for shard, kind, doc, at, left, body, starts in zip(*(c.to_pylist() for c in batch.columns)):
                 if shard != own:
                     own, phrases, automaton = shard, [], None
-                sequence, begin = body.split(), (at >> 16) - left
+                sequence, begin = body.split(), (at >> A.MARK_BITS) - left
                 if kind == 0:
-                    mark = at & 65535
+                    mark = at & A.MARK
                     phrases += [(sequence[s - begin : s - begin + shape.window], (doc, mark, s)) for s in starts]
                     continue
                 if phrases:
@@ -90,7 +90,7 @@ def located(around: DataFrame, firsts: DataFrame, shape: A.Shape = SHAPE) -> Dat
                     phrases = []
                 if automaton is None:
                     continue
-                mark, low, high = at & 65535, 0, -1
+                mark, low, high = at & A.MARK, 0, -1
                 for end, first in automaton.iter(tuple([number(w, 0) for w in sequence])):  # ends ascend
                     start = begin + end - shape.window + 1
                     if first != (doc, mark, start):
@@ -127,11 +127,10 @@ def remove_repeats(docs: DataFrame, shape: A.Shape = SHAPE) -> DataFrame:
     texts = A.keyed(docs)
     around = stage(A.contexts(texts, A.suspects(found), shape), "contexts")
     firsts = stage(confirmed(around, shape), "phrases")
-    some = located(around, firsts, shape).withColumn("mark", F.col("mark").cast("int"))
+    some = located(around, firsts, shape)
     repeats = found.filter("n > 1").select("anchor", "context", F.col("doc").alias("first_doc"), F.col("at").alias("first_at"))
     later = occurring.join(repeats, ["anchor", "context"]).filter("doc != first_doc or at != first_at")
-    rows = A.with_spans(texts, later, some, shape, _finish, "doc long, n_words long, n_removed long, kept string")
-    return rows.select(A.own_id(), "n_words", "n_removed", "kept")
+    return A.with_spans(texts, later, some, shape, _finish, "doc_id long, n_words long, n_removed long, kept string")
 
 
 def digests(removed: DataFrame) -> DataFrame:

@@ -144,7 +144,7 @@ def _sorted_spans(around: DataFrame, shape: A.Shape) -> DataFrame:
             out = []
             for (_, n, doc, at, _, _), found in zip(group, extents):
                 if n == 1:
-                    out += [(doc, at & 65535, (at >> 16) - l, (at >> 16) + d) for l, d in found]
+                    out += [(doc, at & A.MARK, (at >> A.MARK_BITS) - l, (at >> A.MARK_BITS) + d) for l, d in found]
             if out:
                 names = ["doc", "mark", "start", "stop"]
                 yield pa.RecordBatch.from_pydict({c: pa.array([o[i] for o in out], pa.int64()) for i, c in enumerate(names)})
@@ -182,10 +182,10 @@ def remove_repeats(docs: DataFrame, shape: A.Shape = SHAPE, split: int = SPLIT)
     repeats = found.filter("n > 1").select("anchor", "context")
     whole = occurring.join(repeats, ["anchor", "context"], "left_semi")
     rows = A.with_spans(
-        texts, whole, some.withColumn("mark", F.col("mark").cast("int")), shape, _finish,
-        "doc long, n_bytes long, n_removed long, n_spans long, kept binary",
+        texts, whole, some, shape, _finish,
+        "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary",
     )
-    return rows.select(A.own_id(), "n_bytes", "n_removed", "n_spans", "kept")
+    return rows
 
 
 def digests(removed: DataFrame) -> DataFrame:
