@@ -52,17 +52,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """The rows as a table in the shared folder: computed once, lineage cut, columns prunable.
 
     For a result several branches of a job read, or one row per key that large tables are
     joined to: Spark then knows its size, and finds a plain shuffle on both sides of the
     join, which is what adaptive execution needs to split a hot key. (Straight from an
     aggregate on the join key there is no such shuffle, and a hot key stays in one task.)
-    A lost executor costs its own tasks only.
+    A lost executor costs its own tasks only. ``compression``: a codec other than the session's.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
