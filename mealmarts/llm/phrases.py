@@ -125,7 +125,7 @@ def remove_repeats(docs: DataFrame, shape: A.Shape = SHAPE) -> DataFrame:
     occurring = A.occurrences(docs, shape)
     found = A.classes(occurring)
     texts = A.keyed(docs)
-    around = stage(A.contexts(texts, A.suspects(found), shape), "contexts")
+    around = stage(A.contexts(texts, A.suspects(found), shape), "contexts", "zstd")
     firsts = stage(confirmed(around, shape), "phrases")
     some = located(around, firsts, shape)
     repeats = found.filter("n > 1").select("anchor", "context", F.col("doc").alias("first_doc"), F.col("at").alias("first_at"))
