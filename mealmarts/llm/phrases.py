@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mealmarts.llm import anchors as A
-from mealmarts.llm.common import merged, words
+from mealmarts.llm.common import drop_finished_shuffles, merged, words
 from mealmarts.session import stage
 
 WINDOW = 20
@@ -125,8 +125,11 @@ def remove_repeats(docs: DataFrame, shape: A.Shape = SHAPE) -> DataFrame:
     occurring = A.occurrences(docs, shape)
     found = A.classes(occurring)
     texts = A.keyed(docs)
+    drop_finished_shuffles(docs.sparkSession)
     around = stage(A.contexts(texts, A.suspects(found), shape), "contexts", "zstd")
+    drop_finished_shuffles(docs.sparkSession)
     firsts = stage(confirmed(around, shape), "phrases")
+    drop_finished_shuffles(docs.sparkSession)
     some = located(around, firsts, shape)
     repeats = found.filter("n > 1").select("anchor", "context", F.col("doc").alias("first_doc"), F.col("at").alias("first_at"))
     later = occurring.join(repeats, ["anchor", "context"]).filter("doc != first_doc or at != first_at")
