@@ -35,15 +35,6 @@ def ship(spark: SparkSession) -> None:
         _SHIPPED.add(context.applicationId)
 
 
-def drop_finished_shuffles(spark: SparkSession) -> None:
-    """Have the driver collect its garbage: only then does Spark delete shuffle files that no plan needs any more.
-
-    To be called where a table has just been staged, in jobs that shuffle several times their input: a driver with
-    memory to spare may leave all those files on the executors' disks.
-    """
-    spark._jvm.System.gc()
-
-
 def byte_alphabet() -> dict[str, int]:
     """The byte behind each character of a byte-level vocabulary: printable Latin stands for itself, the rest follows from 256 on."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
