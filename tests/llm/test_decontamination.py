@@ -55,3 +55,31 @@ def test_sketch_holds_least_hashes_of_the_set():
     made = D.sketch(values)
     assert set(made) <= set(values) and 24 <= len(made) <= 64
     assert D.sketch(values[:10]).tolist() == values[:10].tolist()
+
+
+def test_size_classes_settle_sketch_and_bounds():
+    assert [D.size_class(n) for n in (1, 2, 3, 4, 255, 256)] == [0, 1, 1, 2, 7, 8]
+    assert [D.least_held(c, 0.8) for c in (0, 1, 2, 5)] == [1, 2, 4, 26]
+    assert [D.needed(n, True, 0.8) for n in (1, 4, 5, 10, 16)] == [1, 4, 4, 8, 13]
+    for n in (8, 16, 32, 64, 512):
+        need = D.needed(n, False, 0.8)
+        missed = sum(D.math.comb(n, k) * 0.8**k * 0.2 ** (n - k) for k in range(need))
+        assert need == 1 or missed <= D.MISS
+    assert D.needed(16, False, 0.8) < D.needed(64, False, 0.8) < 0.8 * 64
+
+
+def test_leaks_of_just_the_share(spark, docs):
+    """Items of every size class in documents that hold exactly the share, or one shingle less."""
+    rng = random.Random(3)
+    rows, items = [], []
+    for n in (5, 10, 15, 20, 40, 100, 300, 1000):
+        for k in range(12):
+            words = [f"x{rng.randint(0, 10**9)}" for _ in range(n + 4)]
+            held, i = n * 4 // 5, len(items)
+            items.append((i, " ".join(words)))
+            rows.append((2 * i, "a b " + " ".join(words[: held + 4]) + " c d"))
+            rows.append((2 * i + 1, "a b " + " ".join(words[-(held + 3) :]) + " c d"))
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    for small in (D.SMALL, 0):
+        got = sorted((r.doc_id, r.item_id) for r in D.leaks(docs(rows), frame, small=small).collect())
+        assert got == [(2 * i, i) for i in range(len(items))]
