@@ -8,11 +8,16 @@ Each of ``TREES`` independent trees branches the classes by a minwise token; a n
 levels, unless a branch keeps over half of it: its members are alike then. A pair of similarity s parts from a branch with probability 1 - s, so it meets in a small
 node of some tree with probability 1 - (1 - s)^TREES or more where one level is enough: 0.99999 at
 0.85, 0.9999 at 0.8; two branches a level keep it so below. Small nodes are compared exhaustively on
-sketches; a node still too large is compared in blocks of ``NODE``, all blocks
-against all. Pairs whose sketches agree within five standard errors are confirmed on their full
+sketches. Pairs whose sketches agree within five standard errors are confirmed on their full
 sets, from the texts, unless they are linked already: inside a node linked classes form trees, and
 later trees start from the links of the first. So a node of n classes costs n - 1 links, not n^2.
 
+A node still too large is cut into blocks of ``NODE``, and one in ``PIVOT`` as many members, its pivots,
+joins every block, so that near copies of one text become one component in rows that grow with n. In
+the end the members outside the node's largest component, and they alone, meet all blocks. So each pair
+of a node is compared or linked already, and r such members cost n * (1 + r / NODE) rows in place of
+n * n / NODE. Members that are alike but not similar enough to link are all outside: there r is near n.
+
 Components follow from the links by large-star and small-star rounds until nothing changes.
 
 Null or empty texts have no set, are linked with nothing and are their own component. With fewer
@@ -22,19 +27,20 @@ a null id counts as no id: its row takes its class's component. Other columns ar
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mealmarts.llm.common import gram_hashes, map_batches, runs, word_hashes
 from mealmarts.session import stage
 
 SHINGLE, TREES, TOKENS, SKETCH = 5, 6, 32, 128
-NODE, BRANCHES, DEPTH = 1000, 2, 4
+NODE, BRANCHES, DEPTH, PIVOT = 1000, 2, 4, 10
 _RANDOM = np.random.RandomState(7)
 _FACTORS = (_RANDOM.randint(0, 2**31, TOKENS + SKETCH).astype(np.uint32) * np.uint32(2)) | np.uint32(1)
 _TERMS = _RANDOM.randint(0, 2**31, TOKENS + SKETCH).astype(np.uint32)
@@ -83,8 +89,8 @@ def signatures(docs: DataFrame) -> DataFrame:
     return map_batches(rows, run, "doc_id long, n_shingles long, key binary, tokens array<int>, sketch binary")
 
 
-def nodes(sets: DataFrame, trees: int = TREES, limit: int = NODE, depth: int = DEPTH) -> DataFrame:
-    """(tree, node, rep): the members of every node of two or more, blocks of large ones included."""
+def nodes(sets: DataFrame, trees: int = TREES, limit: int = NODE, depth: int = DEPTH) -> tuple[DataFrame, DataFrame]:
+    """(tree, node, rep) of every node of two to ``limit`` members, and (tree, node, rep, n) of those that stay larger."""
     token = F.col("tokens")[F.pmod("pick", F.lit(TOKENS))]
     current = (
         sets.select("tokens", "rep", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
@@ -109,15 +115,47 @@ def nodes(sets: DataFrame, trees: int = TREES, limit: int = NODE, depth: int = D
         children = children.join(alike, "parent", "left_anti").select("tree", "node", "rep", "n")
         out = out.unionByName(children.filter(F.col("n") <= limit))
         large = children.filter(F.col("n") > limit)
-    # Each block of a large node meets each other block once.
-    count = F.ceil(F.col("n") / limit).cast("int")
-    pair = F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other"))
-    out = out.select("tree", "node", "rep")
-    for rows in (*blocks, large):
-        met = rows.withColumn("own", F.pmod(F.xxhash64("rep"), count).cast("int"))
-        met = met.withColumn("other", F.explode(F.sequence(F.lit(0), count - 1)))
-        out = out.unionByName(met.select("tree", pair.alias("node"), "rep"))
-    return out
+    return out.select("tree", "node", "rep"), functools.reduce(DataFrame.unionByName, [
+        rows.select("tree", "node", "rep", "n") for rows in (*blocks, large)
+    ])
+
+
+def _block(size: str, limit: int) -> tuple[Column, Column]:
+    """The number of blocks of a node of ``size`` members, and a member's own."""
+    count = F.ceil(F.col(size) / limit).cast("int")
+    return count, F.pmod(F.xxhash64("rep"), count).cast("int")
+
+
+def pivoted(large: DataFrame, limit: int = NODE) -> DataFrame:
+    """(tree, node, rep): a node for each block of a large node, the large node's pivots in every one."""
+    count, own = _block("n", limit)
+    pivot = F.pmod(F.xxhash64("node", "rep"), F.col("n")) < max(1, limit // PIVOT)  # this many of n, by a hash
+    places = F.when(pivot, F.sequence(F.lit(0), count - 1)).otherwise(F.array(own))
+    return large.select("tree", "node", "rep", F.explode(places).alias("block")).select(
+        "tree", F.xxhash64("node", "block").alias("node"), "rep"
+    )
+
+
+def remaining(large: DataFrame, labels: DataFrame, limit: int = NODE) -> DataFrame:
+    """(tree, node, rep): members of large nodes outside their node's largest component, with each of its blocks.
+
+    ``labels`` (rep, label) has the components found so far; a class that is not in it is alone.
+    """
+    labelled = stage(_labelled(large, labels), "large_labelled")
+    most = F.max_by("label", F.struct("count", "label")).alias("most")
+    largest = stage(labelled.groupBy("node", "label").count().groupBy("node").agg(most), "largest")
+    others = stage(labelled.join(largest, "node").filter("label != most").select("tree", "node", "rep", "n"), "others")
+    sizes = stage(others.groupBy("node").agg(F.count("*").alias("m")), "others_sizes")
+    count, own = _block("n", limit)
+    groups, group = _block("m", limit)
+    everyone = large.join(sizes, "node").select(
+        "tree", "node", "rep", own.alias("block"), F.explode(F.sequence(F.lit(0), groups - 1)).alias("group")
+    )
+    outside = others.join(sizes, "node").select(
+        "tree", "node", "rep", F.explode(F.sequence(F.lit(0), count - 1)).alias("block"), group.alias("group")
+    )
+    met = everyone.unionByName(outside)
+    return met.select("tree", F.xxhash64("node", "block", "group").alias("node"), "rep").distinct()
 
 
 def _sized(rows: DataFrame) -> DataFrame:
@@ -248,21 +286,26 @@ def near_duplicates(docs: DataFrame, percent: int = 85, trees: int = TREES, limi
     )
     sets = stage(classes, "sets")
     named = sets.filter("rep is not null")
-    members = nodes(named, trees, limit)
-    members = stage(members.join(named.select("rep", "sketch"), "rep"), "node_members")
+    small, large = nodes(named, trees, limit)
+    large = stage(large, "large_nodes")
+    members = stage(_sketched(small.unionByName(pivoted(large, limit)), named), "node_members")
     least = _agreement(percent / 100)
-
-    alone = members.filter("tree = 0").withColumn("label", F.col("rep"))
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    first = stage(_involved(alone, least), "close")
-    links = stage(_confirmed(_with_texts(first, texts), least, percent), "confirmed")
 
-    labels = stage(links.groupBy(F.col("a").alias("rep")).agg(F.min("b").alias("label")), "labels")
-    rest = members.filter("tree > 0").join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    more = stage(_involved(rest, least), "close")
-    later = stage(_confirmed(_with_texts(more, texts), least, percent), "confirmed")
+    def linked(rows: DataFrame) -> DataFrame:
+        close = stage(_involved(rows, least), "close")
+        return stage(_confirmed(_with_texts(close, texts), least, percent), "confirmed")
 
-    of = components(links.unionByName(later)).select(F.col("node").alias("rep"), "component")
+    links = linked(members.filter("tree = 0").withColumn("label", F.col("rep")))
+    labels = stage(links.groupBy(F.col("a").alias("rep")).agg(F.min("b").alias("label")), "labels")
+    links = links.unionByName(linked(_labelled(members.filter("tree > 0"), labels)))
+    found = components(links)
+    if not large.isEmpty():
+        labels = found.select(F.col("node").alias("rep"), F.col("component").alias("label"))
+        more = linked(_labelled(_sketched(remaining(large, labels, limit), named), labels))
+        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+
+    of = found.select(F.col("node").alias("rep"), "component")
     named = stage(sets.select("key", "rep").join(of, "rep", "left").select("key", F.coalesce("component", "rep").alias("component_id")), "named")
     return (
         signed.select("doc_id", "n_shingles", "key")
@@ -272,6 +315,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85, trees: int = TREES, limi
     )
 
 
+def _sketched(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    return rows.join(sets.select("rep", "sketch"), "rep")
+
+
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return rows.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+
+
 def _with_texts(rows: DataFrame, texts: DataFrame) -> DataFrame:
     """Node members with their text; only the texts of members move on to the nodes."""
     wanted = stage(rows.select("rep").distinct(), "wanted")
