@@ -80,18 +80,15 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _scanner(rules: Sequence[Rule]):
-    by_name = {(r.kind, r.version): r for r in rules}
-
     def run(batch: pa.RecordBatch):
         for part in parts(batch, "text"):
             blobs, kinds, versions, spans = [], [], [], []
             for blob, todo, text in zip(*(part.column(c).to_pylist() for c in ("blob", "todo", "text"))):
-                for t in todo:
+                for rule in (rules[i] for i in todo):
                     blobs.append(blob)
-                    kinds.append(t["rule"])
-                    versions.append(t["version"])
-                    found = matches(by_name[t["rule"], t["version"]], text)
-                    spans.append([{"start": a, "end": b} for a, b in found])
+                    kinds.append(rule.kind)
+                    versions.append(rule.version)
+                    spans.append([{"start": a, "end": b} for a, b in matches(rule, text)])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(blobs, pa.binary()), pa.array(kinds), pa.array(versions, pa.int32()), pa.array(spans, _SPANS)],
                 names=["blob", "rule", "version", "spans"],
@@ -103,20 +100,30 @@ def _scanner(rules: Sequence[Rule]):
 def update_ledger(docs: DataFrame, path: str, rules: Sequence[Rule] = RULES) -> None:
     """Scan the (blob, rule version) pairs that the ledger lacks, and append them.
 
-    The pairs that are left are worked out on hashes alone. Copies of a blob meet as one text in
-    every task before the shuffle. A run that dies before its commit leaves the ledger as it was.
+    The pairs that are left are worked out on hashes alone, before any text moves: where nothing is new, none does,
+    and while the new blobs are few enough for Spark to broadcast their hashes, known texts stay where they are.
+    Copies of a blob meet as one text in every task before the shuffle. A run that dies before its commit leaves
+    the ledger as it was.
     """
     spark = docs.sparkSession
-    asked = F.array(*[F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("version")) for r in rules])
     seen = (
         read_ledger(spark, path)
         .groupBy("blob")
         .agg(F.collect_set(F.struct("rule", "version")).alias("seen"))  # as many as there are rule versions
     )
-    blobs = docs.groupBy(text_key().alias("blob")).agg(F.any_value(F.coalesce("text", F.lit(""))).alias("text"))
-    todo = F.array_except(asked, F.coalesce("seen", F.array().cast("array<struct<rule:string,version:int>>")))
-    unseen = blobs.join(seen, "blob", "left").select("blob", todo.alias("todo"), "text").filter(F.size("todo") > 0)
-    map_batches(unseen, _scanner(rules), LEDGER).write.mode("append").parquet(path)
+    pairs = F.coalesce("seen", F.array().cast("array<struct<rule:string,version:int>>"))
+    missing = [~F.array_contains(pairs, F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("version"))) for r in rules]
+    todo = F.array_compact(F.array(*[F.when(m, F.lit(i)) for i, m in enumerate(missing)]))  # places in ``rules``
+    held = docs.select(text_key().alias("blob")).distinct()
+    unseen = stage(held.join(seen, "blob", "left").select("blob", todo.alias("todo")).filter(F.size("todo") > 0), "unseen")
+    if unseen.isEmpty():
+        return
+    texts = docs.select(text_key().alias("blob"), "text")
+    if not read_ledger(spark, path).isEmpty():
+        texts = texts.join(unseen.select("blob"), "blob", "left_semi")
+    blobs = texts.groupBy("blob").agg(F.any_value(F.coalesce("text", F.lit(""))).alias("text"))
+    scanned = blobs.join(unseen, "blob").select("blob", "todo", "text")
+    map_batches(scanned, _scanner(rules), LEDGER).write.mode("append").parquet(path)
 
 
 def findings(docs: DataFrame, path: str, rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -167,16 +174,20 @@ def redact(docs: DataFrame, path: str, rules: Sequence[Rule] = RULES, mark: str
     found = stage(
         findings(docs, path, rules).filter(F.size("spans") > 0).groupBy("blob").agg(F.any_value("spans").alias("spans")),
         "redactions",
-    ).select(F.col("blob").alias("_blob"), F.transform("spans", lambda s: F.struct(s["start"], s["end"])).alias("_spans"))
+    ).select("blob", F.transform("spans", lambda s: F.struct(s["start"], s["end"])).alias("spans"))
+    # All columns of ``docs`` travel inside one, so none of them can clash with the join's own.
+    rows = docs.select(F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns]).alias("row"), text_key().alias("blob"))
+    text = F.col("row.text")
 
     def put(done, s):
-        fresh = F.concat(done["out"], F.substr("text", done["at"] + 1, s["start"] - done["at"]), F.lit(mark))
+        fresh = F.concat(done["out"], F.substr(text, done["at"] + 1, s["start"] - done["at"]), F.lit(mark))
         return F.struct(
             F.when(s["start"] >= done["at"], fresh).otherwise(done["out"]).alias("out"),
             F.greatest(done["at"], s["end"]).alias("at"),
         )
 
     begin = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    cut = F.aggregate("_spans", begin, put, lambda done: F.concat(done["out"], F.substr("text", done["at"] + 1)))
-    rows = docs.withColumn("_blob", text_key()).join(found, "_blob", "left")
-    return rows.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut)).select(*docs.columns)
+    cut = F.aggregate("spans", begin, put, lambda done: F.concat(done["out"], F.substr(text, done["at"] + 1)))
+    clean = F.when(F.col("spans").isNull(), text).otherwise(cut)
+    joined = rows.join(found, "blob", "left").withColumn("clean", clean)
+    return joined.select(*[F.col("clean").alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])

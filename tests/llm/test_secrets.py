@@ -63,6 +63,36 @@ def test_redaction(docs, ledger):
     assert S.report(S.findings(clean, ledger)).filter("spans <> ''").count() == 0
 
 
+def test_redaction_with_clashing_names(docs, ledger):
+    frame = docs(ROWS).selectExpr("*", "1 as _spans", "2 as _blob", "3 as row", "4 as clean", "5 as blob", "6 as `a.b`", "7 as spans")
+    S.update_ledger(frame, ledger)
+    clean = S.redact(frame, ledger)
+    assert clean.columns == frame.columns
+    assert {tuple(r[5:]) for r in clean.collect()} == {(1, 2, 3, 4, 5, 6, 7)}
+    assert {r.doc_id: r.text for r in clean.collect()}[2] == "[SECRET] and [SECRET]"
+
+
+def _scanned(monkeypatch, docs, ledger):
+    """The (blob, rules) rows that reach the scanner."""
+    plans = []
+    monkeypatch.setattr(S, "map_batches", lambda df, *more: plans.append(df) or kept(df, *more))
+    S.update_ledger(docs, ledger)
+    return plans
+
+
+kept = S.map_batches
+
+
+def test_known_texts_do_not_move(spark, docs, ledger, monkeypatch):
+    first, later = docs(ROWS[:6]), docs(ROWS)
+    assert [p.count() for p in _scanned(monkeypatch, first, ledger)] == [len({t or "" for _, t in ROWS[:6]})]
+    assert _scanned(monkeypatch, first, ledger) == []  # all is known: nothing is read but hashes
+    scan = _scanned(monkeypatch, later, ledger)[0]
+    assert scan.count() == len({t or "" for _, t in ROWS} - {t or "" for _, t in ROWS[:6]})
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("LeftSemi") > plan.index("hashpartitioning(blob")  # known texts stop below the shuffle of texts
+
+
 def test_empty_table(docs, ledger):
     frame = docs(ROWS).limit(0)
     S.update_ledger(frame, ledger)
