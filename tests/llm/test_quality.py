@@ -53,7 +53,7 @@ def test_estimate_is_the_core_of_least_determinant(spark):
     data = rng.normal(size=(400, 6)) * [0.5, 0.4, 0.6, 0.5, 0.7, 0.9]
     data[:80] += 6
     frame = spark.createDataFrame([("g", *map(float, r)) for r in data], ["g", *[f"v{i}" for i in range(6)]])
-    found = Q.estimates(frame, steps=8).first()
+    found = Q.estimates(frame).first()
     h, best = 300, None
     for _ in range(60):
         chosen = rng.choice(400, 8, False)
@@ -67,6 +67,32 @@ def test_estimate_is_the_core_of_least_determinant(spark):
     assert np.allclose(found.centre, best[1], atol=0.05) and found.n == 400
 
 
+@pytest.mark.parametrize(
+    ("feature", "share"), [("symbols", 0.17), ("bare_words", 0.28), ("upper", 0.28), ("dup_lines", 0.75), ("repeats", 0.48)]
+)
+def test_each_feature_can_reject_by_itself(feature, share):
+    """What the module says a share has to reach over texts that have none and do not scatter."""
+    floor = Q.FLOOR[Q.FEATURES.index(feature)]
+    distance = lambda x: (np.arcsin(np.sqrt(x)) / floor) ** 2
+    assert distance(share - 0.01) <= Q.CUTOFF < distance(share)
+
+
+def test_verdicts_equal_plain_distances(docs, corpus):
+    """Every verdict and distance again in numpy, from the estimates of the groups."""
+    stats = Q.statistics(docs(corpus))
+    judged = {r.doc_id: r for r in Q.judge(stats).collect()}
+    rows = stats.filter(~Q.base_failed()).select("doc_id", "lang", "source", *[v.alias(f"v{i}") for i, v in enumerate(Q.vector())])
+    groups = F.explode(F.array(F.concat_ws("/", F.coalesce("lang", F.lit("-")), "source"), F.coalesce("lang", F.lit("-")), F.lit("all"))).alias("g")
+    found = {r.g: r for r in Q.estimates(rows.select(groups, *[f"v{i}" for i in range(6)])).collect()}
+    for r in rows.collect():
+        names = (f"{r.lang or '-'}/{r.source}", r.lang or "-", "all")
+        e = next(found[g] for g in names if g in found)
+        d = np.array(r[3:]) - e.centre
+        squared = d @ np.array(e.inverse).reshape(6, 6) @ d
+        assert judged[r.doc_id].distance == pytest.approx(squared, rel=1e-6, abs=1e-9)
+        assert judged[r.doc_id].kept == (squared <= Q.CUTOFF)
+
+
 def test_consistency_factor():
     rng = np.random.RandomState(1)
     d = np.sum(rng.normal(size=(200_000, 6)) ** 2, axis=1)
