@@ -52,7 +52,24 @@ def test_odd_documents_pass_through(spark, docs, odd_rows):
             made = step(spark, rows, FOLDER)
             assert made.count() <= rows.count(), name
     kept = corpus_pipeline.quality_rules(spark, frame, FOLDER)
-    assert all(r.doc_id is None or len(words(r.text)) >= 50 for r in kept.collect())
+    assert all(len(words(r.text)) >= 50 for r in kept.collect())
+
+
+def test_rows_without_an_id_or_with_a_shared_one_are_judged_by_themselves(spark, docs):
+    rng = random.Random(12)
+    text = lambda n=120: " ".join(f"w{rng.randint(0, 9999)}" for _ in range(n))
+    item = spark.read.parquet(f"{FOLDER}/benchmark.parquet").filter("length(text) > 40").orderBy("item_id").first().text
+    good, other, third, twice, leaky = text(), text(), text(), text(), f"{text()} {item} {text()}"
+    rows = [
+        (None, good), (None, "too short"), (None, leaky), (7, other), (7, "short too"), (7, f"{text()} {item}"), (8, third), (None, third),
+        (9, twice), (9, twice), (None, good), (9, twice),
+    ]
+    frame = docs(rows)
+    left = lambda step: sorted(((r.doc_id, r.text) for r in step(spark, frame, FOLDER).collect()), key=repr)
+    want = lambda kept: sorted((r for r in rows if kept(r)), key=repr)
+    assert left(corpus_pipeline.quality_rules) == want(lambda r: "short" not in r[1])
+    assert left(corpus_pipeline.benchmark_leaks) == want(lambda r: item not in r[1])
+    assert left(corpus_pipeline.near_dedup) == sorted(set(rows) - {(None, third)}, key=repr)
 
 
 def test_near_duplicates_from_four_fifths_on_are_linked(spark, docs):
