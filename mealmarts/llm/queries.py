@@ -144,8 +144,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-#: What DuckDB can express, by plain joins: containment of benchmark items on shingle texts; a trie whose nodes are lists of digests.
+#: What DuckDB can express, by plain joins: shared shingles and the documents reachable over them; containment of benchmark items on
+#: shingle texts; windows numbered by their first word; a trie whose nodes are lists of digests.
 SQL: dict[str, str] = {
+    "op7_chosen_path_join": r"""
+with recursive words as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') w from documents),
+shingles as (
+  select distinct doc_id, md5_number(array_to_string(w[i:i+4], ' ')) s
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) i from words where len(w) > 0)),
+sizes as (select doc_id, count(*) n from shingles group by 1),
+shared as (select a.doc_id a, b.doc_id b, count(*) n from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by all),
+links as (
+  select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * shared.n >= 85 * (x.n + y.n - shared.n)),
+edges as (select a, b from links union all select b, a from links),
+reached as (select doc_id, doc_id as c from documents union select b, c from reached join edges on a = doc_id)
+select doc_id, coalesce(any_value(n), 0) as n_shingles, min(c) as component_id, doc_id = min(c) as kept
+from reached left join sizes using (doc_id) group by doc_id""",
+    "op10_repeated_phrases": r"""
+with words as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') w from documents),
+windows as (
+  select doc_id, i, row_number() over (partition by s order by doc_id, i) as nth
+  from (select doc_id, i, md5_number(array_to_string(w[i:i+19], ' ')) s
+        from (select doc_id, w, unnest(range(1, len(w) - 18)) i from words where len(w) >= 20))),
+taken as (select distinct doc_id, unnest(range(i, i + 20)) p from windows where nth > 1),
+placed as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) p from words),
+kept as (select doc_id, string_agg(word, ' ' order by p) t, count(*) n from placed anti join taken using (doc_id, p) group by 1)
+select doc_id, cast(len(w) as bigint) as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from words left join kept using (doc_id)""",
     "op9_containment_search": r"""
 with words as (
   select doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
