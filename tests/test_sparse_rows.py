@@ -3,6 +3,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from mealmarts.plans import models, sparse_rows
 from mealmarts.session import scratch_path
@@ -156,3 +157,17 @@ def test_fm_metrics(spark):
     scored = spark.createDataFrame([(1, 0.5, 1), (1, 0.0, 0), (0, 1.0, 1), (0, 0.0, 0)], "label int, score double, predicted int")
     row = models.fm_metrics(scored).first()
     assert (row.precision, row.recall) == (0.5, 0.5) and row.rmse == pytest.approx(0.75)
+
+
+def test_fm_fits_on_all_cores_whatever_the_files(spark):
+    """Rows in one file, nine tenths of one user: no task of a fit has a large part of them."""
+    rows = spark.range(4000, numPartitions=1).selectExpr(
+        "id AS review_id", "IF(id % 10 = 0, id, 7L) AS user_id", "CAST(id % 2 AS DOUBLE) AS label"
+    )
+    spread = models.fit_partitions(rows)
+    sizes = [r["count"] for r in spread.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    cores = spark.sparkContext.defaultParallelism
+    assert spread.rdd.getNumPartitions() == len(sizes) == cores and sum(sizes) == 4000
+    assert max(sizes) < 2 * 4000 / cores
+    tasks = spread.groupBy("user_id").agg(F.count_distinct(F.spark_partition_id()).alias("n"))
+    assert all(r.n == 1 for r in tasks.filter("user_id <> 7").collect())
