@@ -632,7 +632,7 @@ def fm_sparse_rows(t):
 def fm_libfm_lines(t):
     """Lines written to text files and read back, as the trainer would find them."""
     path = scratch_path(t.spark, "libfm")
-    files.write_lines(sparse_rows.libfm_lines(*t.encoded()), path)
+    files.write_lines(sparse_rows.libfm_lines(*t.encoded()), path, compression="gzip")
     return t.spark.read.text(path).withColumnRenamed("value", "line")
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from mealmarts.schemas import contract
 
+LINES_PER_FILE = 1_000_000
+
 
 def read_jdbc(spark: SparkSession, table: str, column: str, lower, upper, partitions: int, **options) -> DataFrame:
     """Table of a database in ``partitions`` ranges of ``column``; one range would be one task."""
@@ -46,9 +48,12 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> Dat
     return spark.read.schema(schema).json(path)
 
 
-def write_lines(df: DataFrame, path: str, column: str = "line") -> None:
-    """One text line per row; without rows the folder holds no line."""
-    df.select(column).write.mode("overwrite").text(path)
+def write_lines(df: DataFrame, path: str, column: str = "line", compression: str = "none", per_file: int = LINES_PER_FILE) -> None:
+    """One text line per row; without rows the folder holds no line.
+
+    A packed file is read by one task, so a file takes ``per_file`` lines at most and the number of files grows with the rows.
+    """
+    df.select(column).write.mode("overwrite").option("compression", compression).option("maxRecordsPerFile", per_file).text(path)
 
 
 def list_tables(spark: SparkSession, root: str, suffix: str = ".parquet") -> list[str]:

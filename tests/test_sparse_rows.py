@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import pathlib
 import random
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from mealmarts.plans import models, sparse_rows
 from mealmarts.session import scratch_path
+from mealmarts.sources import files
 
 D1, D2 = dt.date(2025, 5, 1), dt.date(2025, 5, 2)
 SCHEMA = (
@@ -169,3 +171,12 @@ def test_fm_fits_on_all_cores_whatever_the_files(spark):
     cores = spark.sparkContext.defaultParallelism
     assert spread.rdd.getNumPartitions() == len(sizes) == cores and sum(sizes) == 4000
     assert max(sizes) < 2 * 4000 / cores
+
+
+def test_packed_lines_come_back_and_files_stay_small(spark):
+    """Packed lines take less room than their text; the number of files follows from the rows, not from the tasks."""
+    path, lines = scratch_path(spark, "packed"), [f"{i % 2} {i}:1 9000{i % 7}:2 9001{i % 5}:3 9002{i % 3}:4" for i in range(1000)]
+    files.write_lines(spark.createDataFrame([(line,) for line in lines], "line string").coalesce(1), path, "line", "gzip", 300)
+    assert sorted(r.value for r in spark.read.text(path).collect()) == sorted(lines)
+    stored = [p for p in pathlib.Path(path).iterdir() if p.name.startswith("part-")]
+    assert len(stored) == 4 and sum(p.stat().st_size for p in stored) < sum(map(len, lines)) / 2
