@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mealmarts.functions.columns import in_day
+from mealmarts.operators.ranking import number_rows
 from mealmarts.plans.user_marts import AS_OF_YEAR
-from mealmarts.plans.warehouse import food_attributes
 from mealmarts.schemas import contract
 from mealmarts.session import stage
 
@@ -127,6 +127,28 @@ def menu_comparison(
 # --- overlap and affinity features -------------------------------------------------------
 
 
+def with_codes(dim_menu_food: DataFrame) -> DataFrame:
+    """Dishes with numbers in place of the names of their tags and categories, ascending as the names do; null stays null.
+
+    Every row and every user carries such values along and compares them. Numbers are small there, and aggregates
+    of them need no sort.
+    """
+    rows = dim_menu_food.select("menu_id", "menu_date", "food_id", "tag_name", "category_name")
+    for column in ("tag_name", "category_name"):
+        names = rows.filter(F.col(column).isNotNull()).select(column).distinct()
+        codes = stage(number_rows(names, [F.col(column)], "_code"), f"{column}-codes")
+        rows = rows.join(codes, column, "left").drop(column).withColumnRenamed("_code", column)
+    return rows
+
+
+def _dish_values(dim_menu_food: DataFrame) -> DataFrame:
+    """Tag, category and number of menus of every dish, staged for the join with the ratings, where one dish may be hot."""
+    values = dim_menu_food.groupBy("food_id").agg(
+        F.min("tag_name").alias("tag"), F.min("category_name").alias("category"), F.count("*").alias("menus")
+    )
+    return stage(values, "dish-values")
+
+
 def _liked(ratings: DataFrame, dim_menu_food: DataFrame) -> DataFrame:
     """What users scored at or above their own mean, per tag, category and score.
 
@@ -135,12 +157,9 @@ def _liked(ratings: DataFrame, dim_menu_food: DataFrame) -> DataFrame:
     number of rows, however many ratings there were, and the window on the user stays small.
     Dishes without a menu count for the user's mean only.
     """
-    dishes = food_attributes(dim_menu_food).select(
-        "food_id", F.col("tag_name").alias("tag"), F.col("category_name").alias("category"), "menus"
-    )
     cells = (
         ratings.filter(F.col("food_score").isNotNull())
-        .join(dishes, "food_id", "left")
+        .join(_dish_values(dim_menu_food), "food_id", "left")
         .groupBy("user_id", "tag", "category", "food_score")
         .agg(F.count("*").alias("n"), F.coalesce(F.sum("menus"), F.lit(0)).alias("weight"))
     )
@@ -194,7 +213,7 @@ def pair_members(pairs: DataFrame) -> DataFrame:
 
 
 def menu_sets(dim_menu_food: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Tags and categories on both menus, one row per date.
+    """Tags and categories on both menus in ascending order, one row per date.
 
     Sizes count a missing value as one more value, as it is one of the distinct ones.
     """
@@ -206,7 +225,7 @@ def menu_sets(dim_menu_food: DataFrame, pairs: DataFrame) -> DataFrame:
         for short, source in (("tag", "tag_name"), ("category", "category_name")):
             value = F.when(here, F.col(source))
             columns += [
-                F.collect_set(value).alias(f"{side}_{short}_set"),
+                F.sort_array(F.collect_set(value)).alias(f"{side}_{short}_set"),
                 F.max(F.when(here & F.col(source).isNull(), 1).otherwise(0)).alias(f"{side}_{short}_null"),
             ]
     return dishes.groupBy("train_date").agg(*columns)
@@ -225,7 +244,7 @@ KINDS = {"tag": "tags", "category": "categories"}
 
 
 def with_shared_values(rows: DataFrame) -> DataFrame:
-    """Values on a menu that the user likes, per side and kind, for all features to read."""
+    """Values on a menu that the user likes, per side and kind, for all features to read; they keep the menu's order."""
     return rows.withColumns(
         {
             f"{side}_{kind}_shared": F.array_intersect(f"{side}_{kind}_set", F.map_keys(f"{kind}_scores"))
@@ -248,13 +267,26 @@ def overlap_columns() -> list[Column]:
     return columns
 
 
+def _total(values: Column, scores: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda acc, value: acc + F.element_at(scores, value))
+
+
+def score_totals() -> list[Column]:
+    """Sum of a user's scores per kind, added in the order of a menu's values."""
+    return [_total(F.sort_array(F.map_keys(f"{kind}_scores")), F.col(f"{kind}_scores")).alias(f"{kind}_total") for kind in KINDS]
+
+
 def affinity_columns() -> list[Column]:
-    """Mean of the user's scores over the shared values; null when there are none."""
+    """Mean of the user's scores over the shared values; null when there are none.
+
+    A look-up costs a walk through the user's values. A menu that has all of them needs none, as the sum is the user's
+    total then; a menu with few has few to look up.
+    """
 
     def mean(side: str, kind: str) -> Column:
-        shared, scores = F.array_sort(f"{side}_{kind}_shared"), F.col(f"{kind}_scores")
-        total = F.aggregate(shared, F.lit(0.0), lambda acc, value: acc + F.element_at(scores, value))
-        return F.try_divide(total, F.size(f"{side}_{kind}_shared"))
+        shared, scores = F.col(f"{side}_{kind}_shared"), F.col(f"{kind}_scores")
+        total = F.when(F.size(shared) == F.size(scores), F.col(f"{kind}_total")).otherwise(_total(shared, scores))
+        return F.try_divide(total, F.size(shared))
 
     return [mean(side, kind).alias(f"{side}_avg_score_on_{name}") for kind, name in KINDS.items() for side in SIDES]
 
@@ -267,14 +299,16 @@ def _rows(ratings, menu_feedback, dim_menu_food, day, users=None):
 
     Both come as staged tables with one row per key: a user or a date may have very many labels.
     """
-    pairs = menu_pairs(dish_menus(dim_menu_food), day)
+    dim_menu_food = with_codes(dim_menu_food)
+    # A row per date. Staged, so that Spark knows its size and leaves the dishes and the feedback where they are.
+    pairs = stage(menu_pairs(dish_menus(dim_menu_food), day), "menu-pairs")
     labels = choice_labels(menu_feedback, pairs)
     if day is not None:
         # One date needs the feedback on its menus and the ratings of the users who gave it.
         menus = stage(pair_members(pairs).select("menu_id"), "day-menus")
         labels = stage(choice_labels(menu_feedback.join(menus, "menu_id", "left_semi"), pairs), "day-labels")
         ratings = ratings.join(stage(labels.select("user_id").distinct(), "day-users"), "user_id", "left_semi")
-    profiles = taste_profiles(ratings, dim_menu_food)
+    profiles = taste_profiles(ratings, dim_menu_food).select("*", *score_totals())
     if users is not None:
         profiles = profiles.join(users, "user_id", "left")
     rows = (

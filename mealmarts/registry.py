@@ -74,7 +74,8 @@ class Tables(Sources):
         return warehouse.dim_menu_food(self.menu_food, self.food, self.menu)
 
     def stored_dishes(self):
-        return self.stored("dishes", self.dishes)
+        """Dishes on menus with what the menu choice and the code sets read of them."""
+        return self.stored("dishes", lambda: self.dishes().drop("food_name"))
 
     def attributes(self):
         return warehouse.food_attributes(self.dishes())
@@ -349,7 +350,7 @@ def domain_violations(t):
     raw = quality.domain_violations(t.account, "account", "gender", GENDERS).unionByName(
         quality.domain_violations(t.food, "food", "main_sub", MAIN_SUB_CODES)
     )
-    loaded = {"dim_user": t.users(), "dim_menu_food_combined": t.dishes(), "xgb_train_data": t.training_rows()}
+    loaded = {"dim_user": t.users(), "dim_menu_food_combined": t.stored_dishes(), "xgb_train_data": t.training_rows()}
     for name, rows in loaded.items():
         raw = raw.unionByName(quality.domain_report(rows, CONTRACTS[name]))
     return raw

@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from mealmarts.plans import choice, models
 from mealmarts.operators import metrics
@@ -150,3 +151,27 @@ def test_binary_metrics(spark, pairs, want):
 def test_rmse(spark):
     df = spark.createDataFrame([(1, 0.5), (0, 0.5)], "label int, score double")
     assert metrics.rmse(df, "label", "score").first().rmse == pytest.approx(0.5)
+
+
+def test_codes_follow_names_and_keep_nulls(data):
+    """Dishes with numbers for names, numbered as the names sort; a menu's values come in that order."""
+    dishes = data["frames"][2]
+    coded = choice.with_codes(dishes)
+    both = dishes.join(coded.select("menu_id", "food_id", F.col("tag_name").alias("t"), F.col("category_name").alias("c")), ["menu_id", "food_id"])
+    rows = both.collect()
+    assert len(rows) == dishes.count() == coded.count()
+    for name, code in (("tag_name", "t"), ("category_name", "c")):
+        want = {v: i for i, v in enumerate(sorted({r[name] for r in rows} - {None}), start=1)} | {None: None}
+        assert all(r[code] == want[r[name]] for r in rows)
+    sets = choice.menu_sets(coded, choice.menu_pairs(choice.dish_menus(coded))).collect()
+    assert sets and all(list(r[c]) == sorted(r[c]) for r in sets for c in r.asDict() if c.endswith("_set"))
+
+
+def test_a_mean_is_the_same_with_all_values_shared_or_some(spark):
+    """Menus with all, some and none of a user's values, against sums by hand."""
+    scores = {3: 0.1, 1: 0.2, 2: 0.3}
+    rows = spark.createDataFrame([(i, scores, s) for i, s in enumerate(([1, 2, 3], [1, 2, 3, 4], [2, 4], [4]))], "i int, scores map<int,double>, offered array<int>")
+    named = rows.selectExpr("i", *[f"scores AS {k}_scores" for k in choice.KINDS], *[f"offered AS {s}_{k}_set" for k in choice.KINDS for s in choice.SIDES])
+    got = choice.with_shared_values(named.select("*", *choice.score_totals())).select("i", *choice.affinity_columns()).orderBy("i").collect()
+    everything = (0.0 + 0.2 + 0.3 + 0.1) / 3
+    assert [list(r)[1:] for r in got] == [[everything] * 4, [everything] * 4, [0.3] * 4, [None] * 4]
