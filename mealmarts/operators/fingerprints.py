@@ -20,6 +20,7 @@ from mealmarts.session import stage
 BITS = 12  # of a key's hash, per step
 _FRACTION = float(1 << 52)
 _SUM = "decimal(38,0)"
+_PART = 21  # bits of a hash that are added at a time
 
 
 def _number_text(x: Column) -> Column:
@@ -44,7 +45,19 @@ def value_text(value: Column, kind: T.DataType) -> Column:
 
 
 def _text_hash(text: Column) -> Column:
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast(_SUM)
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
+
+
+def _exact_sum(number: Column) -> Column:
+    """Sum of 64-bit numbers as ``_SUM``, 0 without any.
+
+    Three parts of a number, 22 bits at most, are added as 64-bit numbers, which holds for 2^41 rows. Only their
+    sums are made decimals, not every row.
+    """
+    low = F.lit((1 << _PART) - 1)
+    parts = [number.bitwiseAND(low), F.shiftright(number, _PART).bitwiseAND(low), F.shiftright(number, 2 * _PART)]
+    sums = [F.sum(part).cast("decimal(19,0)") * F.lit(1 << _PART * i).cast("decimal(13,0)") for i, part in enumerate(parts)]
+    return F.coalesce((sums[0] + sums[1] + sums[2]).cast(_SUM), F.lit(0).cast(_SUM))
 
 
 def column_fingerprints(df: DataFrame, name: str) -> DataFrame:
@@ -52,7 +65,7 @@ def column_fingerprints(df: DataFrame, name: str) -> DataFrame:
     sums = [F.count("*").alias("n")]
     for i, field in enumerate(df.schema):
         text = value_text(F.col(f"`{field.name}`"), field.dataType)
-        sums += [F.count(text).alias(f"n{i}"), F.coalesce(F.sum(_text_hash(text)), F.lit(0)).cast(_SUM).alias(f"s{i}")]
+        sums += [F.count(text).alias(f"n{i}"), _exact_sum(_text_hash(text)).alias(f"s{i}")]
     columns = [
         F.struct(
             F.lit(field.name).alias("column_name"),
@@ -72,7 +85,7 @@ def row_hash(columns: Sequence[str]) -> Column:
 
 def row_sums(df: DataFrame) -> DataFrame:
     """One row (row_count, row_sum) that is equal for equal bags of rows."""
-    return df.agg(F.count("*").alias("row_count"), F.coalesce(F.sum(row_hash(df.columns).cast(_SUM)), F.lit(0)).cast(_SUM).alias("row_sum"))
+    return df.agg(F.count("*").alias("row_count"), _exact_sum(row_hash(df.columns)).alias("row_sum"))
 
 
 def same_rows(source: DataFrame, target: DataFrame) -> DataFrame:

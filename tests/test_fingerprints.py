@@ -65,3 +65,14 @@ def test_empty_tables(source):
     assert P.same_rows(none, none).first().same_rows and changes(none, none) == []
     assert {(r.row_count, r.null_count, int(r.fingerprint)) for r in P.column_fingerprints(none, "t").collect()} == {(0, 0, 0)}
     assert len(changes(source, none)) == 500
+
+
+def test_sums_of_hashes_take_no_decimal_per_row(spark):
+    """Sums far beyond 64 bits are exact, with a decimal for the two halves only."""
+    numbers = [2**63 - 1] * 5 + [-(2**63)] * 2 + [-1, 0, 1, 2**32, -(2**32) - 7, None]
+    df = spark.createDataFrame([(n,) for n in numbers], "n long")
+    assert df.agg(P._exact_sum(F.col("n")).alias("s")).first().s == sum(n for n in numbers if n is not None)
+    assert df.filter("n IS NULL").agg(P._exact_sum(F.col("n")).alias("s")).first().s == 0
+    for frame in (P.column_fingerprints(df, "t"), P.row_sums(df)):
+        scanned = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert "sum(cast(" not in scanned and "sum((" in scanned
