@@ -156,6 +156,14 @@ def stored_parts(spark: SparkSession, root: str, table: str) -> list[str]:
     return sorted(n.partition("=")[2] for n in names if n.startswith(f"{spec.partition_by}="))
 
 
+def drop_parts(spark: SparkSession, root: str, table: str, parts: Sequence[object]) -> None:
+    """Delete stored partitions; one that is not there is no error."""
+    column, path = contract(table).partition_by, spark._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for part in parts:
+        files.delete(path(f"{root}/{table}/{column}={part}"), True)
+
+
 class ChangedBatchError(ValueError):
     """A load was sent again under its id with other rows."""
 

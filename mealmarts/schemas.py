@@ -204,6 +204,20 @@ _ALL = [
         {"score_type": SCORE_TYPES},
         partition_by="bucket",
     ),
+    # Rows of users that changed since they were last folded into the two tables above.
+    _contract(
+        "user_food_recent",
+        "bucket INT, user_id BIGINT, food_id BIGINT, total DOUBLE, n BIGINT, as_of DATE",
+        "bucket user_id food_id",
+        partition_by="bucket",
+    ),
+    _contract(
+        "user_rank_recent",
+        "bucket INT, user_id BIGINT, food_id BIGINT, food_score DOUBLE, rank_order INT, score_type STRING",
+        "bucket user_id score_type rank_order",
+        {"score_type": SCORE_TYPES},
+        partition_by="bucket",
+    ),
     _contract("score_sketch_day", "start DATE, day DATE, sketch BINARY", "start day", partition_by="start"),
     _contract("fm_dictionary", "idx BIGINT, block STRING, number BIGINT, value STRING, feature STRING", "block number value"),
     _contract("load_ledger", "load_id STRING, n_rows BIGINT, row_hashes DECIMAL(38,0)", "load_id", partition_by="load_id"),

@@ -1,6 +1,7 @@
 """Stored states that a periodic run extends: each must equal a build of everything, and read little."""
 
 import datetime as dt
+import pathlib
 import random
 
 import pytest
@@ -133,6 +134,69 @@ def test_a_day_touches_only_its_users(spark, facts, rows_of):
     assert {str(r.as_of) for r in after.filter(F.col("bucket") != bucket).select("as_of").collect()} == {"2025-05-08"}
 
 
+def files_of(root, table):
+    return {str(p): p.stat().st_mtime_ns for p in pathlib.Path(root, table).glob("bucket=*/*.parquet")}
+
+
+def bucket_users(spark, bucket):
+    ids = spark.range(1500).withColumnRenamed("id", "user_id").filter(rank_state._bucket() == bucket)
+    return sorted(r.user_id for r in ids.collect())
+
+
+@pytest.fixture
+def crowd(spark, table):
+    """Three dishes each of all users of two partitions."""
+    users = bucket_users(spark, 5) + bucket_users(spark, 6)
+    return table("fact_user_food_feedback", [(u, f, (u * f) % 10 / 2, dt.date(2025, 5, 1)) for u in users for f in (1, 2, 3 + u % 6)])
+
+
+def test_a_day_leaves_the_large_partitions_until_enough_changed(spark, table, crowd, names, rows_of):
+    root, users = scratch_path(spark, "ranks"), bucket_users(spark, 5)
+    rank_state.start_ranks(crowd, root, "2025-05-01")
+    large = files_of(root, rank_state.SUMS) | files_of(root, rank_state.LISTS)
+    known = crowd
+
+    def load(day, some):
+        nonlocal known
+        batch = table("fact_user_food_feedback", [(u, f, 4.5, dt.date(2025, 5, day)) for u in some for f in (1, 8)])
+        known = known.unionByName(batch)
+        rank_state.add_day(batch, root, f"2025-05-0{day}", known)
+        want = user_marts.user_food_rating_rank(known, names)
+        assert rows_of(rank_state.stored_ranks(spark, root, names)) == rows_of(want)
+        return files_of(root, rank_state.SUMS) | files_of(root, rank_state.LISTS)
+
+    one = [users[0]]  # four rows at most, of 3 * len(users)
+    assert len(users) * 3 > 4 * rank_state.FOLD and load(3, one) == large and load(2, one) == large  # the second comes late
+    folded = load(4, users)
+    changed = {path for path in large.keys() | folded.keys() if large.get(path) != folded.get(path)}
+    assert changed and all("bucket=5/" in path for path in changed)
+    assert not any(files_of(root, recent) for recent in rank_state.RECENT.values())
+    sums = rows_of(loads.read_table(spark, root, rank_state.SUMS).filter("bucket = 5"), "user_id", "food_id", "total", "n")
+    want = known.filter(F.col("user_id").isin(users)).groupBy("user_id", "food_id").agg(F.sum("food_score"), F.count("*"))
+    assert sums == rows_of(want)
+
+
+def test_a_broken_fold_and_a_new_start(spark, table, crowd, names, rows_of, monkeypatch):
+    root, users = scratch_path(spark, "ranks"), bucket_users(spark, 5)
+    rank_state.start_ranks(crowd, root, "2025-05-01")
+    days = [table("fact_user_food_feedback", [(u, 8, 5.0, dt.date(2025, 5, d)) for u in users[d:]]) for d in (2, 3)]
+    monkeypatch.setattr(rank_state, "drop_parts", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    known = crowd.unionByName(days[0])
+    with pytest.raises(RuntimeError):
+        rank_state.add_day(days[0], root, "2025-05-02", known)
+    monkeypatch.undo()
+    assert all(files_of(root, recent) for recent in rank_state.RECENT.values())
+    assert rows_of(rank_state.stored_ranks(spark, root, names)) == rows_of(user_marts.user_food_rating_rank(known, names))
+    known = known.unionByName(days[1])
+    rank_state.add_day(days[1], root, "2025-05-03", known)
+    assert rows_of(rank_state.stored_ranks(spark, root, names)) == rows_of(user_marts.user_food_rating_rank(known, names))
+    few = table("fact_user_food_feedback", [(users[0], 8, 1.0, dt.date(2025, 5, 4))])
+    rank_state.add_day(few, root, "2025-05-04", known.unionByName(few))
+    assert files_of(root, rank_state.RECENT[rank_state.LISTS])
+    rank_state.start_ranks(crowd, root, "2025-05-01")
+    assert rows_of(rank_state.stored_ranks(spark, root, names)) == rows_of(user_marts.user_food_rating_rank(crowd, names))
+
+
 # --- sketches ----------------------------------------------------------------------------
 
 
