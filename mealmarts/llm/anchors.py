@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mealmarts.llm.common import leftmost_minima, map_batches, mixed, word_hashes, words
+from mealmarts.llm.common import hashed_words, leftmost_minima, map_batches, mixed, words
 from mealmarts.session import stage
 
 _BASE = 0x9E3779B97F4A7C15
@@ -54,12 +54,12 @@ class Shape(NamedTuple):
 _OF_BYTE = mixed(np.arange(256, dtype=np.uint64) + _STEP)
 
 
-def units(shape: Shape, text: str | bytes | None) -> np.ndarray:
-    """A random-looking 64-bit number for every unit."""
-    raw = text if isinstance(text, bytes) else (text or "").encode()
+def units(shape: Shape, texts: list[str | bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """A random-looking 64-bit number for every unit of the texts, one text after the other; and how many each has."""
+    raws = [t if isinstance(t, bytes) else (t or "").encode() for t in texts]
     if shape.unit == "byte":
-        return _OF_BYTE[np.frombuffer(raw, np.uint8)]
-    return mixed(word_hashes(raw.split()))
+        return _OF_BYTE[np.frombuffer(b"".join(raws), np.uint8)], np.array(list(map(len, raws)), np.int64)
+    return hashed_words(raws)
 
 
 class _Hashes:
@@ -122,6 +122,17 @@ def anchors(texts: list[np.ndarray], shape: Shape, details: bool) -> Found:
     return Found(text, place - start, anchor, context, (left << np.uint64(32)) | right)
 
 
+def _units_by_text(texts: list[str | None], shape: Shape) -> Iterator[np.ndarray]:
+    """Units of each text, those of some ``BLOCK`` characters made in one go."""
+    ends, done = np.cumsum([len(t or "") for t in texts]), 0
+    while done < len(texts):
+        limit = BLOCK + (ends[done - 1] if done else 0)
+        stop = max(done + 1, int(np.searchsorted(ends, limit, "right")))
+        values, sizes = units(shape, texts[done:stop])
+        yield from np.split(values, np.cumsum(sizes)[:-1])
+        done = stop
+
+
 def anchors_by_block(texts: list[str | None], shape: Shape, details: bool) -> Iterator[Found]:
     """Anchors of all texts: short ones together, a text beyond ``BLOCK`` units in parts that share their edges."""
     held, numbers, count = [], [], 0
@@ -130,8 +141,7 @@ def anchors_by_block(texts: list[str | None], shape: Shape, details: bool) -> It
         found = anchors(held, shape, details)
         return found._replace(text=np.array(numbers)[found.text])
 
-    for i, text in enumerate(texts):
-        values = units(shape, text)
+    for i, values in enumerate(_units_by_text(texts, shape)):
         if held and count + len(values) > BLOCK:
             yield flush()
             held, numbers, count = [], [], 0
@@ -237,26 +247,28 @@ def windows(around: DataFrame, shape: Shape) -> DataFrame:
     A phrase is told apart by its anchor.
     """
 
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        rows = []
-        for anchor, doc, at, left, body in zip(*(batch.column(c).to_pylist() for c in ("anchor", "doc", "at", "left", "body"))):
-            hashes = _Hashes(units(shape, body))
-            grams, phrases = hashes.all(shape.gram), hashes.all(shape.window)
-            # Back to the last gram before the anchor that is as small, and on to the first after it that is smaller.
-            before = np.flatnonzero(grams[:left] <= grams[left])
-            after = np.flatnonzero(grams[left + 1 :] < grams[left])
-            low = before[-1] + 1 if len(before) else 0
-            high = min(left + 1 + after[0] - (shape.before + 1) if len(after) else left, left, len(phrases) - 1)
-            rows.append((phrases[low : high + 1], max(0, high + 1 - low), (at >> MARK_BITS) - left + low, anchor, doc, at))
-        if rows:
-            phrases, count, start, anchor, doc, at = zip(*rows)
-            count, phrase = np.array(count), np.concatenate(phrases)
-            anchor, doc, at, first = (np.repeat(np.array(c, np.int64), count) for c in (anchor, doc, at, start))
-            place = first + np.arange(len(phrase)) - np.repeat(np.cumsum(count) - count, count)
-            columns = [mixed(phrase ^ anchor.view(np.uint64)).view(np.int64), doc, place, at & MARK, at]
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["phrase", "doc", "start", "mark", "at"])
-
-    return map_batches(around, run, "phrase long, doc long, start long, mark long, at long")
+    return map_batches(around, lambda batch: own_windows(batch, shape), "phrase long, doc long, start long, mark long, at long")
+
+
+def own_windows(batch: pa.RecordBatch, shape: Shape) -> pa.RecordBatch:
+    """``windows`` of a batch of contexts, all at once: they stand one after the other, with a row of places around each anchor."""
+    anchor, doc, at, left = (batch.column(c).to_numpy() for c in ("anchor", "doc", "at", "left"))
+    values, sizes = units(shape, batch.column("body").to_pylist())
+    hashes = _Hashes(values)
+    grams, phrases = hashes.all(shape.gram), hashes.all(shape.window)
+    begin, left = np.cumsum(sizes) - sizes, left.astype(np.int64)
+    own, far = (begin + left)[:, None], np.arange(1, shape.before + 1)
+    # Back to the last gram before the anchor that is as small, and on to the first after it that is smaller.
+    before = (grams[np.maximum(own - far, 0)] <= grams[own]) & (far <= left[:, None])
+    after = (grams[np.minimum(own + far, len(grams) - 1)] < grams[own]) & (far <= (sizes - shape.gram - left)[:, None])
+    low = np.where(before.any(1), left - before.argmax(1), 0)
+    high = np.minimum(np.where(after.any(1), left + after.argmax(1) - shape.before, left), sizes - shape.window)
+    count = np.maximum(high + 1 - low, 0)
+    row = np.repeat(np.arange(len(count)), count)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + low[row]  # in the context
+    phrase = mixed(phrases[begin[row] + place] ^ anchor[row].view(np.uint64)).view(np.int64)
+    columns = [phrase, doc[row], ((at >> MARK_BITS) - left)[row] + place, at[row] & MARK, at[row]]
+    return pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["phrase", "doc", "start", "mark", "at"])
 
 
 CONTEXT = ["anchor", "context", "n", "doc", "at", "left", "body"]

@@ -58,6 +58,36 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_LONG = 64  # bytes of a word
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_SEEDS = mixed(np.arange(_LONG + 1, dtype=np.uint64) * _MIX + _STEP)
+
+
+def hashed_words(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of every word (as ``words``) of some texts, one text after the other; and how many each has.
+
+    Eight bytes of all words at a time; longer words than ``_LONG`` each by itself.
+    """
+    blob = b" ".join([b"", *raws, bytes(8)])
+    data = np.frombuffer(blob, np.uint8)[: len(blob) - 8]
+    space = _SPACE[data]
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1  # white space stands at both ends
+    start, stop = edges[::2], edges[1::2]
+    size = stop - start
+    eight = np.ndarray(len(blob) - 7, "<u8", blob, strides=(1,))
+    values = mixed(_SEEDS[np.minimum(size, _LONG)] ^ (eight[start] & _MASKS[np.minimum(size, 8)]))
+    rest, done = np.flatnonzero((size > 8) & (size <= _LONG)), 8
+    while len(rest):
+        values[rest] = mixed(values[rest] ^ (eight[start[rest] + done] & _MASKS[np.minimum(size[rest] - done, 8)]))
+        done += 8
+        rest = rest[size[rest] > done]
+    for i in np.flatnonzero(size > _LONG).tolist():
+        values[i] = xxhash.xxh3_64_intdigest(blob[start[i] : stop[i]])
+    ends = np.cumsum([len(r) + 1 for r in raws])
+    return values, np.diff(np.searchsorted(start, ends), prepend=0)
+
+
 def gram_hashes(values: np.ndarray, n: int) -> np.ndarray:
     """A 64-bit hash of every ``n`` consecutive values, in order; empty if there are fewer."""
     count = len(values) - n + 1

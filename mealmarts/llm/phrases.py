@@ -43,12 +43,21 @@ def confirmed(around: DataFrame, shape: A.Shape = SHAPE) -> DataFrame:
 
 
 def _automaton(phrases: list[tuple]) -> tuple[ahocorasick.Automaton, Callable]:
-    numbers: dict[bytes, int] = {}
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    """The automaton, and what writes words as its letters, two to a word.
+
+    A node's letters are searched one by one, and the root has one for every first word. So a word's number is a high and
+    a low letter, of which a node has some hundreds at most; they differ, so matches begin and end with words.
+    """
+    letters: dict[bytes, str] = {}
+    automaton = ahocorasick.Automaton()
     for sequence, first in phrases:
-        automaton.add_word(tuple(numbers.setdefault(w, len(numbers) + 1) for w in sequence), first)
+        for word in sequence:
+            if word not in letters:
+                high, low = divmod(len(letters), 256)
+                letters[word] = chr(257 + high) + chr(1 + low)
+        automaton.add_word("".join([letters[w] for w in sequence]), first)
     automaton.make_automaton()
-    return automaton, numbers.get
+    return automaton, lambda sequence: "".join([letters.get(w, "\0\0") for w in sequence])
 
 
 def located(around: DataFrame, firsts: DataFrame, shape: A.Shape = SHAPE) -> DataFrame:
@@ -74,7 +83,7 @@ def located(around: DataFrame, firsts: DataFrame, shape: A.Shape = SHAPE) -> Dat
     )
 
     def run(batches):
-        own, phrases, automaton, number = None, [], None, None
+        own, phrases, automaton, written = None, [], None, None
         for batch in batches:
             out = []
             for shard, kind, doc, at, left, body, starts in zip(*(c.to_pylist() for c in batch.columns)):
@@ -86,13 +95,13 @@ def located(around: DataFrame, firsts: DataFrame, shape: A.Shape = SHAPE) -> Dat
                     phrases += [(sequence[s - begin : s - begin + shape.window], (doc, mark, s)) for s in starts]
                     continue
                 if phrases:
-                    automaton, number = _automaton(phrases)
+                    automaton, written = _automaton(phrases)
                     phrases = []
                 if automaton is None:
                     continue
                 mark, low, high = at & A.MARK, 0, -1
-                for end, first in automaton.iter(tuple([number(w, 0) for w in sequence])):  # ends ascend
-                    start = begin + end - shape.window + 1
+                for end, first in automaton.iter(written(sequence)):  # ends ascend
+                    start = begin + end // 2 - shape.window + 1
                     if first != (doc, mark, start):
                         if start > high:
                             if high >= 0:
