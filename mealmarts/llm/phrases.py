@@ -62,22 +62,21 @@ def _automaton(phrases: list[tuple]) -> tuple[ahocorasick.Automaton, Callable]:
 
 def located(around: DataFrame, firsts: DataFrame, shape: A.Shape = SHAPE) -> DataFrame:
     """(doc, mark, start, stop): occurrences, other than the first, of confirmed phrases in the contexts."""
-    held = around.join(firsts, ["doc", "at"], "left")
     sizes = stage(around.groupBy("anchor").agg(F.ceil(F.count("*") / SPLIT).cast("int").alias("parts")), "anchor_parts")
     total = firsts.agg(F.coalesce(F.sum(F.size("starts")), F.lit(0))).first()[0]
     shards = max(12, -(-total // SHARD))
-    held = held.join(sizes, "anchor")
 
     def shard(part):
         return F.pmod(F.xxhash64("anchor", part.cast("long")), F.lit(shards)).cast("int").alias("shard")
 
     every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
     compiled = (
-        held.filter("starts is not null")
+        around.join(firsts, ["doc", "at"])
+        .join(sizes, "anchor")
         .select("*", every)
         .select(shard(F.col("part")), F.lit(0).alias("kind"), "doc", "at", "left", "body", "starts")
     )
-    streamed = held.select(
+    streamed = around.join(sizes, "anchor").select(
         shard(F.pmod(F.xxhash64("context"), F.col("parts"))), F.lit(1).alias("kind"), "doc", "at", "left", "body",
         F.lit(None).cast("array<long>").alias("starts"),
     )
