@@ -14,9 +14,6 @@ from pyspark.sql import types as T
 from mealmarts.operators.metrics import binary_metrics, share, to_class
 from mealmarts.session import scratch_path
 
-# Labelled rows the factorization machine is fitted on at most; all rows are scored.
-FIT_ROWS = 1_000_000
-
 # Training settings of the factorization machine.
 FM_PARAMS = {"factorSize": 8, "maxIter": 50, "stepSize": 0.01, "fitIntercept": True, "fitLinear": True, "solver": "gd"}
 GBT_PARAMS = {"maxIter": 20, "maxDepth": 4, "stepSize": 0.1, "seed": 7}
@@ -47,12 +44,8 @@ def sparse_vectors(rows: DataFrame, size: int) -> DataFrame:
     return rows.sparkSession.read.schema(T.StructType(fields)).parquet(path)
 
 
-def fit_sample(rows: DataFrame, limit: int = FIT_ROWS, key: str = "review_id") -> DataFrame:
-    """Repeatable choice of about ``limit`` labelled rows to fit on; all of them if there are no more.
-
-    A factorization machine keeps a row of factors per feature in the driver. A dictionary made of
-    these rows bounds that; every row is scored, with the features the model knows.
-    """
+def fit_sample(rows: DataFrame, limit: int, key: str = "review_id") -> DataFrame:
+    """Repeatable choice of about ``limit`` rows for a trial fit; all of them if there are no more. No query fits on it."""
     total = rows.count()
     if total <= limit:
         return rows

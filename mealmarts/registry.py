@@ -103,21 +103,19 @@ class Tables(Sources):
         vectors = self.stored("tag-vectors", lambda: sparse_rows.tag_vectors(menu_food, self.food))
         return comparison, vectors
 
+    def dictionary(self):
+        return self.stored("dictionary", lambda: sparse_rows.feature_dictionary(*self.fm_inputs()))
+
     def encoded(self):
         """Comparison rows with the entries of their users and dates."""
         comparison, vectors = self.fm_inputs()
-        dictionary = self.stored("dictionary", lambda: sparse_rows.feature_dictionary(comparison, vectors))
-        return (comparison, *sparse_rows.entries(comparison, vectors, dictionary))
+        return (comparison, *sparse_rows.entries(comparison, vectors, self.dictionary()))
 
     def fm_predictions(self):
-        """Scores of all comparison rows, by a model of the features of a bounded choice of them."""
-        comparison, vectors = self.fm_inputs()
-        sample = self.stored("fit-sample", lambda: models.fit_sample(comparison))
-        dictionary = self.stored("fit-dictionary", lambda: sparse_rows.feature_dictionary(sample, vectors))
-        size = dictionary.count()
-        rows = stage(sparse_rows.sparse_rows(comparison, *sparse_rows.entries(comparison, vectors, dictionary)), "sparse-rows")
-        model = models.train_fm(rows.join(sample.select("review_id"), "review_id", "left_semi"), size)
-        return models.predict_fm(model, rows, size)
+        """Scores of all comparison rows, by a model fitted on all of them."""
+        rows = stage(sparse_rows.sparse_rows(*self.encoded()), "sparse-rows")
+        size = self.dictionary().count()
+        return models.predict_fm(models.train_fm(rows, size), rows, size)
 
     def rating_batch(self):
         """Ratings as they arrive later, with changed scores and repeated keys."""

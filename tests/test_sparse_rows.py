@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from mealmarts import registry
 from mealmarts.plans import models, sparse_rows
 from mealmarts.session import scratch_path
 from mealmarts.sources import files
@@ -155,6 +156,23 @@ def test_a_dictionary_of_some_rows_scores_all(inputs):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_fm_queries_fit_on_all_rows(spark, inputs, monkeypatch):
+    """Every comparison row is fitted on and every user known, however few rows a trial fit would take."""
+    rows = [(i, i % 25, D1 if i % 3 else D2, 11, 12, i % 2, "m", "Seoul", "1", 3.25, None) for i in range(50)]
+    tables = registry.Tables(spark, "")
+    monkeypatch.setattr(tables, "fm_inputs", lambda: (spark.createDataFrame(rows, SCHEMA), inputs[1]))
+    trial, train, fitted = models.fit_sample, models.train_fm, []
+    monkeypatch.setattr(models, "fit_sample", lambda rows, limit=5: trial(rows, limit))
+
+    def trained(rows, size):
+        fitted.append((rows.count(), size))
+        return train(rows, size, maxIter=2)
+
+    monkeypatch.setattr(models, "train_fm", trained)
+    assert tables.fm_predictions().count() == 50
+    assert fitted == [(50, sparse_rows.feature_dictionary(*tables.fm_inputs()).count())] and fitted[0][1] > 25
+
+
 def test_fm_metrics(spark):
     scored = spark.createDataFrame([(1, 0.5, 1), (1, 0.0, 0), (0, 1.0, 1), (0, 0.0, 0)], "label int, score double, predicted int")
     row = models.fm_metrics(scored).first()
