@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import FMClassificationModel, FMClassifier, GBTClassifier
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mealmarts.operators.metrics import binary_metrics, share, to_class
+from mealmarts.plans import factor_machine
 from mealmarts.session import scratch_path
 
 # Training settings of the factorization machine.
@@ -68,14 +69,21 @@ def fit_partitions(rows: DataFrame) -> DataFrame:
     return rows.repartitionByRange(rows.sparkSession.sparkContext.defaultParallelism, "user_id", "review_id")
 
 
-def train_fm(rows: DataFrame, size: int, **params) -> FMClassificationModel:
-    vectors = fit_partitions(sparse_vectors(rows, size)).select("features", F.col("label").cast("double").alias("label"))
-    return FMClassifier(**{**FM_PARAMS, "seed": 7, **params}).fit(vectors)
+def packed_rows(rows: DataFrame, size: int) -> DataFrame:
+    """Sparse rows as blocks of ranges of users, which both a fit and its scores read."""
+    if "block" in rows.columns:
+        return rows
+    return factor_machine.packed(fit_partitions(sparse_vectors(rows, size)).sortWithinPartitions("user_id", "review_id"))
+
+
+def train_fm(rows: DataFrame, size: int, **params) -> factor_machine.FactorModel:
+    """A model of all rows, packed or not."""
+    return factor_machine.fit(packed_rows(rows, size), size, **{**FM_PARAMS, "seed": 7, **params})
 
 
-def predict_fm(model: FMClassificationModel, rows: DataFrame, size: int) -> DataFrame:
-    """Score and class per review id."""
-    return _scored(model, sparse_vectors(rows, size), "review_id")
+def predict_fm(model: factor_machine.FactorModel, rows: DataFrame, size: int) -> DataFrame:
+    """Score and class per review id, of rows packed or not."""
+    return factor_machine.scores(model, packed_rows(rows, size)).withColumn("predicted", to_class("score"))
 
 
 def gbt_inputs(training_rows: DataFrame) -> DataFrame:

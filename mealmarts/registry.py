@@ -113,8 +113,8 @@ class Tables(Sources):
 
     def fm_predictions(self):
         """Scores of all comparison rows, by a model fitted on all of them."""
-        rows = stage(sparse_rows.sparse_rows(*self.encoded()), "sparse-rows")
-        size = self.dictionary().count()
+        encoded, size = self.encoded(), self.dictionary().count()
+        rows = models.packed_rows(sparse_rows.sparse_rows(*encoded), size)
         return models.predict_fm(models.train_fm(rows, size), rows, size)
 
     def rating_batch(self):

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +21,8 @@ DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+_SHIPPED: set[str] = set()
+
 
 def build_session(app_name: str = "mealmarts", master: str | None = None, **conf) -> SparkSession:
     """Session with the library's defaults; keyword arguments use ``_`` for ``.``."""
@@ -66,6 +70,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python of the application's executors, once."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="package-")) / f"plans-{package.name}"
+        context.addPyFile(shutil.make_archive(str(archive), "zip", package.parent, package.name))
+        _SHIPPED.add(context.applicationId)
+
+
 def tune(spark: SparkSession) -> None:
     """What the plans count on, for a session made elsewhere: hot keys of joins are split at run time."""
     for key in (

@@ -3,11 +3,13 @@ import json
 import pathlib
 import random
 
+import numpy as np
 import pytest
+from pyspark.ml.classification import FMClassifier
 from pyspark.sql import functions as F
 
 from mealmarts import registry
-from mealmarts.plans import models, sparse_rows
+from mealmarts.plans import factor_machine, models, sparse_rows
 from mealmarts.session import scratch_path
 from mealmarts.sources import files
 
@@ -165,7 +167,7 @@ def test_fm_queries_fit_on_all_rows(spark, inputs, monkeypatch):
     monkeypatch.setattr(models, "fit_sample", lambda rows, limit=5: trial(rows, limit))
 
     def trained(rows, size):
-        fitted.append((rows.count(), size))
+        fitted.append((rows.agg(F.sum("rows")).first()[0], size))
         return train(rows, size, maxIter=2)
 
     monkeypatch.setattr(models, "train_fm", trained)
@@ -173,6 +175,84 @@ def test_fm_queries_fit_on_all_rows(spark, inputs, monkeypatch):
     assert fitted == [(50, sparse_rows.feature_dictionary(*tables.fm_inputs()).count())] and fitted[0][1] > 25
 
 
+@pytest.fixture
+def some_rows(spark):
+    """Rows of 12 users, one of them in half of the rows, with codes that others share and counts by date."""
+    rng = random.Random(5)
+    days = [[(f, float(rng.randint(1, 3))) for f in rng.sample(range(16, 24), 4)] + [(24, rng.uniform(1, 5))] for _ in range(6)]
+    rows = []
+    for i in range(120):
+        user, day = rng.choice([3, rng.randrange(12)]), rng.randrange(6)
+        entries = sorted([(user, 1.0), (12 + user % 3, 1.0), *days[day]] + [(15, 1.0)] * (user != 4))
+        rows.append((i, user, D1 + dt.timedelta(days=day), int(rng.random() < 0.3 + user % 3 / 5), entries))
+    schema = "review_id long, user_id long, date date, label int, features array<struct<idx:bigint,value:double>>"
+    return spark.createDataFrame(rows, schema), rows
+
+
+def test_fm_steps_are_those_of_pyspark_ml(some_rows):
+    """Linear weights and intercept, as only the start of the factors differs."""
+    df, _ = some_rows
+    vectors = models.sparse_vectors(df, 25).withColumn("label", F.col("label").cast("double"))
+    want = FMClassifier(**{**models.FM_PARAMS, "initStd": 1e-12}).fit(vectors)
+    got = models.train_fm(df, 25, initStd=1e-12)
+    assert got.linear.toArray() == pytest.approx(want.linear.toArray(), abs=1e-9) and abs(got.linear.toArray()).max() > 0.01
+    assert got.intercept == pytest.approx(want.intercept, abs=1e-9) and abs(got.factors.toArray()).max() < 1e-10
+
+
+@pytest.fixture
+def small_batches(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "5")
+    yield
+    spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("entries", [60, 4_000_000])
+def test_fm_steps_and_scores_whatever_the_blocks(spark, some_rows, small_batches, monkeypatch, entries):
+    """The same weights and scores as of plain arrays, with users and codes in one block or in several."""
+    monkeypatch.setattr(factor_machine, "BLOCK_ENTRIES", entries)
+    df, rows = some_rows
+    x, y = np.zeros((len(rows), 25)), np.array([r[3] for r in rows])
+    for i, row in enumerate(rows):
+        for f, value in row[4]:
+            x[i, f] = value
+    w, (v, b) = np.zeros(25), (factor_machine._start(np.arange(25), 8, 0.3, 7)[1:].T, 0.0)
+
+    def share():
+        return 1 / (1 + np.exp(-(b + x @ w + ((x @ v) ** 2 - x**2 @ v**2).sum(axis=1) / 2)))
+
+    for i in range(1, 13):
+        off, rate = share() - y, 0.05 / i**0.5 / len(rows)
+        step = x.T @ (off[:, None] * (x @ v)) - v * (x**2 * off[:, None]).sum(axis=0)[:, None]
+        w, v, b = w - rate * (x.T @ off), v - rate * step, b - rate * off.sum()
+    packed = models.packed_rows(df, 25)
+    assert packed.count() > 8 or entries > 60
+    model = models.train_fm(packed, 25, maxIter=12, stepSize=0.05, initStd=0.3)
+    assert model.factors.toArray() == pytest.approx(v, abs=1e-9) and model.linear.toArray() == pytest.approx(w, abs=1e-9)
+    scored = {r.review_id: (r.label, r.score) for r in models.predict_fm(model, df, 25).collect()}
+    assert [scored[i][0] for i in range(len(rows))] == y.tolist() and len(scored) == len(rows)
+    assert [scored[i][1] for i in range(len(rows))] == pytest.approx(share(), abs=1e-9)
+
+
+def test_fm_of_large_counts_gives_shares(some_rows):
+    """Steps that lose all measure are taken back: the model is no worse than the one it started from."""
+    df, rows = some_rows
+    large = df.withColumn("features", F.expr("transform(features, f -> struct(f.idx, if(f.idx > 15, f.value * 1000, f.value) AS value))"))
+    scored = models.predict_fm(models.train_fm(large, 25), large, 25)
+    assert scored.filter("score BETWEEN 0 AND 1").count() == len(rows)
+
+
+def test_fm_of_no_rows_and_of_rows_without_features(spark, some_rows):
+    df, _ = some_rows
+    none = df.limit(0)
+    assert models.predict_fm(models.train_fm(none, 25), none, 25).count() == 0
+    bare = df.withColumn("features", F.expr("filter(features, f -> false)"))
+    model = models.train_fm(bare, 25, maxIter=2)
+    scores = [r.score for r in models.predict_fm(model, bare, 25).collect()]
+    assert len(scores) == 120 and scores == pytest.approx([1 / (1 + np.exp(-model.intercept))] * 120)
+
+
 def test_fm_metrics(spark):
     scored = spark.createDataFrame([(1, 0.5, 1), (1, 0.0, 0), (0, 1.0, 1), (0, 0.0, 0)], "label int, score double, predicted int")
     row = models.fm_metrics(scored).first()
