@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from mealmarts.session import shared_dir, ship, stage
 
 # Entries of sparse rows in a block, about; bounds what a task holds at once.
-BLOCK_ENTRIES = 4_000_000
+BLOCK_ENTRIES = 2_000_000
 # Steps after which a lost block starts again from stored weights.
 CHECKPOINT_EVERY = 10
 
@@ -81,7 +81,7 @@ def _block(rows: pa.RecordBatch) -> tuple[np.ndarray, bytes]:
     n = len(rows)
     lists = rows.column("indices")
     idx, val = lists.flatten().to_numpy(), rows.column("values").flatten().to_numpy()
-    row = np.repeat(np.arange(n), np.diff(lists.offsets.to_numpy()))
+    row = np.repeat(np.arange(n, dtype=np.int32), np.diff(lists.offsets.to_numpy()))
     day = rows.column("date").dictionary_encode(null_encoding="encode").indices.to_numpy().astype(np.int64)
     known, pos = np.unique(idx, return_inverse=True)
     keys, first, of, times = np.unique(day[row] * len(known) + pos, return_index=True, return_inverse=True, return_counts=True)
